@@ -1,8 +1,8 @@
 """All queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import simhash
+from . import decontaminate, rules, simhash
 
-_MODULES = (simhash,)
+_MODULES = (decontaminate, rules, simhash)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}

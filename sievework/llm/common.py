@@ -112,3 +112,58 @@ def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: An odd factor and its inverse modulo 2^64, and a value for each byte: fixed, so that reruns agree.
+_FACTOR = 0x9E3779B97F4A7C15
+_INVERSE = pow(_FACTOR, -1, 1 << 64)
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_FACTOR))
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """1, base, base^2, ... modulo 2^64, at least n of them."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        size = 1 << max(12, int(n - 1).bit_length())
+        have = np.full(size, base, np.uint64)
+        have[0] = 1
+        _powers[base] = have = np.cumprod(have)
+    return have[:n]
+
+
+def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in bytes."""
+    edge = np.diff(np.concatenate(([1], _SPACE[buf].view(np.int8), [1])))
+    return np.nonzero(edge == -1)[0], np.nonzero(edge == 1)[0]
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of buf[start:end]; equal strings have equal ones."""
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * powers(_FACTOR, len(buf)))))
+    length = (ends - starts).astype(np.uint64)
+    return mix((total[ends] - total[starts]) * powers(_INVERSE, len(buf) + 1)[starts] + length * _BYTE[0])
+
+
+def joined(texts: Texts, separator: bytes = b"\n") -> tuple[np.ndarray, np.ndarray]:
+    """All texts with a separator after each, and where each starts (with the end of all)."""
+    sizes = texts.sizes() + 1
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    return np.frombuffer(separator.join([texts[i] for i in range(texts.n)] + [b""]), np.uint8), starts
+
+
+def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of values[bounds[i]:bounds[i + 1]]."""
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def bounded_rows(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """About `most` rows, chosen by a hash of the key columns; all rows where there are no more than that."""
+    n = df.count()
+    if n <= most:
+        return df
+    share = int(most / n * (1 << 30))
+    return df.where(F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit("sample")), F.lit(1 << 30)) < share)
