@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -167,3 +168,12 @@ def bounded_rows(df: DataFrame, most: int, *key: str) -> DataFrame:
         return df
     share = int(most / n * (1 << 30))
     return df.where(F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit("sample")), F.lit(1 << 30)) < share)
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Removes tables that written() has made, and lets Spark drop the shuffle files of plans that are done."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            delete(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
