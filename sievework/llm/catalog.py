@@ -1,8 +1,8 @@
 """All queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import decontaminate, html, langid, mixing, rules, simhash, substrings, warc
+from . import decontaminate, html, langid, mixing, ppm, rules, simhash, substrings, warc
 
-_MODULES = (decontaminate, html, langid, mixing, rules, simhash, substrings, warc)
+_MODULES = (decontaminate, html, langid, mixing, ppm, rules, simhash, substrings, warc)
 
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
