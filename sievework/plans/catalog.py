@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from . import profile_queries
+
+_MODULES = (profile_queries,)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
+ORACLE: dict[str, str] = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
 FLAGSHIP = "similarity_top_matches"
