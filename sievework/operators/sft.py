@@ -48,7 +48,8 @@ def question_skill(text: Column, family: Column) -> Column:
 
 def dominant_skill(skills: Column, family: Column) -> Column:
     """The most frequent skill, the first in priority of equal ones; without questions by family."""
-    ranked = F.array(*[F.struct((-F.size(F.filter(skills, lambda x, s=s: x == s))).alias("n"), F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in enumerate(T.SKILL_PRIORITY)])
+    order = F.array(*map(F.lit, T.SKILL_PRIORITY))
+    ranked = F.transform(order, lambda s, i: F.struct((-F.size(F.filter(skills, lambda x: x == s))).alias("n"), i.alias("i"), s.alias("s")))
     return F.when(F.size(skills) == 0, F.when(family == "caption", "summary").otherwise("general")).otherwise(F.array_min(ranked)["s"])
 
 

@@ -50,12 +50,14 @@ def token_cosine(candidates: DataFrame, bench: DataFrame, c: str, b: str, text:
 
 def tfidf_cosine(candidates: DataFrame, bench: DataFrame, c: str, b: str, words: Column) -> DataFrame:
     """Cosine of counts times ln((1 + n) / (1 + df)) + 1 over words and pairs of words, with frequencies of the benchmark."""
-    right = frequencies(bench, b, ngrams(words))
+    # the words become a column: inside the lambda of ngrams they would be made again for each of them
+    split = lambda df, key: df.select(key, words.alias("words"))
+    right = frequencies(split(bench, b), b, ngrams(F.col("words")))
     n = bench.select(F.count("*").alias("n"))
     idf = right.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(n)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     # terms that no benchmark text has are not in the vocabulary
     weigh = lambda tf: tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    left, right = weigh(frequencies(candidates, c, ngrams(words))), weigh(right)
+    left, right = weigh(frequencies(split(candidates, c), c, ngrams(F.col("words")))), weigh(right)
     length = lambda df, key, name: df.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
     return (
         _pairs(left, right, c, b, "w")
@@ -100,8 +102,7 @@ def summarized(scores: DataFrame, weights: DataFrame, c: str, source: str = "ben
         F.round(F.coalesce("balanced_score", F.lit(0.0)), DIGITS).alias("balanced_score"),
         F.round(F.coalesce("coverage", F.lit(0.0)), DIGITS).alias("coverage"),
         F.col("least.name").alias("best_source"),
-        F.round(0.85 * F.coalesce("balanced_score", F.lit(0.0)) + 0.15 * F.coalesce("coverage", F.lit(0.0)), DIGITS).alias("selection_score"),
-    )
+    ).withColumn("selection_score", F.round(0.85 * F.col("balanced_score") + 0.15 * F.col("coverage"), DIGITS + 3))
 
 
 def weighted(parts: dict[str, Column]) -> Column:

@@ -93,7 +93,7 @@ def profile_match_components(spark, sf):
 def blended_match_score(spark, sf):
     parts = P.match_parts(F.col("b"), F.col("p")) | {"semantic": F.col("similarity")}
     profile_only = P.blended(parts, {"semantic": 0.0})
-    return _matched(spark, sf).select("doc_id", "item_id", F.round(P.blended(parts), 6).alias("adjusted"), F.round(profile_only, 6).alias("profile_only"))
+    return _matched(spark, sf).select("doc_id", "item_id", F.round(P.blended(parts), 9).alias("adjusted"), F.round(profile_only, 9).alias("profile_only"))
 
 
 def _sql_overlap(a: str, b: str) -> str:
@@ -133,7 +133,7 @@ def _sql_blend(weights: dict[str, float]) -> str:
     return f"({' + '.join(f'CAST({w} AS DOUBLE) * CAST({names.get(k, k)} AS DOUBLE)' for k, w in used.items())}) / CAST({sum(used.values())} AS DOUBLE)"
 
 
-BLENDED = f"{_MATCH} SELECT doc_id, item_id, round({_sql_blend(T.WEIGHTS)}, 6) AS adjusted, round({_sql_blend({k: w for k, w in T.WEIGHTS.items() if k != 'semantic'})}, 6) AS profile_only FROM parts"
+BLENDED = f"{_MATCH} SELECT doc_id, item_id, round({_sql_blend(T.WEIGHTS)}, 9) AS adjusted, round({_sql_blend({k: w for k, w in T.WEIGHTS.items() if k != 'semantic'})}, 9) AS profile_only FROM parts"
 
 # -- selection ---------------------------------------------------------------------------------------------------------------------
 
