@@ -212,9 +212,10 @@ def starts(docs: DataFrame) -> DataFrame:
     """(doc_id, mark, first, last): ranges of starts of repeated strings; docs has doc_id, mark and text."""
     spark = docs.sparkSession
     found = written(docs.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, _ANCHORS), "anchors")
-    shared = found.groupBy("gram").count().where("count > 1").select("gram")
-    shared = written(found.join(shared, "gram", "left_semi"), "shared")
-    release(spark, found)
+    # what is counted is written before it is joined: Spark splits a hot gram only between two plain shuffles
+    twice = written(found.groupBy("gram").count().where("count > 1").select("gram"), "grams")
+    shared = written(found.join(twice, "gram", "left_semi"), "shared")
+    release(spark, found, twice)
 
     one = F.min(F.struct("doc_id", "mark", "place")).alias("one")
     groups = written(shared.groupBy("gram", "around").agg(F.count("*").alias("n"), one).select("gram", "around", "n", "one.*"), "groups")
@@ -223,11 +224,11 @@ def starts(docs: DataFrame) -> DataFrame:
     release(spark, shared)
 
     # one anchor of each kind stands for its equals; a gram with one kind needs no more than the above
-    varied = groups.groupBy("gram").count().where("count > 1").select("gram")
+    varied = written(groups.groupBy("gram").count().where("count > 1").select("gram"), "varied")
     rest = groups.join(varied, "gram", "left_semi").groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places"))
     near = docs.join(rest, docs.doc_id.eqNullSafe(rest.doc_id) & (docs.mark == rest.mark)).select(docs.doc_id, docs.mark, "text", "places")
     coarse = written(near.mapInArrow(_cells, _CELLS), "cells")
-    release(spark, groups)
+    release(spark, groups, varied)
     hot = coarse.groupBy("core").count().where(F.col("count") > MOST).select("core")
     fine = coarse.join(hot, "core", "left_semi").select(*coarse.columns).mapInArrow(_finer, _CELLS)
     both = coarse.join(hot, "core", "left_anti").select(*coarse.columns).union(fine).withColumn("context", F.xxhash64("core", "before", "after", "cell"))
