@@ -1,9 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
 Documents of a source are dealt to shards by a hash, and each shard's words, in order of doc_id, are cut into blocks of equally many
-tokens. The mix has a number of blocks; sources get them one by one by the highest quotients target / (2 * seats + 1), and so do
-the shards within a source by their sizes, which gives an integer quota for each shard. A seeded permutation of a shard's blocks then
-says which are taken how often, so that a document's share follows from the blocks that it overlaps.
+tokens (the last one has the rest, half a block more or less). The mix has a number of blocks; sources get them one by one by the
+highest quotients target / (2 * seats + 1), and so do the shards within a source by their sizes, up to MOST_TIMES times their blocks,
+which gives an integer quota for each shard. A seeded permutation of a shard's blocks then says which are taken how often, so that a
+document's share follows from the blocks that it overlaps and none is taken more than MOST_TIMES times.
 
 The driver reads one row for each source; everything else stays in Spark. Shards are as many as documents need, 4096 at most, so
 that a source's quotas are a small group and a hot source is spread over tasks.
@@ -49,8 +50,8 @@ def targets(sizes: list[int], weights: list[float], share: float = SHARE, most:
     return out
 
 
-def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
-    """Seats by the highest quotients votes / (2 * seats + 1); the first of equal quotients wins.
+def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None) -> np.ndarray:
+    """Seats by the highest quotients votes / (2 * seats + 1); the first of equal quotients wins, and none gets over `most`.
 
     Most seats are given at once, by a divisor under which they are certainly not too many; the highest quotients get the rest."""
     votes = np.asarray(votes, float)
@@ -59,19 +60,26 @@ def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
         return given
     if seats > n:
         given = np.floor(votes * (seats - n / 2 - 1) / votes.sum() + 0.5).astype(np.int64)
-    heap = [(-v / (2 * g + 1), i) for i, (v, g) in enumerate(zip(votes.tolist(), given.tolist(), strict=True)) if v > 0]
+    most = np.full(n, seats, np.int64) if most is None else most
+    given = np.minimum(given, most)
+    heap = [(-v / (2 * g + 1), i) for i, (v, g) in enumerate(zip(votes.tolist(), given.tolist(), strict=True)) if v > 0 and g < most[i]]
     heapq.heapify(heap)
     for _ in range(seats - int(given.sum())):
+        if not heap:
+            break
         i = heap[0][1]
         given[i] += 1
-        heapq.heapreplace(heap, (-votes[i] / (2 * int(given[i]) + 1), i))
+        if given[i] < most[i]:
+            heapq.heapreplace(heap, (-votes[i] / (2 * int(given[i]) + 1), i))
+        else:
+            heapq.heappop(heap)
     return given
 
 
 def _quotas(shards: pd.DataFrame) -> pd.DataFrame:
     shards = shards.sort_values("shard")
-    shards["quota"] = sainte_lague(shards["words"].to_numpy(float), int(shards["seats"].iloc[0]))
-    return shards[["key", "shard", "words", "quota"]]
+    shards["quota"] = sainte_lague(shards["words"].to_numpy(float), int(shards["seats"].iloc[0]), MOST_TIMES * shards["n"].to_numpy(np.int64))
+    return shards[["key", "shard", "words", "n", "quota"]]
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -97,23 +105,21 @@ def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BL
     sources = spark.createDataFrame(known, "key string, source_size long, target double, seats long")
     shards = max(1, min(SHARDS, -(-sum(r.n for r in sums) // SHARD)))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "mark", F.lit("shard")), F.lit(shards)).cast("int"))
-    words = dealt.groupBy("key", "shard").agg(F.sum("size").alias("words"))
-    quotas = words.join(sources.select("key", "seats"), "key").groupBy("key").applyInPandas(_quotas, "key string, shard int, words long, quota long")
+    words = dealt.groupBy("key", "shard").agg(F.sum("size").alias("words")).withColumn("n", F.expr(f"greatest(1L, (words + {block // 2}) div {block})"))
+    quotas = words.join(sources.select("key", "seats"), "key").groupBy("key").applyInPandas(_quotas, "key string, shard int, words long, n long, quota long")
 
     order = W.partitionBy("key", "shard").orderBy("doc_id", "mark", "size")
     end = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
     placed = dealt.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).join(quotas, ["key", "shard"])
-    n = F.greatest(F.lit(1), F.ceil(F.col("words") / block).cast("long"))
     placed = (
-        placed.withColumn("n", n)
-        .withColumn("times", F.expr("quota div n"))
+        placed.withColumn("times", F.expr("quota div n"))
         .withColumn("extra", F.col("quota") % F.col("n"))
         .withColumn("step", F.lit(_STEP) % F.col("n"))
         .withColumn("turn", F.pmod(F.xxhash64("key", "shard", F.lit(seed)), F.col("n")))
     )
     part = F.expr(
-        f"aggregate(sequence(start div {block}L, (end - 1) div {block}L), 0L, (s, b) -> s + if(pmod(step * b + turn, n) < extra,"
-        f" least(end, (b + 1) * {block}L) - greatest(start, b * {block}L), 0L))"
+        f"aggregate(sequence(least(start div {block}L, n - 1), least((end - 1) div {block}L, n - 1)), 0L, (s, b) -> s + if(pmod(step * b + turn, n) < extra,"
+        f" least(end, if(b = n - 1, words, (b + 1) * {block}L)) - greatest(start, b * {block}L), 0L))"
     )
     whole = F.when(F.col("size") > 0, F.col("times") * F.col("size") + part).otherwise(F.lit(0).cast("long"))
     return placed.withColumn("taken", whole).join(F.broadcast(sources) if len(known) < 10_000 else sources, "key").select("doc_id", "mark", "size", "source_size", "target", "taken")

@@ -21,6 +21,23 @@ def test_highest_quotients():
         assert mixing.sainte_lague(np.array(votes), seats).tolist() == given
 
 
+def test_no_more_than_most():
+    rnd = random.Random(5)
+    for _ in range(150):
+        votes = np.array([rnd.randrange(0, 3000) for _ in range(rnd.randrange(1, 9))])
+        most = 2 * np.maximum(1, (votes + 8) // 16)
+        given = mixing.sainte_lague(votes, rnd.randrange(0, 2 * int(most.sum())), most)
+        assert (given <= most).all() and (given[votes == 0] == 0).all()
+
+
+def test_tiny_sources_stop_at_twice_their_size(spark, tmp_path):
+    rows = [(k, "w " * (k % 40), "en", f"s{k % 7}") for k in range(60)] + [(100 + k, "v " * 500, "en", "t") for k in range(30)]
+    got = mixing.op4_source_mix(spark, saved(spark, tmp_path, documents=docs(spark, rows))).collect()
+    assert all(r.taken <= 2 * r.size for r in got)
+    full = [r for r in got if r.target == 2 * r.source_size]
+    assert full and sum(r.taken for r in full) >= 0.95 * sum(2 * r.size for r in full)
+
+
 def test_targets_fill_up():
     assert mixing.targets([100, 100, 100], [3, 1, 2]) == [200.0, 250 / 3, 500 / 3]
     got = mixing.targets([10, 1000, 0, 50], [3, 1, 2, 3])
