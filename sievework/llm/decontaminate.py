@@ -30,7 +30,7 @@ from .common import Texts, pieces, table, written
 
 WINDOW = 13
 #: Largest part of the benchmark, in bytes of text, that is broadcast at once.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 #: A document is contaminated if at least one word in so many is hit.
 ONE_IN = 20
 
@@ -41,6 +41,13 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_KEEP).split()
 
 
+def normal(text: bytes) -> bytes:
+    """The words of a text, each with a space before it and after it; a space alone if there are none."""
+    buf = np.frombuffer(b" " + text.translate(_KEEP) + b" ", np.uint8)
+    space = buf == 32
+    return buf[np.concatenate(([True], ~(space[1:] & space[:-1])))].tobytes()
+
+
 class Search:
     """Wu-Manber search for byte strings of about the same length."""
 
@@ -114,8 +121,7 @@ class Index:
 
     def hits(self, texts: Texts) -> list[tuple[int, list[int], set[str | None]]]:
         """For each text: its number of words, the hit words as a flat list of from, to, ..., and the items."""
-        normal = [words(texts[i]) for i in range(texts.n)]
-        rows = [b" " + b" ".join(w) + b" " for w in normal]
+        rows = [normal(texts[i]) for i in range(texts.n)]
         data = b"\0".join(rows)
         bounds = np.concatenate(([0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) + 1)))
         spaces = np.nonzero(np.frombuffer(data, np.uint8) == 32)[0]
@@ -136,7 +142,7 @@ class Index:
         flat: list[list[int]] = [[] for _ in rows]
         for d, a, b in zip(owner.tolist(), begin.tolist(), end.tolist(), strict=True):
             flat[d] += [a - int(base[d]), b - int(base[d])]
-        return [(len(w), f, s) for w, f, s in zip(normal, flat, items, strict=True)]
+        return [(row.count(b" ") - 1, f, s) for row, f, s in zip(rows, flat, items, strict=True)]
 
 
 def _merged(flat: list[int]) -> list[int]:
@@ -159,7 +165,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window:
 
     def looked_up(index: Index, earlier: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch, texts in pieces(batches, text, 4 << 20):
+            for batch, texts in pieces(batches, text, 1 << 20):
                 got = index.hits(texts)
                 hits, names = [f for _, f, _ in got], [sorted(x for x in s if x is not None) for _, _, s in got]
                 columns, own = list(batch.columns), batch.schema.names
