@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -401,7 +402,7 @@ def incremental_resume_stream(spark, sf):
     from ..streaming import incremental
 
     base_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sievework-stream-")
-    folder = f"{base_dir}/stream-{F.lit(0)._jc.hashCode() & 0xFFFFFFFF:x}"
+    folder = f"{base_dir}/stream-{uuid.uuid4().hex}"  # a run of its own: another one may share the folder
     e = table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type")
     for part in (0, 1):
         e.where(F.col("id") % 2 == part).union(e.where("id % 10 = 0")).write.mode("append").parquet(f"{folder}/in")

@@ -14,7 +14,7 @@ def stream_of(spark: SparkSession, path: str, schema: T.StructType | str, kind:
 
 
 def run_available(stream: DataFrame, output: str, checkpoint: str, key: str = "id", transform: Callable[[DataFrame], DataFrame] | None = None) -> int:
-    """Processes what is there and not yet done, each id once over all runs, and returns the rows written.
+    """Processes what is there and not yet done, each id once over all runs, and returns the rows read.
 
     The checkpoint holds the files that were read and the ids that were seen; give ids a watermark where they may be forgotten."""
     rows = stream.dropDuplicates([key])
