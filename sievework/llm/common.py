@@ -67,6 +67,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """docs as (row, text): all other columns in a struct, so that no name clashes with those an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row"), F.col("text").cast("string").alias("text"))
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """These columns of rows that packed() has made."""
+    return df.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
 def held_out(doc_id: str, modulus: int, remainder: int):
     """True where crc32 of the id as text leaves this remainder; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder, F.lit(False))

@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Texts, pieces, table, written
+from .common import Texts, packed, pieces, table, unpacked, written
 
 WINDOW = 13
 #: Largest part of the benchmark, in bytes of text, that is broadcast at once.
@@ -160,8 +161,8 @@ def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window:
     items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     slices = max(1, -(-size * 5 // (4 * slice_bytes))) if size > slice_bytes else 1
-    more = "__words long, __hits array<int>, __items array<string>"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + more
+    more = {"__words": T.LongType(), "__hits": T.ArrayType(T.IntegerType()), "__items": T.ArrayType(T.StringType())}
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(k, kind) for k, kind in more.items())])
 
     def looked_up(index: Index, earlier: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +197,8 @@ def judged(docs: DataFrame, benchmark: DataFrame, one_in: int = ONE_IN, **option
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated."""
-    return judged(docs, benchmark).where("not __contaminated").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that are not contaminated, with their own columns, whatever these are named."""
+    return unpacked(judged(packed(docs), benchmark).where("not __contaminated"), docs.columns)
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

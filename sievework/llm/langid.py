@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Texts, held_out, pieces, sums, table
+from .common import Texts, held_out, packed, pieces, sums, table, unpacked
 
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 128, (2, 3, 4), 16, 8
 ROWS, PER_LANGUAGE, WINDOWS = 4000, 1200, 5
@@ -187,13 +188,13 @@ def predicted(docs: DataFrame, network: Network | None) -> DataFrame:
                 names[known], scores[known] = np.array(model.network.languages, object)[best[known]], score[known]
             yield pa.record_batch([*batch.columns, pa.array(names, pa.string()), pa.array(scores)], [*batch.schema.names, "__lang", "__score"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __lang string, __score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__score", T.DoubleType())]))
 
 
 def accepted(docs: DataFrame, network: Network | None, least: float = LEAST_SCORE) -> DataFrame:
-    """The documents in a known language, by their score."""
-    sure = predicted(docs, network).where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least))
-    return sure.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents in a known language, by their score, with their own columns, whatever these are named."""
+    sure = predicted(packed(docs), network).where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least))
+    return unpacked(sure, docs.columns)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,7 +126,8 @@ def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BL
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of which the mix takes words: columns of docs with size, source_size, target and taken."""
+    """The documents of which the mix takes words: columns of docs with size, source_size, target and taken, which replace columns
+    of these names."""
     found = taken(written(measured(docs), "sizes"))
     same = W.partitionBy("doc_id", "mark").orderBy("taken")
     counted = found.withColumn("copy", F.row_number().over(same))
@@ -134,7 +135,9 @@ def mixed(docs: DataFrame) -> DataFrame:
     marked = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("long").alias("d"), F.xxhash64("text").alias("m"))
     marked = marked.withColumn("c", F.row_number().over(W.partitionBy("d", "m").orderBy("d")))
     near = (marked.d.eqNullSafe(counted.doc_id)) & (marked.m == counted.mark) & (marked.c == counted["copy"])
-    return marked.join(counted, near).where("taken > 0").select(*[F.col(f"row.{c}") for c in names], "size", "source_size", "target", "taken")
+    added = ["size", "source_size", "target", "taken"]
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in added]
+    return marked.join(counted, near).where("taken > 0").select(*own, *added)
 
 
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

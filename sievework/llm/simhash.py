@@ -232,7 +232,10 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> D
     kept = docs.join(stays, docs.doc_id.eqNullSafe(stays["__stays"]), "left_semi")
     # repeated rows of one id: any one of them stays, chosen by content
     order = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    return kept.withColumn("__n", F.row_number().over(W.partitionBy("doc_id").orderBy(order))).where("__n = 1").drop("__n")
+    number = "__n"
+    while number in docs.columns:
+        number += "n"
+    return kept.withColumn(number, F.row_number().over(W.partitionBy("doc_id").orderBy(order))).where(F.col(number) == 1).drop(number)
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

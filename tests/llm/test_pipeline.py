@@ -1,5 +1,7 @@
 """Each stage on what its predecessor kept, against brute force."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 from . import test_decontaminate, test_simhash, test_substrings
@@ -44,3 +46,15 @@ def test_run(spark, data):
     rows = found.collect()
     assert rows and len({r.doc_id for r in rows}) == len(rows)
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_with_clashing_columns(spark, data, tmp_path):
+    names = "size source_size target taken row mark key n __lang __score __words __hits __items __n_hit __contaminated __stays __n fp component_id d m c copy first last cut __doc __d __m".split()
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    wide = docs.withColumns({n: F.lit("x") for n in names})
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, wide, data).write.parquet(f"{tmp_path}/wide-{name}")
+        got = spark.read.parquet(f"{tmp_path}/wide-{name}")
+        assert got.count() == stage(spark, docs, data).count()
+        if k < len(corpus_pipeline.STAGES) - 1:
+            assert got.columns == wide.columns and got.where("__n <> 'x' or row <> 'x' or size <> 'x'").count() == 0
