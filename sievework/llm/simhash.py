@@ -12,7 +12,8 @@ dealt to several tasks, each with the whole tree of the key and its own share of
 the links it found, never the pairs, and the components come from alternating star contractions over written tables.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any other; a text of fewer words than the shingle size
-is one shingle; repeated rows each get a result row; a null id is never the smallest id of its component unless all are null.
+is one shingle; repeated rows each get a result row; a null id is never the smallest id of its component unless all are null. A row
+is told apart by its id and a mark of its text, so of each component one row stays, whatever ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Texts, table, written
@@ -53,16 +54,17 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
+    """(doc_id, mark, fp): the fingerprint of every row as a signed long; mark stands for the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = Texts(batch.column(1))
+            texts = Texts(batch.column(2))
             fps = np.fromiter((fingerprint(texts[i], width) for i in range(texts.n)), np.uint64, texts.n)
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], ["doc_id", "mark", "fp"])
 
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    own = F.col(text).cast("string")
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(own).alias("mark"), own.alias("text"))
+    return source.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 # -- BK-trees ---------------------------------------------------------------------------------------------------------------------
@@ -213,29 +215,38 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _rooted(rows: DataFrame, least: Column, radius: int) -> DataFrame:
+    """(fp, least, root): each different fingerprint with `least` over its rows and the fingerprint that its component is named by."""
+    first = written(rows.groupBy("fp").agg(least.alias("least")), "distinct")
+    roots = components(links(first.select("fp"), first.count(), radius))
+    return first.join(roots, first.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id): every row's fingerprint and the smallest id in its component."""
-    rows = written(fingerprints(docs, doc_id, text, width), "fingerprints")
-    first = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(first.select("fp"), first.count(), radius))
-    rooted = first.join(roots, first.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rows = written(fingerprints(docs, doc_id, text, width).select("doc_id", "fp"), "fingerprints")
+    rooted = _rooted(rows, F.min("doc_id"), radius)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rows.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
-    """One row of each component: one with the smallest id. Columns are those of docs."""
+    """One row of each component: one with the smallest id, nulls last. Columns are those of docs."""
     from pyspark.sql import Window as W
 
-    stays = groups(docs, width=width, radius=radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stays = stays.select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(stays, docs.doc_id.eqNullSafe(stays["__stays"]), "left_semi")
-    # repeated rows of one id: any one of them stays, chosen by content
+    rows = written(fingerprints(docs, width=width), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "mark")
+    stays = _rooted(rows, F.min(row), radius).groupBy("root").agg(F.min("least").alias("least"))
+    stays = stays.select(F.col("least.doc_id").alias("__stays"), F.col("least.mark").alias("__mark"))
+    own, mark = docs.doc_id.cast("long"), F.xxhash64(docs.text.cast("string"))
+    kept = docs.join(stays, own.eqNullSafe(stays["__stays"]) & (mark == stays["__mark"]), "left_semi")
+    # repeated rows of one id and text: any one of them stays, chosen by content
     order = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
     number = "__n"
     while number in docs.columns:
         number += "n"
-    return kept.withColumn(number, F.row_number().over(W.partitionBy("doc_id").orderBy(order))).where(F.col(number) == 1).drop(number)
+    same = W.partitionBy(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))).orderBy(order)
+    return kept.withColumn(number, F.row_number().over(same)).where(F.col(number) == 1).drop(number)
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,14 @@ def test_dedup_keeps_one_row_of_each_group(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(groups)
 
 
+def test_dedup_tells_rows_apart_by_id_and_text(spark):
+    long = [" ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"]
+    rows = [(None, long[0]), (None, long[1]), (1, long[2]), (1, long[3]), (2, long[4]), (None, long[4]), (0, long[5]), (2, long[5]), (None, long[0]), (1, long[3])]
+    kept = simhash.deduplicated(docs(spark, rows)).collect()
+    expected = [(None, long[0]), (None, long[1]), (1, long[2]), (1, long[3]), (2, long[4]), (0, long[5])]
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(d), t) for d, t in expected)
+
+
 def test_empty_table(spark):
     df = docs(spark, HARD).limit(0)
     assert simhash.groups(df).count() == 0 and simhash.deduplicated(df).count() == 0
