@@ -3,8 +3,8 @@
 The standard library's parser streams tags and text; a page becomes lines, one for each block with text. A line's ratio is its
 characters per tag. Ratios are smoothed with a Gaussian along the page, and a threshold from their spread separates content lines
 from the rest. Lines in elements that are no content by their name, role, class or id (menus, forms, adverts, comments, ...) never
-count as content. The deepest element that holds most of the content's characters is the article: its lines make the text, so that
-short paragraphs between long ones stay. Where that element is the whole page, only lines from the first to the last content line
+count as content. The article or main element that holds most of the content's characters, or else the deepest element that holds
+all of them, is the article: its lines make the text, so that short paragraphs between long ones and short sections stay. Where that element is the whole page, only lines from the first to the last content line
 are taken, without those that are mostly links.
 
 Edge cases: null and empty pages give an empty text; a page without tags is one block; elements left open end with their parent or
@@ -183,6 +183,13 @@ def main_text(page: str | None) -> str:
             inside[element] = inside.get(element, 0.0) + size[i]
     # elements are numbered in page order, so of those that hold enough the last opened one is the deepest
     article = max((e for e, s in inside.items() if s >= SHARE * total), default=-1)
+    # an article or main element that holds it is taken whole; elsewhere the smallest element with every content line
+    path = next((x[4] for x in lines if article in x[4]), ())
+    marked = [e for e in path[: path.index(article) + 1] if parser.kinds[e] in ("article", "main")] if path else []
+    if marked:
+        article = marked[-1]
+    else:
+        article = max((e for e, s in inside.items() if s >= total), default=-1)
     while article >= 0 and parser.kinds[article] in ("p", "li", "ul", "ol", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tbody", "tr", "figure", "dl", "dd"):
         path = next(x[4] for x in lines if article in x[4])
         at = path.index(article)

@@ -34,6 +34,14 @@ def test_regions():
         assert html.main_text(page(before + open_ + ARTICLE + AFTER["comments"] + close + after)) == TEXT
 
 
+def test_uneven_sections():
+    long = "A long sentence of the body that goes on for quite a while. " * 20
+    for open_, close in (("<article>", "</article>"), ("<main>", "</main>")):
+        for first, body in (("<section>Short intro.</section>", f"<section><p>{long}</p><p>{long}</p></section>"), ("<p class=lead>Short intro.</p>", f"<div class=body><p>{long}</p><p>{long}</p></div>")):
+            got = html.main_text(page(NOISE["nav"] + open_ + "<h1>Title of it</h1>" + first + body + "<section>Short end.</section>" + close + AFTER["footer"]))
+            assert got == "\n".join(["Title of it", "Short intro.", long.strip(), long.strip(), "Short end."])
+
+
 def test_edges():
     assert html.main_text(None) == html.main_text("") == html.main_text(page("")) == ""
     assert html.main_text("only  text &lt;b&gt;\n more") == "only text <b> more"
