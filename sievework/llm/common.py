@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 _made: list[tuple[SparkSession, str]] = []
+_places: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: Spark drops the shuffle files of a query once it has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,12 +28,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where none is set (local runs)."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where none is set, a temporary one if the master is local; elsewhere
+    executors would write to folders that the others cannot see, so that is an error."""
     given = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
     here = spark.sparkContext.getCheckpointDir()
     if not here:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sievework-"))
         here = spark.sparkContext.getCheckpointDir()
     return here.rstrip("/")
@@ -62,9 +68,22 @@ def _clean() -> None:
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Cuts the lineage: df as a Parquet table in the shared folder, which survives the loss of executors."""
-    path = new_folder(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = new_folder(spark, tag), spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
+    found = spark.read.schema(df.schema).parquet(path)
+    _places[found] = path
+    return found
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes tables that written() has made and nothing reads any more."""
+    for df in tables:
+        delete(df.sparkSession, _places.pop(df))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -178,12 +197,3 @@ def bounded_rows(df: DataFrame, most: int, *key: str) -> DataFrame:
         return df
     share = int(most / n * (1 << 30))
     return df.where(F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit("sample")), F.lit(1 << 30)) < share)
-
-
-def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Removes tables that written() has made, and lets Spark drop the shuffle files of plans that are done."""
-    for df in tables:
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            delete(spark, path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

@@ -215,25 +215,25 @@ def starts(docs: DataFrame) -> DataFrame:
     # what is counted is written before it is joined: Spark splits a hot gram only between two plain shuffles
     twice = written(found.groupBy("gram").count().where("count > 1").select("gram"), "grams")
     shared = written(found.join(twice, "gram", "left_semi"), "shared")
-    release(spark, found, twice)
+    release(found, twice)
 
     one = F.min(F.struct("doc_id", "mark", "place")).alias("one")
     groups = written(shared.groupBy("gram", "around").agg(F.count("*").alias("n"), one).select("gram", "around", "n", "one.*"), "groups")
     whole = groups.where("n > 1").select("gram", "around")
     whole = written(shared.join(whole, ["gram", "around"], "left_semi").select("doc_id", "mark", "place"), "whole")
-    release(spark, shared)
+    release(shared)
 
     # one anchor of each kind stands for its equals; a gram with one kind needs no more than the above
     varied = written(groups.groupBy("gram").count().where("count > 1").select("gram"), "varied")
     rest = groups.join(varied, "gram", "left_semi").groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places"))
     near = docs.join(rest, docs.doc_id.eqNullSafe(rest.doc_id) & (docs.mark == rest.mark)).select(docs.doc_id, docs.mark, "text", "places")
     coarse = written(near.mapInArrow(_cells, _CELLS), "cells")
-    release(spark, groups, varied)
+    release(groups, varied)
     hot = coarse.groupBy("core").count().where(F.col("count") > MOST).select("core")
     fine = coarse.join(hot, "core", "left_semi").select(*coarse.columns).mapInArrow(_finer, _CELLS)
     both = coarse.join(hot, "core", "left_anti").select(*coarse.columns).union(fine).withColumn("context", F.xxhash64("core", "before", "after", "cell"))
     both = written(both, "contexts")
-    release(spark, coarse)
+    release(coarse)
 
     merged = both.groupBy("core", "before", "after", "cell", "context").agg(F.count("*").alias("n")).select("core", "before", "after", "cell", "n", "context")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -243,7 +243,7 @@ def starts(docs: DataFrame) -> DataFrame:
     first = F.shiftright("place", 16)
     ranges = whole.select("doc_id", "mark", first.alias("first"), (first + F.col("place").bitwiseAND(F.lit(255))).alias("last"))
     result = written(single.select("doc_id", "mark", "first", F.col("first").alias("last")).union(ranges), "starts")
-    release(spark, both, whole)
+    release(both, whole)
     return result
 
 

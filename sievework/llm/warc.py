@@ -1,7 +1,9 @@
 """WARC archives: a deterministic sharded writer, and a reader.
 
-Writing: pages are sorted by page_id within ranges of it, one shard for each range; the bounds come from a sample of ids chosen by a
-hash, so that reruns make the same shards. A task writes its shard record by record, each a gzip member of its own with fresh headers
+Writing: pages are sorted by page_id, and those of one id by a hash of payload and url, within ranges of this order, one shard for
+each range. Bounds are exact: a sample of keys, chosen by their hash, cuts the order into at most COARSE parts, and running sums of payload bytes within each part
+cut it into shards of about `shard_bytes`, so that reruns make the same shards, their number follows the bytes and one id with many
+pages is split. A task writes its shard record by record, each a gzip member of its own with fresh headers
 and digests, and starts a new file when the compressed size reaches `roll`. Files are written under temporary names that hold
 the attempt; a manifest of the attempts that Spark committed lists them, and a second job moves just these to their final names,
 which a repeated task finds done. What lost attempts left goes with the temporary folder.
@@ -10,14 +12,21 @@ Of records with equal payloads of at least `least` bytes the one with the larges
 Which page revisits which is decided on digests alone; the few facts travel to the shard sorted in front of their page, so that
 payloads are shuffled once.
 
+Reading: tasks stream the files in pieces of PIECE bytes through the decompressor, so that they hold one record at a time and the work is in
+proportion to the bytes, whatever number of records a file has.
+
 Edge cases: a null html is an empty payload; a null page_id sorts first and is the response only where all of its equals are null;
-repeated rows of a page are one response and revisits of the same page_id; an empty table makes an empty manifest.
+repeated rows of a page are one response and revisits of the same page_id (rows that are equal in id, url and payload share a shard); an empty
+table makes an empty manifest; a payload of any length is one record, which a task holds whole, three times over, while it packs or
+checks it; a url with control characters is kept in a header of its own; other columns of pages are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,12 +36,15 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import delete, new_folder, table, written
 
-#: Compressed bytes after which a new file starts; bytes of payload of a shard; ids that choose the bounds.
-ROLL, SHARD, SAMPLE = 32 << 20, 64 << 20, 20_000
+#: Compressed bytes after which a new file starts; bytes of payload of a shard; keys that choose the coarse parts, and how many parts.
+ROLL, SHARD, SAMPLE, COARSE = 32 << 20, 64 << 20, 20_000, 1024
+#: Compressed bytes that a reader takes at a time.
+PIECE = 16 << 10
 DATE = "1970-01-01T00:00:00Z"
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MANIFEST = "shard int, name string, temporary string, records long, bytes long, sha256 string"
@@ -42,24 +54,29 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record_id(page_id: int | None, digest: str, ordinal: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}:{ordinal}')}>"
+def record_id(page_id: int | None, key: int, digest: str, ordinal: int) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{key}:{digest}:{ordinal}')}>"
 
 
-def record(page_id: int | None, ordinal: int, url: str | None, payload: bytes, revisits: bool, refers_to: int | None) -> bytes:
-    """One record, not compressed. A revisit has the HTTP header of its payload, with the payload's length, but no payload."""
+def record(page_id: int | None, key: int, ordinal: int, url: str | None, payload: bytes, refers_to: tuple[int | None, int] | None) -> bytes:
+    """One record, not compressed. A revisit (refers_to: id and key of the response) has the HTTP header of its payload, with the
+    payload's length, but no payload."""
+    revisits = refers_to is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisits else http + payload
     digest = base32_sha1(payload)
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisits else 'response'}", f"WARC-Record-ID: {record_id(page_id, digest, ordinal)}", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisits else 'response'}", f"WARC-Record-ID: {record_id(page_id, key, digest, ordinal)}", f"WARC-Date: {DATE}"]
     if url is not None:
-        head.append("WARC-Target-URI: " + "".join(c for c in url if c >= " "))
+        plain = "".join(c for c in url if c.isprintable()).strip()
+        head.append(f"WARC-Target-URI: {plain}")
+        if plain != url:
+            head.append(f"Page-URL: {json.dumps(url)}")
     if page_id is not None:
         head.append(f"Page-ID: {page_id}")
     if revisits:
-        head.append(f"WARC-Profile: {_REVISIT}")
-        if refers_to is not None:
-            head += [f"WARC-Refers-To: {record_id(refers_to, digest, 0)}", f"Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Profile: {_REVISIT}", f"WARC-Refers-To: {record_id(*refers_to, digest, 0)}"]
+        if refers_to[0] is not None:
+            head.append(f"Refers-To-Page-ID: {refers_to[0]}")
     head += [f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -70,24 +87,29 @@ def gzip_member(data: bytes, level: int = 6) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of an archive of gzip members."""
-    view, at = memoryview(archive), 0
-    while at < len(view):
-        unpacker = zlib.decompressobj(31)
-        data = unpacker.decompress(view[at:])
-        if not unpacker.eof:
-            raise ValueError("the archive ends inside a record")
-        at = len(view) - len(unpacker.unused_data)
-        head, _, rest = data.partition(b"\r\n\r\n")
-        lines = head.decode().split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record: {lines[0][:40]!r}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
-        n = int(headers["content-length"])
-        if rest[n:] != b"\r\n\r\n":
-            raise ValueError("the block's length is not that of its header")
-        yield headers, rest[:n]
+def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (names in lower case) and block of each record of an archive of gzip members, from anything with read()."""
+    unpacker, parts, piece = zlib.decompressobj(31), [], b""
+    while piece := piece or bytes(stream.read(PIECE)):
+        parts.append(unpacker.decompress(piece))
+        piece = unpacker.unused_data  # of this piece only
+        if unpacker.eof:
+            yield _record(b"".join(parts))
+            unpacker, parts = zlib.decompressobj(31), []
+    if parts:
+        raise ValueError("the archive ends inside a record")
+
+
+def _record(data: bytes) -> tuple[dict[str, str], bytes]:
+    head, _, rest = data.partition(b"\r\n\r\n")
+    lines = head.decode().split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError(f"no WARC record: {lines[0][:40]!r}")
+    headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+    n = int(headers["content-length"])
+    if rest[n:] != b"\r\n\r\n":
+        raise ValueError("the block's length is not that of its header")
+    return headers, rest[:n]
 
 
 class _Rolling:
@@ -104,7 +126,7 @@ class _Rolling:
             self.name = f"shard-{self.shard:06d}-{len(self.made):05d}.warc.gz"
             self.temporary = f"_temporary/{self.name}.{self.attempt}"
             self.fs.create_dir(f"{self.path}/_temporary", recursive=True)
-            self.stream, self.size, self.count, self.digest = self.fs.open_output_stream(f"{self.path}/{self.temporary}"), 0, 0, hashlib.sha256()
+            self.stream, self.size, self.count, self.digest = self.fs.open_output_stream(f"{self.path}/{self.temporary}", compression=None), 0, 0, hashlib.sha256()
         self.stream.write(member)
         self.digest.update(member)
         self.size, self.count = self.size + len(member), self.count + 1
@@ -123,23 +145,23 @@ def _writer(folder: str, roll: int, least: int):
         attempt = f"{context.stageId()}-{context.taskAttemptId()}"
         for batch in batches:
             for i in range(batch.num_rows):
-                number, page_id, digest, is_fact, url, html, target = (c[i].as_py() for c in batch.columns)
-                key = (page_id, digest)
+                number, page_id, key, digest, is_fact, url, html, target, target_key = (c[i].as_py() for c in batch.columns)
+                here = (page_id, key, digest)
                 if is_fact:
-                    fact, refers = key, target
+                    fact, refers = here, (target, target_key)
                     continue
                 if number != shard:
                     if files:
                         files.close()
                         made += files.made
                     files, shard = _Rolling(folder, number, attempt, roll), number
-                ordinal, last = (ordinal + 1 if key == last else 0), key
+                ordinal, last = (ordinal + 1 if here == last else 0), here
                 payload = (html or "").encode()
-                if key == fact:
-                    revisits, to = True, refers
+                if here == fact:
+                    to = refers
                 else:
-                    revisits, to = ordinal > 0 and len(payload) >= least, page_id
-                files.add(gzip_member(record(page_id, ordinal, url, payload, revisits, to if revisits else None)))
+                    to = (page_id, key) if ordinal > 0 and len(payload) >= least else None
+                files.add(gzip_member(record(page_id, key, ordinal, url, payload, to)))
         if files:
             files.close()
             made += files.made
@@ -163,42 +185,71 @@ def _moved(folder: str):
     return run
 
 
-def bounds(ids: DataFrame, shards: int, sample: int = SAMPLE) -> np.ndarray:
-    """Upper bounds of all shards but the last, from ids chosen by their hash."""
-    n = ids.count()
-    if shards < 2 or not n:
-        return np.zeros(0, np.int64)
-    part = F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30))
-    held = np.sort(np.array([r.page_id for r in ids.where("page_id is not null").where(part).select("page_id").toLocalIterator()], np.int64))
-    return np.unique(held[np.arange(1, shards) * len(held) // shards]) if len(held) else np.zeros(0, np.int64)
+class Bounds:
+    """Places in the order of (page_id, key), null ids first: sorted lower bounds of all ranges but the first."""
+
+    def __init__(self, rows: list[tuple[int | None, int]]) -> None:
+        held = sorted({(self.LEAST if p is None else p, k) for p, k in rows})
+        self.ids, self.keys = (np.array([r[i] for r in held], np.int64) for i in range(2))
+
+    LEAST = np.iinfo(np.int64).min
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def ranges(self, page_id: pa.Array, key: pa.Array) -> np.ndarray:
+        """The range that each row falls in."""
+        ids, keys = page_id.fill_null(self.LEAST).to_numpy(zero_copy_only=False), key.to_numpy(zero_copy_only=False)
+        low, high = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        for i in np.nonzero(high > low)[0]:
+            low[i] += np.searchsorted(self.keys[low[i] : high[i]], keys[i], "right")
+        return low.astype(np.int32)
+
+    def dealt(self, rows: DataFrame, name: str) -> DataFrame:
+        """rows (page_id, key, ...) with their range in front."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                number = pa.array(self.ranges(batch.column("page_id"), batch.column("key")))
+                yield pa.record_batch([number, *batch.columns], [name, *batch.schema.names])
+
+        return rows.mapInArrow(run, ", ".join([f"{name} int", *(f"{c} {kind}" for c, kind in rows.dtypes)]))
+
+
+def bounds(slim: DataFrame, shard_bytes: int, sample: int = SAMPLE, coarse: int = COARSE) -> Bounds:
+    """Bounds of shards of about shard_bytes each; slim has page_id, key and n, the bytes. The driver sees the sample and a row for each shard."""
+    n, total = slim.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    coarse = min(coarse, max(1, total // shard_bytes // 8))  # each part ends with a shard that is not full
+    part = F.pmod(F.xxhash64("page_id", "key"), F.lit(1 << 30)) < int(min(1.0, sample / max(n, 1)) * (1 << 30))
+    held = sorted({(Bounds.LEAST if r.page_id is None else r.page_id, r.key) for r in slim.where(part).select("page_id", "key").toLocalIterator()})
+    parts = Bounds([held[i * len(held) // coarse] for i in range(1, coarse)] if coarse <= len(held) else held[1:])
+    order = W.partitionBy("part").orderBy("page_id", "key").rowsBetween(W.unboundedPreceding, 0)
+    cut = parts.dealt(slim.select("page_id", "key", "n"), "part").withColumn("shard", F.floor(F.sum("n").over(order) / shard_bytes))
+    first = cut.groupBy("part", "shard").agg(F.min(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "key")).alias("first"))
+    return Bounds(sorted((Bounds.LEAST if r.page_id is None else r.page_id, r.key) for r in first.select("first.*").toLocalIterator())[1:])
 
 
 def write(pages: DataFrame, folder: str, roll: int = ROLL, shard_bytes: int = SHARD, least: int = 0) -> DataFrame:
     """Writes pages (page_id, url, html) to folder; returns the manifest, which is also written there."""
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    rows = rows.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
-    # page_id and digest decide who revisits whom
-    slim = written(rows.select("page_id", "digest", F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("n")), "payloads")
-    top = slim.where(F.col("n") >= least).groupBy("digest").agg(F.max("page_id").alias("top"), F.count("*").alias("copies")).where("copies > 1")
-    facts = slim.join(top, "digest").where(~F.col("page_id").eqNullSafe(F.col("top"))).select("page_id", "digest", F.col("top").alias("target")).distinct()
+    rows = rows.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary"))).withColumn("key", F.xxhash64("digest", "url"))
+    # page_id, digest and key decide who revisits whom
+    slim = written(rows.select("page_id", "key", "digest", F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("n")), "payloads")
+    place = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", (-F.col("key").cast("decimal(20,0)")).alias("back"), "key")  # the largest id, of it the least key
+    top = slim.where(F.col("n") >= least).groupBy("digest").agg(F.max(place).alias("top"), F.count("*").alias("copies")).where("copies > 1")
+    top = written(top.select("digest", F.col("top.page_id").alias("target"), F.col("top.key").alias("target_key")), "tops")
+    facts = slim.join(top, "digest").where(~(F.col("page_id").eqNullSafe(F.col("target")) & (F.col("key") == F.col("target_key"))))
+    facts = facts.select("page_id", "key", "digest", "target", "target_key").distinct()
     total = slim.agg(F.sum("n")).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // shard_bytes))
-    limits = bounds(slim.select("page_id"), shards)
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("page_id")
-            number = np.searchsorted(limits, ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False), "left")
-            yield pa.record_batch([pa.array(number.astype(np.int32)), *batch.columns], ["shard", *batch.schema.names])
+    limits = bounds(slim, max(1, min(shard_bytes, total // int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
-    fields = "page_id long, digest string, fact boolean, url string, html string, target long"
     none = F.lit(None).cast("string")
-    both = rows.select("page_id", "digest", F.lit(False).alias("fact"), "url", "html", F.lit(None).cast("long").alias("target")).union(
-        facts.select("page_id", "digest", F.lit(True), none, none, "target")
+    both = rows.select("page_id", "key", "digest", F.lit(False).alias("fact"), "url", "html", F.lit(None).cast("long").alias("target"), F.lit(None).cast("long").alias("target_key")).union(
+        facts.select("page_id", "key", "digest", F.lit(True), none, none, "target", "target_key")
     )
-    sharded = both.mapInArrow(dealt, f"shard int, {fields}").repartitionById(len(limits) + 1, F.col("shard"))
-    ordered = sharded.sortWithinPartitions("shard", "page_id", "digest", F.desc("fact"), "url")
+    sharded = limits.dealt(both, "shard").repartitionById(len(limits) + 1, F.col("shard"))
+    ordered = sharded.sortWithinPartitions("shard", "page_id", "key", "digest", F.desc("fact"), "url")
     ordered.mapInArrow(_writer(folder, roll, least), _MANIFEST).write.parquet(f"{folder}/manifest")
     manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
     manifest.mapInArrow(_moved(folder), "name string").agg(F.count("*")).collect()
@@ -216,15 +267,18 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return int(headers[name]) if name in headers else None
 
     for batch in batches:
-        for content in batch.column("content"):
+        for path in batch.column("path").to_pylist():
+            # Spark writes file:/x where the file systems of pyarrow ask for file:///x
+            files, place = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
             rows, size = [], 0
-            for headers, block in records(content.as_buffer()):
+            for headers, block in records(files.open_input_stream(place, compression=None)):
                 http, _, payload = block.partition(b"\r\n\r\n")
                 length = int(next(x for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")).split(b":")[1])
                 digest, kind = headers["warc-payload-digest"].removeprefix("sha1:"), headers["warc-type"]
                 if base32_sha1(block) != headers["warc-block-digest"].removeprefix("sha1:") or kind == "response" and (base32_sha1(payload) != digest or len(payload) != length):
                     raise ValueError(f"record {headers['warc-record-id']} does not have the bytes of its digest")
-                rows.append((number(headers, "page-id"), headers.get("warc-target-uri"), length, digest, kind, number(headers, "refers-to-page-id"), payload if kind == "response" else None))
+                url = json.loads(headers["page-url"]) if "page-url" in headers else headers.get("warc-target-uri")
+                rows.append((number(headers, "page-id"), url, length, digest, kind, number(headers, "refers-to-page-id"), payload if kind == "response" else None))
                 size += len(payload)
                 if size > 8 << 20:
                     yield batch_of(rows)
@@ -235,7 +289,7 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The records of all archives in folder; digests and lengths are verified."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder)
-    return files.select("content").mapInArrow(_parsed, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    return files.select("path").mapInArrow(_parsed, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import base64
 import gzip
 import hashlib
+import io
+import time
 
 import pytest
 
@@ -68,7 +70,55 @@ def test_empty(spark, tmp_path):
 
 
 def test_damage_is_found(spark, tmp_path):
-    bad = warc.record(1, 0, "u", b"payload", False, None).replace(b"payload", b"paylord")
+    bad = warc.record(1, 5, 0, "u", b"payload", None).replace(b"payload", b"paylord")
     (tmp_path / "x.warc.gz").write_bytes(warc.gzip_member(bad))
     with pytest.raises(Exception, match="does not have the bytes"):
         warc.read(spark, f"file://{tmp_path}").collect()
+
+
+def test_urls_come_back_as_they_were(spark, tmp_path):
+    folder = f"file://{tmp_path}/out"
+    warc.write(spark.createDataFrame(ROWS + [(20, " x ", "h"), (21, "", "h2"), (22, "a\x7f\u2028b", "h3")], PAGES), folder)
+    urls = {(r.page_id, r.url) for r in warc.read(spark, folder).collect()}
+    assert urls == {(p, u) for p, u, _ in ROWS} | {(20, " x "), (21, ""), (22, "a\x7f\u2028b")}
+
+
+def test_reading_takes_time_in_proportion_to_the_records():
+    def seconds(n):
+        archive = b"".join(warc.gzip_member(warc.record(i, i, 0, "u", hashlib.sha256(b"%d" % i).hexdigest().encode() * 80, None), 1) for i in range(n))
+        began = time.process_time()
+        assert sum(1 for _ in warc.records(io.BytesIO(archive))) == n
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(4000) < 12 * max(seconds(500), 0.01)
+
+
+def test_an_archive_that_ends_early_is_found():
+    member = warc.gzip_member(warc.record(1, 1, 0, "u", b"payload" * 99, None))
+    with pytest.raises(ValueError, match="ends inside"):
+        list(warc.records(io.BytesIO(member + member[:-20])))
+
+
+@pytest.mark.parametrize("page_id", [7, None])
+def test_one_id_with_many_pages_is_split(spark, tmp_path, page_id):
+    rows = [(page_id, f"u{i}", f"text {i % 50} " * 20) for i in range(600)]
+    folder = f"file://{tmp_path}/out"
+    manifest = warc.write(spark.createDataFrame(rows, PAGES), folder, shard_bytes=5_000)
+    found = warc.read(spark, folder)
+    assert manifest.select("shard").distinct().count() > 10
+    assert found.where("record_type = 'response'").count() == 50
+    assert sorted(r.url for r in found.collect()) == sorted(u for _, u, _ in rows)
+
+
+def test_bounds_do_not_depend_on_the_sample(spark):
+    slim = spark.range(5000).selectExpr("id as page_id", "xxhash64(id) as key", "100L as n")
+    few, many = (warc.bounds(slim, 10_000, sample=s, coarse=8) for s in (40, 5000))
+    assert abs(len(few) - 49) <= 8 and abs(len(many) - 49) <= 8 and warc.bounds(slim, 10**9).ids.tolist() == []
+
+
+def test_other_columns_and_a_long_payload(spark, tmp_path):
+    rows = [(1, "u", "é" * 4_000_000, 5, "x"), (2, "u", "short", 6, None)]
+    pages = spark.createDataFrame(rows, PAGES + ", shard int, digest string")
+    folder = saved(spark, tmp_path, pages=pages)
+    assert {(r.page_id, r.payload_bytes) for r in warc.op9_warc(spark, folder).collect()} == {(1, 8_000_000), (2, 5)}
