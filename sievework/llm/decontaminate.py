@@ -7,12 +7,16 @@ the shift is zero, the block's hash selects a bucket of test strings, and direct
 of a batch move together as arrays. Test strings of very different lengths are searched apart, so that a short one does not shorten
 the shifts of the long ones.
 
-The benchmark is read in slices of at most `slice_bytes`, each broadcast with the search of a pass over the documents; a benchmark
-that fits in one slice takes one pass, without a shuffle. Beyond that, the hits of a pass are written with the documents and the
-next pass reads them.
+The benchmark is read in slices of at most about `slice_bytes` of text, each broadcast with the search of a pass over the documents; a benchmark
+that fits in one slice takes one pass, without a shuffle. Beyond that, items are cut into parts that share twelve words, so that a slice holds
+them whatever their length; a pass writes no texts, but the marks (MD5) of texts that it hits and their hits, and these are joined to the
+documents once, at the end. A search takes about 25 times the bytes of its slice, in each worker; it is no larger only where
+13 words in a row alone exceed the slice.
 
 Edge cases: null or wordless documents have no words, are not contaminated and hit nothing; null or wordless items are ignored;
-repeated items count once; a null item_id is no item of its own but its windows still hit words.
+repeated items count once; a null item_id is no item of its own but its windows still hit words; words and texts may have any length (a
+task holds a document and some 40 times its bytes); an empty table of documents gives an empty result, an empty benchmark hits nothing;
+repeated documents get a row each; `clean` keeps all columns of the documents, whatever they are named.
 """
 
 from __future__ import annotations
@@ -59,7 +63,7 @@ class Search:
         self.least = least = min(map(len, patterns))
         self.block = block = min(self.BLOCK, least)
         heads = np.frombuffer(b"".join(p[:least] for p in patterns), np.uint8).reshape(-1, least)
-        self.shift = np.full(1 << self.BITS, least - block + 1, np.uint8 if least < 255 else np.uint16)
+        self.shift = np.full(1 << self.BITS, least - block + 1, np.uint8 if least < 255 else np.uint16 if least < 65_535 else np.uint32)
         for end in range(block, least + 1):
             padded = np.zeros((len(patterns), 8), np.uint8)
             padded[:, :block] = heads[:, end - block : end]
@@ -100,7 +104,7 @@ class Search:
                 sure = np.fromiter((data.startswith(self.patterns[p], a) for a, p in zip(at.tolist(), candidate.tolist(), strict=True)), bool, len(at))
                 starts.append(at[sure])
                 found.append(candidate[sure])
-            cursor = cursor + np.maximum(shift, 1)
+            cursor = cursor + np.maximum(shift, 1).astype(np.int64)
             going = cursor < stop
             cursor, stop = cursor[going], stop[going]
         return np.concatenate(starts), np.concatenate(found)
@@ -110,11 +114,14 @@ class Index:
     """The test strings of items, in searches by length, with the words of each and the items it comes from."""
 
     def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW) -> None:
-        owners: dict[bytes, set[str | None]] = defaultdict(set)
+        owners: dict[bytes, tuple[str | None, ...]] = {}
         for name, text in items:
-            got = words(text)
+            got, one = words(text), (name,)
             for i in range(max(1, len(got) - window + 1) if got else 0):
-                owners[b" " + b" ".join(got[i : i + window]) + b" "].add(name)
+                p = b" " + b" ".join(got[i : i + window]) + b" "
+                had = owners.setdefault(p, one)
+                if name not in had:
+                    owners[p] = (*had, name)
         by_length: dict[int, list[bytes]] = defaultdict(list)
         for p in owners:
             by_length[min(6, len(p).bit_length())].append(p)
@@ -134,7 +141,7 @@ class Index:
             np.add.at(edge, first + length[found], -1)
             document = np.searchsorted(bounds, start, "right") - 1
             for d, p in set(zip(document.tolist(), found.tolist(), strict=True)):
-                items[d] |= owners[p]
+                items[d].update(owners[p])
         hit = np.concatenate(([0], (np.cumsum(edge)[:-1] > 0).astype(np.int8), [0]))
         turn = np.diff(hit)
         begin, end = np.nonzero(turn == 1)[0], np.nonzero(turn == -1)[0]
@@ -156,37 +163,90 @@ def _merged(flat: list[int]) -> list[int]:
     return out
 
 
+def _parts(most: int, window: int):
+    """Items in parts of about `most` bytes; neighbours share window - 1 words, so that each window is in one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column("name").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                got, i = words(text.encode()), 0
+                ends = np.cumsum([len(w) + 1 for w in got])
+                while i < len(got):
+                    start = int(ends[i - 1]) if i else 0
+                    j = min(len(got), max(i + window, int(np.searchsorted(ends, start + most, "right"))))
+                    yield pa.record_batch([pa.array([name], pa.string()), pa.array([b" ".join(got[i:j]).decode()])], ["name", "text"])
+                    i = j - window + 1 if j < len(got) else j
+
+    return run
+
+
+def _slices(items: DataFrame, size: int, window: int, slice_bytes: int) -> Iterator[DataFrame]:
+    """The items in slices of about slice_bytes."""
+    if size <= slice_bytes:
+        yield items
+        return
+    parts = written(items.mapInArrow(_parts(max(1, slice_bytes // 16), window), "name string, text string"), "parts")
+    n, number = -(-size * 5 // (4 * slice_bytes)), lambda n: F.pmod(F.xxhash64("name", "text"), F.lit(n))
+    weight = F.octet_length("text") + 64
+    most = max(slice_bytes * 3 // 2, 2 * (parts.agg(F.max(weight)).first()[0] or 0))
+    while (parts.groupBy(number(n)).agg(F.sum(weight).alias("w")).agg(F.max("w")).first()[0] or 0) > most:
+        n = n * 3 // 2 + 1
+    for k in range(n):
+        yield parts.where(number(n) == k)
+
+
+_MORE = {"__words": T.LongType(), "__hits": T.ArrayType(T.IntegerType()), "__items": T.ArrayType(T.StringType())}
+
+
+def _extended(batch: pa.RecordBatch, got: list[tuple[int, list[int], list[str]]], keep: int) -> pa.RecordBatch:
+    """The first `keep` columns of a batch with words, hits and items."""
+    more = [pa.array([w for w, _, _ in got], pa.int64()), pa.array([f for _, f, _ in got], pa.list_(pa.int32())), pa.array([s for _, _, s in got], pa.list_(pa.string()))]
+    return pa.record_batch([*batch.columns[:keep], *more], [*batch.schema.names[:keep], *_MORE])
+
+
+def _named(items: set[str | None]) -> list[str]:
+    return sorted(x for x in items if x is not None)
+
+
 def annotated(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """docs with __words (number), __hits (hit words as a flat list of from, to, ...) and __items (sorted ids as strings)."""
     items = benchmark.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text")).where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    slices = max(1, -(-size * 5 // (4 * slice_bytes))) if size > slice_bytes else 1
-    more = {"__words": T.LongType(), "__hits": T.ArrayType(T.IntegerType()), "__items": T.ArrayType(T.StringType())}
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(k, kind) for k, kind in more.items())])
+    schema, width = T.StructType([*docs.schema.fields, *(T.StructField(k, kind) for k, kind in _MORE.items())]), len(docs.columns)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    found: DataFrame | None = None
 
-    def looked_up(index: Index, earlier: bool):
+    def looked_up(index: Index):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch, texts in pieces(batches, text, 1 << 20):
-                got = index.hits(texts)
-                hits, names = [f for _, f, _ in got], [sorted(x for x in s if x is not None) for _, _, s in got]
-                columns, own = list(batch.columns), batch.schema.names
-                if earlier:
-                    old_hits, old_names = batch.column("__hits").to_pylist(), batch.column("__items").to_pylist()
-                    hits = [_merged(a + b) for a, b in zip(old_hits, hits, strict=True)]
-                    names = [sorted({*a, *b}) for a, b in zip(old_names, names, strict=True)]
-                    columns, own = columns[:-3], own[:-3]
-                columns += [pa.array([w for w, _, _ in got], pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))]
-                yield pa.record_batch(columns, [*own, "__words", "__hits", "__items"])
+                yield _extended(batch, [(w, f, _named(s)) for w, f, s in index.hits(texts)], width)
+
+        return run
+
+    def marked(index: Index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, texts in pieces(batches, "text", 1 << 20):
+                got = [(m, f, _named(s)) for m, (_, f, s) in zip(batch.column("mark").to_pylist(), index.hits(texts), strict=True) if f]
+                yield pa.record_batch([pa.array([m for m, _, _ in got], pa.string()), pa.array([f for _, f, _ in got], pa.list_(pa.int32())), pa.array([s for _, _, s in got], pa.list_(pa.string()))], ["mark", "hits", "items"])
 
         return run
 
-    for k in range(slices):
-        part = items.where(F.pmod(F.xxhash64("name", "text"), F.lit(slices)) == k) if slices > 1 else items
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches, text, 4 << 20):
+            hits, names = batch.column("__a").to_pylist(), batch.column("__b").to_pylist()
+            yield _extended(batch, [(normal(texts[i]).count(b" ") - 1, _merged(hits[i] or []), sorted(set(names[i] or []))) for i in range(texts.n)], width)
+
+    for part in _slices(items, size, window, slice_bytes):
         index = Index([(r.name, r.text.encode()) for r in part.toLocalIterator()], window)
-        docs = docs.mapInArrow(looked_up(index, k > 0), schema)
-        if k < slices - 1:
-            docs = written(docs, "hits")
-    return docs
+        if size <= slice_bytes:
+            return docs.mapInArrow(looked_up(index), schema)
+        texts = docs.select(F.md5(F.col(f"`{text}`").cast("string")).alias("mark"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
+        once = texts.mapInArrow(marked(index), "mark string, hits array<int>, items array<string>").groupBy("mark").agg(F.first("hits").alias("hits"), F.first("items").alias("items"))
+        hit = written(once, "hits")
+        found = hit if found is None else found.union(hit)
+    found = found.groupBy("mark").agg(F.flatten(F.collect_list("hits")).alias("__a"), F.flatten(F.collect_list("items")).alias("__b")).withColumnRenamed("mark", "__mark")
+    both = docs.join(found, F.md5(F.col(f"`{text}`").cast("string")) == F.col("__mark"), "left").select(*own, "__a", "__b")
+    return both.mapInArrow(merged, schema)
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, one_in: int = ONE_IN, **options) -> DataFrame:

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from sievework.llm import decontaminate
 
 from .helpers import HARD, docs, saved
@@ -74,3 +76,23 @@ def test_real_documents(spark, data):
     expected = brute(rows, items)
     assert [found[r[0]] for r in expected] == expected
     assert any(r[5] for r in found.values())
+
+
+def test_very_long_words_and_items(spark, tmp_path):
+    giant, long = "x" * 70_000, " ".join(f"v{i % 977}" for i in range(60_000))
+    items = [(1, giant), (2, long), (3, "é" * 40_000 + " z")]
+    rows = [(1, f"a {giant} b"), (2, f"{giant}x"), (3, long), (4, " ".join(f"v{i % 977}" for i in range(500))), (5, "é" * 40_000 + " Z!"), (6, None)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    folder = saved(spark, tmp_path, documents=docs(spark, rows), benchmark=b)
+    found = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.op5_decontaminate(spark, folder).collect()}
+    assert found == {1: (3, 1, 1), 2: (1, 0, 0), 3: (60_000, 60_000, 1), 4: (500, 500, 1), 5: (2, 2, 1), 6: (0, 0, 0)}
+    sliced = decontaminate.judged(docs(spark, rows), b, slice_bytes=150_000).select("doc_id", "__words", "__n_hit", F.size("__items"))
+    assert {r[0]: tuple(r)[1:] for r in sliced.collect()} == found
+
+
+def test_clean_keeps_columns_of_any_name(spark):
+    d = docs(spark, HARD).withColumnsRenamed({"n_chars": "__hits", "lang": "mark"})
+    b = spark.createDataFrame([(1, "one two three four")], "item_id long, text string")
+    for slice_bytes in (4 << 20, 10):
+        kept = decontaminate.clean(d, b) if slice_bytes > 10 else decontaminate.clean(d, b.union(spark.createDataFrame([(2, "no such words " * 30)], b.schema)))
+        assert kept.columns == d.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in HARD if r[1] != "one two three four")
