@@ -1,19 +1,26 @@
 """Main text of web pages by text-to-tag ratios.
 
 The standard library's parser streams tags and text; a page becomes lines, one for each block with text. A line's ratio is its
-characters per tag. Ratios are smoothed with a Gaussian along the page, and a threshold from their spread separates content lines
-from the rest. Lines in elements that are no content by their name, role, class or id (menus, forms, adverts, comments, ...) never
-count as content. The article or main element that holds most of the content's characters, or else the deepest element that holds
-all of them, is the article: its lines make the text, so that short paragraphs between long ones and short sections stay. Where that element is the whole page, only lines from the first to the last content line
-are taken, without those that are mostly links.
+characters per tag. Ratios are smoothed with a Gaussian along the page, and a threshold from their spread clusters lines into content
+and the rest. Content lines select the region: the article or main element that holds most of their characters, or else the deepest element that holds
+all of them; its lines make the text, so that short paragraphs between long ones and short sections stay. Where that element is the whole page, the region goes from the first to the last content line,
+without lines that are mostly links.
+
+Lines in elements that are no content by their name, role or state (menus, forms, adverts, hidden ones, ...) are vetoed, and so are those in blocks
+whose class or id says so (comments, sidebars, ...), but for blocks that such a word only describes, like a layout with a sidebar: a block with half
+of the page's characters and all of its articles and main headings is no noise, and where all lines would go, the largest such block stays.
+
+Elements are intervals of lines with a pointer to their parent, and open ones are found by name, so that the time is in proportion to the page however deep it nests.
 
 Edge cases: null and empty pages give an empty text; a page without tags is one block; elements left open end with their parent or
-the page; text is never cut. Repeated rows get a row each.
+the page; text is never cut, whatever its length (a task holds one page and some 20 times its bytes). Repeated rows get a row each, an
+empty table gives an empty result, and other columns are kept whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -43,50 +50,79 @@ NOISE = set(
     "subscription signup login signin register comment comments commentlist respond reply replies disqus share sharing social related recommended trending toolbar "
     "skip hidden".split()
 )
+NOISE_ARTICLES = {"comment", "reply", "ad", "advert", "promo", "sponsored", "related"}
+PIECES = set("p li ul ol blockquote pre h1 h2 h3 h4 h5 h6 table tbody tr figure dl dd".split())
 HEADS = {"header", "head", "masthead", "topbar", "top-bar"}
 _TOKEN = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 
 
 class Lines(HTMLParser):
-    """Lines of a page: [pieces of text, tags, characters in links, noise, path of open blocks]."""
+    """Lines of a page and its elements, numbered as they open."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, tuple[int, ...]]] = []
-        self.stack: list[tuple[str, int, bool]] = []  # name, number, noise
-        self.kinds: list[str] = []
+        self.lines: list[tuple[str, int, int, int]] = []  # text, tags, characters in links, innermost open block
+        self.kinds: list[str] = []  # of each element: its name
+        self.above: list[int] = []  # the block that it is in
+        self.first: list[int] = []  # its first line
+        self.end: list[int] = []  # the line after its last
+        self.last: list[int] = []  # its last descendant
+        self.soft: list[int] = []  # the innermost block, itself included, that its class or id calls noise
+        self.marks: list[int] = []  # articles, main elements and main headings
+        self.stack: list[int] = []
+        self.noise: list[bool] = []  # of each element on the stack
+        self.open: dict[str, list[int]] = {}  # places on the stack by name
+        self.blocks: list[int] = []  # places of blocks
         self.parts: list[str] = []
         self.tags = self.linked = self.dropped = 0
 
+    def _nearest(self, names) -> int:
+        return max((self.open[n][-1] for n in names if self.open.get(n)), default=-1)
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.dropped:
-            self.lines.append((text, self.tags, self.linked, not text, tuple(x[1] for x in self.stack if x[0] in BLOCK)))
+            self.lines.append((text, self.tags, self.linked, self.stack[self.blocks[-1]] if self.blocks else -1))
             self.tags = 0
         self.parts, self.linked, self.dropped = [], 0, 0
 
+    def _push(self, tag: str, noise: bool, soft: bool) -> None:
+        number, block = len(self.kinds), tag in BLOCK
+        above = self.stack[self.blocks[-1]] if self.blocks else -1
+        around = self.soft[self.stack[-1]] if self.stack else -1
+        if tag in ("article", "main", "h1") and not noise and not soft:
+            self.marks.append(number)
+        for held, value in ((self.kinds, tag), (self.above, above), (self.first, len(self.lines)), (self.end, -1), (self.last, number), (self.soft, number if soft else around)):
+            held.append(value)
+        self.open.setdefault(tag, []).append(len(self.stack))
+        if block:
+            self.blocks.append(len(self.stack))
+        self.stack.append(number)
+        self.noise.append(noise)
+
     def _pop(self, at: int) -> None:
-        if any(x[0] in BLOCK for x in self.stack[at:]):
+        if self.blocks and self.blocks[-1] >= at:
             self.flush()
-        del self.stack[at:]
+        while len(self.stack) > at:
+            number = self.stack.pop()
+            self.noise.pop()
+            self.open[self.kinds[number]].pop()
+            if self.blocks and self.blocks[-1] == len(self.stack):
+                self.blocks.pop()
+            self.end[number], self.last[number] = len(self.lines), len(self.kinds) - 1
+
+    def finish(self) -> None:
+        self.close()
+        self.flush()
+        self._pop(0)
 
     def _close_implied(self, tag: str) -> None:
         if tag in CLOSES:
-            for i in range(len(self.stack) - 1, -1, -1):
-                name = self.stack[i][0]
-                if name in CLOSES[tag]:
-                    self._pop(i)
-                    return
-                if name in SCOPE and SCOPE[name] & CLOSES[tag]:
-                    return
-        elif tag in BLOCK:
-            for i in range(len(self.stack) - 1, -1, -1):
-                name = self.stack[i][0]
-                if name == "p":
-                    self._pop(i)
-                    return
-                if name in BLOCK:
-                    return
+            at = self._nearest(CLOSES[tag])
+            if at > self._nearest(n for n in SCOPE if SCOPE[n] & CLOSES[tag]):
+                self._pop(at)
+        elif tag in BLOCK and self.blocks and self.kinds[self.stack[self.blocks[-1]]] == "p":
+            self._pop(self.blocks[-1])
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -97,57 +133,72 @@ class Lines(HTMLParser):
         elif tag in ("br", "td", "th"):
             self.parts.append(" ")
         if tag not in VOID:
-            self.stack.append((tag, len(self.kinds), (bool(self.stack) and self.stack[-1][2]) or self._is_noise(tag, attrs)))
-            self.kinds.append(tag)
+            noise, soft = self._is_noise(tag, attrs)
+            self._push(tag, noise or bool(self.noise) and self.noise[-1], soft)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # HTML has no self-closing elements but the void ones
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop(i)
-                return
-            if self.stack[i][0] in ("article", "main", "body") and tag not in ROOTS:
-                return
-        if tag == "p":
+        at = self._nearest([tag])
+        if at >= 0 and (tag in ROOTS or at >= self._nearest(("article", "main", "body"))):
+            self._pop(at)
+        elif at < 0 and tag == "p":
             self.flush()
 
     def handle_data(self, data: str) -> None:
-        if self.stack and self.stack[-1][2]:  # a line of noise alone counts in the smoothing; inside a line, noise is left out
+        if self.noise and self.noise[-1]:  # a line of noise alone counts in the smoothing; inside a line, noise is left out
             self.dropped += not data.isspace()
             return
         self.parts.append(data)
-        if any(x[0] == "a" for x in self.stack[-4:]):
+        if any(self.kinds[x] == "a" for x in self.stack[-4:]):
             self.linked += len(data)
 
-    def _is_noise(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _is_noise(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+        """Whether an element is noise for certain, and whether it is a block that its class or id calls so."""
         if tag in SKIP:
-            return True
-        inside = any(x[0] in ("article", "main") for x in self.stack)
+            return True, False
+        inside = bool(self.open.get("article") or self.open.get("main"))
         if tag == "header":
-            return not inside
-        if not attrs or tag in ROOTS and not any(k in ("class", "id") for k, _ in attrs):
-            return False
+            return not inside, False
+        soft = False
         for key, value in attrs:
             if key == "hidden" or key == "aria-hidden" and value == "true":
-                return tag not in ROOTS
+                return tag not in ROOTS, False
             if not value:
                 continue
-            if key == "role" and value.lower() in ROLES:
-                return True
+            if key == "role" and value.lower() in ROLES and tag not in ("html", "body", "main"):
+                return True, False
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-            if key in ("class", "id"):
+                return True, False
+            if key in ("class", "id") and tag not in ("html", "body", "main"):
                 tokens = {t.lower() for t in _TOKEN.findall(value)}
-                if tag in ("html", "body", "main"):
-                    continue
-                if tokens & NOISE if tag != "article" else tokens & {"comment", "reply", "ad", "advert", "promo", "sponsored", "related"}:
-                    return True
                 if tokens & HEADS and not inside:
-                    return True
-        return False
+                    return True, False
+                soft = soft or bool(tokens & (NOISE if tag != "article" else NOISE_ARTICLES))
+        return (False, True) if soft and tag in BLOCK else (soft, False)
+
+
+def _vetoed(page: Lines, size: np.ndarray) -> np.ndarray:
+    """For each line, whether it is noise."""
+    none = size == 0
+    around = [page.soft[x[3]] if x[3] >= 0 else -1 for x in page.lines]
+    if max(around, default=-1) < 0:
+        return none
+    total = np.concatenate(([0.0], np.cumsum(size)))
+    held = {e: total[page.end[e]] - total[page.first[e]] for e in set(page.soft) - {-1}}
+    marks, noisy = page.marks, {-1: False}
+    for e in sorted(held):  # what is outside comes first
+        inside = bisect_right(marks, page.last[e]) - bisect_right(marks, e)
+        layout = inside == len(marks) > 0 and 2 * held[e] >= total[-1]
+        outer = page.soft[page.above[e]] if page.above[e] >= 0 else -1
+        noisy[e] = not layout or noisy[outer]
+    veto = none | np.array([noisy[e] for e in around])
+    if veto.all() and held:
+        most = max(held, key=lambda e: (held[e], -e))
+        veto = none | np.array([e != most for e in around])
+    return veto
 
 
 def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -161,61 +212,57 @@ def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(x, kernel, "same") / held
 
 
-def main_text(page: str | None) -> str:
-    if not page:
+def main_text(html: str | None) -> str:
+    if not html:
         return ""
-    parser = Lines()
-    parser.feed(page)
-    parser.close()
-    parser.flush()
-    lines = parser.lines
-    if not any(not x[3] for x in lines):
-        return ""
-    noise = np.array([x[3] for x in lines])
+    page = Lines()
+    page.feed(html)
+    page.finish()
+    lines = page.lines
     size = np.array([len(x[0]) for x in lines], float)
+    noise = _vetoed(page, size)
+    if noise.all():
+        return ""
     ratio = np.where(noise, 0.0, size / np.maximum([x[1] for x in lines], 1))
     smooth = smoothed(ratio)
     threshold = min(smooth[~noise].max(), smooth.std())
     content = ~noise & (smooth >= threshold)
-    total, inside = size[content].sum(), {}
-    for i in np.nonzero(content)[0]:
-        for element in lines[i][4]:
-            inside[element] = inside.get(element, 0.0) + size[i]
+    held = np.concatenate(([0.0], np.cumsum(np.where(content, size, 0.0))))
+    blocks = np.array([i for i, kind in enumerate(page.kinds) if kind in BLOCK], np.int64)
+    inside = held[np.array(page.end, np.int64)[blocks]] - held[np.array(page.first, np.int64)[blocks]] if len(blocks) else held[:0]
     # elements are numbered in page order, so of those that hold enough the last opened one is the deepest
-    article = max((e for e, s in inside.items() if s >= SHARE * total), default=-1)
+    deepest = lambda share: int(max(blocks[inside >= share * held[-1]], default=-1))
     # an article or main element that holds it is taken whole; elsewhere the smallest element with every content line
-    path = next((x[4] for x in lines if article in x[4]), ())
-    marked = [e for e in path[: path.index(article) + 1] if parser.kinds[e] in ("article", "main")] if path else []
-    if marked:
-        article = marked[-1]
-    else:
-        article = max((e for e, s in inside.items() if s >= total), default=-1)
-    while article >= 0 and parser.kinds[article] in ("p", "li", "ul", "ol", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tbody", "tr", "figure", "dl", "dd"):
-        path = next(x[4] for x in lines if article in x[4])
-        at = path.index(article)
-        article = path[at - 1] if at else -1
-    chosen = [i for i, x in enumerate(lines) if not x[3] and (article < 0 or article in x[4])]
-    if article < 0 or parser.kinds[article] in ("body", "html"):
+    article = deepest(SHARE)
+    while article >= 0 and page.kinds[article] not in ("article", "main"):
+        article = page.above[article]
+    if article < 0:
+        article = deepest(1)
+    while article >= 0 and page.kinds[article] in PIECES:
+        article = page.above[article]
+    first, end = (page.first[article], page.end[article]) if article >= 0 else (0, len(lines))
+    chosen = [i for i in range(first, end) if not noise[i]]
+    if article < 0 or page.kinds[article] in ("body", "html"):
         first, last = np.nonzero(content)[0][[0, -1]]
-        while first > 0 and not noise[first - 1] and lines[first - 1][4][-1:] and parser.kinds[lines[first - 1][4][-1]] in ("h1", "h2", "h3"):
+        while first > 0 and not noise[first - 1] and lines[first - 1][3] >= 0 and page.kinds[lines[first - 1][3]] in ("h1", "h2", "h3"):
             first -= 1
         chosen = [i for i in chosen if first <= i <= last and lines[i][2] <= LINKS * size[i]]
     return "\n".join(lines[i][0] for i in chosen)
 
 
-def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages without the html, with __text."""
-    carried = [c for c in pages.columns if c != html]
-    kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
+def extracted(pages: DataFrame, html: str = "html", name: str = "__text") -> DataFrame:
+    """pages without the html, with the text in a column of this name, which replaces one that pages has."""
+    carried = [c for c in pages.columns if c not in (html, name)]
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in carried]).alias("row"), F.col(f"`{html}`").cast("string").alias("html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                texts = [main_text(x) for x in part.column(html).to_pylist()]
-                yield pa.record_batch([*(part.column(c) for c in carried), pa.array(texts, pa.string())], [*carried, "__text"])
+                yield pa.record_batch([part.column("row"), pa.array([main_text(x.as_py()) for x in part.column("html")], pa.string())], ["row", "text"])
 
-    return pages.select(*[F.col(f"`{c}`") for c in [*carried, html]]).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in carried), "__text string"]))
+    found = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, text string")
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in carried], F.col("text").alias(name))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

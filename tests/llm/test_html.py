@@ -1,5 +1,6 @@
 import html as stdlib
 import re
+import time
 
 from sievework.llm import html
 
@@ -65,3 +66,32 @@ def test_table_edges(spark, tmp_path):
     rows = [(1, "u", None), (1, "u", None), (2, None, ""), (None, "u", "<p>x y")]
     folder = saved(spark, tmp_path, pages=spark.createDataFrame(rows, "page_id long, url string, html string"))
     assert sorted((str(r.page_id), r.text, r.n_chars) for r in html.op7_html_text(spark, folder).collect()) == [("1", "", 0), ("1", "", 0), ("2", "", 0), ("None", "x y", 3)]
+
+
+def test_layout_words_do_not_take_the_article():
+    comments = "<div class=comments>" + "<p>A reader says a lot of things that are not part of it.</p>" * 40 + "</div>"
+    for name in ("content has-sidebar", "no-sidebar", "page-footer-fixed", "elementor-widget-container", "social-science", "share-price"):
+        for inner in (ARTICLE, f"<article>{ARTICLE}</article>", f"<div class=text>{ARTICLE}</div>"):
+            body = f"<div class='{name}'>{inner}<div class=sidebar><p>Other things to read on this site.</p></div></div>"
+            assert html.main_text(page(NOISE["nav"] + body + AFTER["footer"])) == TEXT
+            assert html.main_text(page(NOISE["nav"] + f"<div class=content>{inner}</div>" + comments)) == TEXT
+    assert html.main_text(page("<div class='widget'><p>All the text there is on this page.</p></div>")) == "All the text there is on this page."
+
+
+def test_time_follows_the_length_of_the_page():
+    def seconds(piece, n, more=""):
+        text = page("<p>text</p>" + piece * n + more * n)
+        began = time.process_time()
+        html.main_text(text)
+        return time.process_time() - began
+
+    for piece, more in (("<div>a word ", ""), ("<div>", "</span>x"), ("<span><article><b>", "</span>"), ("<section>", "<dt>x</dt>"), ("<div class=sidebar>x ", "")):
+        seconds(piece, 100, more)
+        assert seconds(piece, 24_000, more) < 16 * max(seconds(piece, 3_000, more), 0.02)
+
+
+def test_empty_table_and_columns_of_any_name(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "u", "<p>x", 5, 6)], "page_id long, url string, html string, __text int, row int")
+    assert html.extracted(rows).columns == ["page_id", "url", "row", "__text"] and html.extracted(rows).first()["__text"] == "x"
+    folder = saved(spark, tmp_path, pages=rows.limit(0))
+    assert html.op7_html_text(spark, folder).count() == 0
