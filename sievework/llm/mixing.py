@@ -1,16 +1,16 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-Documents of a source are dealt to shards by a hash, and each shard's words, in order of doc_id, are cut into blocks of equally many
-tokens (the last one has the rest, half a block more or less). The mix has a number of blocks; sources get them one by one by the
-highest quotients target / (2 * seats + 1), and so do the shards within a source by their sizes, up to MOST_TIMES times their blocks,
-which gives an integer quota for each shard. A seeded permutation of a shard's blocks then says which are taken how often, so that a
+The mix has a number of blocks of equally many tokens; sources get them one by one by the highest quotients target / (2 * seats + 1).
+Documents of a source are dealt to shards by a hash, as many shards as its own documents need, and each shard's words, in order of doc_id, are cut into blocks of
+BLOCK tokens, or of fewer where the source is small (the last one has the rest, half a block more or less). The shards within a source get its blocks by the same quotients of their sizes, up to MOST_TIMES times their blocks,
+which gives an integer quota for each shard; a source with more than FAN shards does so in two levels, so that no group of quotas is large. A seeded permutation of a shard's blocks then says which are taken how often, so that a
 document's share follows from the blocks that it overlaps and none is taken more than MOST_TIMES times.
 
-The driver reads one row for each source; everything else stays in Spark. Shards are as many as documents need, 4096 at most, so
-that a source's quotas are a small group and a hot source is spread over tasks.
+The driver reads one row for each source (its words and documents), as the targets of all depend on each other; everything else stays in Spark, and a hot source is spread over tasks.
 
 Edge cases: null and blank texts have size 0 and nothing is taken of them; the null source comes last; sources without words have
-target 0; an empty table gives an empty result. Repeated rows are documents of their own.
+target 0; an empty table gives an empty result; a text of any length has one size, and its share is summed over its blocks. Repeated rows are documents of their own, equal ids in the order of a mark of
+their texts. `mixed` adds size, source_size, target and taken, which replace columns of these names; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import WORD, table, written
 
 WEIGHTS, SHARE, MOST_TIMES = (3, 1, 2), 1.5, 2
-#: Tokens of a block, documents of a shard, shards at most.
-BLOCK, SHARD, SHARDS = 16, 1024, 4096
+#: Tokens of a block, blocks that a source has at least if it has so many words, documents of a shard, shards whose quotas are made together.
+BLOCK, FINE, SHARD, FAN = 16, 64, 1024, 4096
 SEED = 20
 _STEP = 2654435761  # a prime
 
@@ -76,10 +76,18 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None)
     return given
 
 
-def _quotas(shards: pd.DataFrame) -> pd.DataFrame:
-    shards = shards.sort_values("shard")
-    shards["quota"] = sainte_lague(shards["words"].to_numpy(float), int(shards["seats"].iloc[0]), MOST_TIMES * shards["n"].to_numpy(np.int64))
-    return shards[["key", "shard", "words", "n", "quota"]]
+def _quotas(members: pd.DataFrame) -> pd.DataFrame:
+    """Blocks for each member of a group, by words; `seats` are those of the group and n a member's own blocks."""
+    members = members.sort_values("member")
+    members["quota"] = sainte_lague(members["words"].to_numpy(float), int(members["seats"].iloc[0]), MOST_TIMES * members["n"].to_numpy(np.int64))
+    return members[["key", "member", "quota"]]
+
+
+def apportioned(goals: list[float], block: int = BLOCK) -> list[tuple[int, int]]:
+    """For each target, the tokens that sources get by the highest quotients of equal blocks. Blocks are smaller than `block` where the least target would have under FINE of them."""
+    least = min((g for g in goals if g > 0), default=0)
+    unit = max(1, min(block, int(least // FINE)))
+    return [unit * int(s) for s in sainte_lague(np.array(goals), round(sum(goals) / unit))]
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -100,13 +108,21 @@ def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BL
     sums = sorted(rows.groupBy("key", "source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect(), key=lambda r: (r.source is None, (r.source or "").encode()))
     sizes = [r.words for r in sums]
     goals = targets(sizes, [weights[i % len(weights)] for i in range(len(sums))])
-    seats = sainte_lague(np.array(goals), round(sum(goals) / block))
-    known = [(r.key, r.words, t, int(s)) for r, t, s in zip(sums, goals, seats, strict=True)]
-    sources = spark.createDataFrame(known, "key string, source_size long, target double, seats long")
-    shards = max(1, min(SHARDS, -(-sum(r.n for r in sums) // SHARD)))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "mark", F.lit("shard")), F.lit(shards)).cast("int"))
-    words = dealt.groupBy("key", "shard").agg(F.sum("size").alias("words")).withColumn("n", F.expr(f"greatest(1L, (words + {block // 2}) div {block})"))
-    quotas = words.join(sources.select("key", "seats"), "key").groupBy("key").applyInPandas(_quotas, "key string, shard int, words long, n long, quota long")
+    known = []
+    for r, goal, tokens in zip(sums, goals, apportioned(goals, block), strict=True):
+        unit, shards = max(1, min(block, r.words // FINE)), max(1, -(-r.n // SHARD))
+        known.append((r.key, r.words, goal, unit, round(tokens / unit), shards))
+    sources = spark.createDataFrame(known, "key string, source_size long, target double, unit long, seats long, shards long")
+    sources = F.broadcast(sources) if len(known) < 10_000 else written(sources, "sources")
+    dealt = rows.join(sources.select("key", "unit", "shards"), "key").withColumn("shard", F.pmod(F.xxhash64("doc_id", "mark", F.lit("shard")), F.col("shards")))
+    words = dealt.groupBy("key", "shard", "unit").agg(F.sum("size").alias("words")).withColumn("n", F.expr("greatest(1L, (words + unit div 2) div unit)"))
+    words = written(words.withColumn("far", (F.col("shard") / FAN).cast("long")), "shards")
+    # from sources to groups of shards, and from these to shards
+    upper = words.groupBy("key", "far").agg(F.sum("words").alias("words"), F.sum("n").alias("n")).join(sources.select("key", "seats"), "key")
+    quota = lambda df, *by: df.groupBy(*by).applyInPandas(_quotas, "key string, member long, quota long")
+    upper = quota(upper.withColumnRenamed("far", "member"), "key").select("key", F.col("member").alias("far"), F.col("quota").alias("seats"))
+    quotas = quota(words.withColumnRenamed("shard", "member").join(upper, ["key", "far"]), "key", "far").withColumnRenamed("member", "shard")
+    quotas = words.select("key", "shard", "words", "n").join(quotas, ["key", "shard"])
 
     order = W.partitionBy("key", "shard").orderBy("doc_id", "mark", "size")
     end = F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0))
@@ -118,11 +134,11 @@ def taken(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, block: int = BL
         .withColumn("turn", F.pmod(F.xxhash64("key", "shard", F.lit(seed)), F.col("n")))
     )
     part = F.expr(
-        f"aggregate(sequence(least(start div {block}L, n - 1), least((end - 1) div {block}L, n - 1)), 0L, (s, b) -> s + if(pmod(step * b + turn, n) < extra,"
-        f" least(end, if(b = n - 1, words, (b + 1) * {block}L)) - greatest(start, b * {block}L), 0L))"
+        "aggregate(sequence(least(start div unit, n - 1), least((end - 1) div unit, n - 1)), 0L, (s, b) -> s + if(pmod(step * b + turn, n) < extra,"
+        " least(end, if(b = n - 1, words, (b + 1) * unit)) - greatest(start, b * unit), 0L))"
     )
     whole = F.when(F.col("size") > 0, F.col("times") * F.col("size") + part).otherwise(F.lit(0).cast("long"))
-    return placed.withColumn("taken", whole).join(F.broadcast(sources) if len(known) < 10_000 else sources, "key").select("doc_id", "mark", "size", "source_size", "target", "taken")
+    return placed.withColumn("taken", whole).join(sources.select("key", "source_size", "target"), "key").select("doc_id", "mark", "size", "source_size", "target", "taken")
 
 
 def mixed(docs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sievework.llm import mixing
 
@@ -77,3 +78,67 @@ def test_real_sources_and_document_columns(spark, data):
 
 def test_empty(spark):
     assert mixing.mixed(docs(spark, HARD).limit(0)).count() == 0
+
+
+def brute_taken(rows, sources):
+    """taken of each row, from the quotas of shards, block by block. sources: key -> (unit, quotas by shard)."""
+    out = {}
+    for (key, shard), held in rows.items():
+        unit, quota, n, turn = sources[key, shard]
+        tokens = [i for i, r in enumerate(held) for _ in range(r.size)]
+        block = [min(t // unit, n - 1) for t in range(len(tokens))]
+        times = [quota // n + ((mixing._STEP % n * b + turn) % n < quota % n) for b in range(n)]
+        for t, i in enumerate(tokens):
+            out[key, shard, i] = out.get((key, shard, i), 0) + times[block[t]]
+    return out
+
+
+def test_taken_against_blocks_one_by_one(spark):
+    rnd = random.Random(8)
+    rows = [(k, "w " * rnd.choice([0, 1, 5, 17, 90, 700]), "en", rnd.choice(["a", "b", None])) for k in range(300)]
+    d = docs(spark, rows + rows[:20])
+    got = mixing.taken(mixing.measured(d))
+    held, known = {}, {}
+    for r in mixing.measured(d).withColumn("turn", F.xxhash64("key", F.lit(0).cast("long"), F.lit(mixing.SEED))).orderBy("doc_id", "mark", "size").collect():
+        held.setdefault((r.key, 0), []).append(r)
+    goals = {r.source_size: r.target for r in got.collect()}
+    order = sorted(held, key=lambda k: (k[0] == "", k[0]))
+    sizes = [sum(r.size for r in held[k]) for k in order]
+    for k, words, tokens in zip(order, sizes, mixing.apportioned([goals[s] for s in sizes]), strict=True):
+        unit = max(1, min(mixing.BLOCK, words // mixing.FINE))
+        n = max(1, (words + unit // 2) // unit)
+        known[k] = (unit, min(round(tokens / unit), 2 * n), n, held[k][0].turn % n)
+    expected = brute_taken(held, known)
+    found = sorted((r.doc_id, r.mark, r.size, r.taken) for r in got.collect())
+    assert found == sorted((r.doc_id, r.mark, r.size, expected.get((*k, i), 0)) for k in order for i, r in enumerate(held[k]))
+
+
+def test_a_tiny_source_beside_a_large_one(spark):
+    rows = spark.range(150_000).selectExpr("id as doc_id", "if(id < 100, repeat('w ', 5), repeat('v ', 9)) as text", "if(id < 100, 'a', 'z') as source")
+    got = mixing.taken(mixing.measured(rows)).groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
+    assert len(got) == 2 and all(abs(r.taken - r.target) <= 16 + 0.01 * r.target for r in got)
+
+
+def test_quotas_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 10)
+    monkeypatch.setattr(mixing, "FAN", 4)
+    rnd = random.Random(9)
+    rows = [(k, "w " * rnd.randrange(0, 200), "en", rnd.choice("aaab")) for k in range(500)]
+    got = mixing.taken(mixing.measured(docs(spark, rows))).collect()
+    assert len(got) == 500
+    check(spark, got, lambda t: 16 + 0.02 * t)
+
+
+def test_empty_table_through_the_query_and_a_long_text(spark, tmp_path):
+    folder = saved(spark, tmp_path, documents=docs(spark, HARD).limit(0))
+    assert mixing.op4_source_mix(spark, folder).count() == 0
+    folder = saved(spark, tmp_path, documents=docs(spark, [(1, "word " * 400_000), (2, "other " * 100, "en", "b"), (3, None, "en", None)]))
+    got = {r.doc_id: r for r in mixing.op4_source_mix(spark, folder).collect()}
+    assert got[1].size == 400_000 and abs(got[1].taken - got[1].target) < 40 and 196 <= got[2].taken <= 200 and got[3].taken == 0
+
+
+def test_columns_of_any_name(spark):
+    d = docs(spark, HARD).withColumnsRenamed({"lang": "shard", "n_chars": "size"})
+    kept = mixing.mixed(d)
+    assert kept.columns == ["doc_id", "text", "shard", "source", "size", "source_size", "target", "taken"]
+    assert kept.count() > 0
