@@ -7,10 +7,14 @@ Equal fingerprints are merged before anything is compared. The 64 bits are cut i
 on at least `bands - radius` whole bands, so each combination of that many bands is a shard key and no link is lost. All rows of a
 shard key meet in one task, which grows a BK-tree from them (children keyed by their integer distance to the parent) and searches
 it along the edges within the radius. Trees of all shard keys of a task are grown and searched together, level by level, as arrays.
-The trees are shuffled, not broadcast: their size follows the corpus and has no bound. A shard key with more than `most` rows is
-dealt to several tasks, each with the whole tree of the key and its own share of the searches. A task emits a spanning forest of
+The trees are shuffled, not broadcast: a broadcast passes through the driver, and fingerprints of all documents may not. The rows of a shard key with more than `most` of them
+get finer keys: the bits that are not in the key are cut into bands too, and rows within the radius agree on one of these. Where even such a key has more, it is
+dealt to several tasks, each with the tree of the key and its own share of the searches. A task emits a spanning forest of
 the links it found, never the pairs, and the components come from alternating star contractions over written tables.
 
+A text is hashed whole, whatever its length: a task holds it with some 40 times its bytes. An empty table gives an empty result. Only the
+id and the text are read; `deduplicated` keeps all columns, whatever their names.
+
 Edge cases: null and empty texts have fingerprint zero and are linked like any other; a text of fewer words than the shingle size
 is one shingle; repeated rows each get a result row; a null id is never the smallest id of its component unless all are null. A row
 is told apart by its id and a mark of its text, so of each component one row stays, whatever ids are null or repeated.
@@ -27,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Texts, table, written
+from .common import Texts, release, table, written
 
 WIDTH, RADIUS, SEED = 4, 4, 42
 #: A shard key with more rows than this is searched by several tasks.
@@ -167,13 +171,28 @@ def scheme(n: int, radius: int = RADIUS) -> list[list[tuple[int, int]]]:
 
 def links(distinct: DataFrame, n: int, radius: int = RADIUS, most: int = MOST) -> DataFrame:
     """(a, b): for distinct fingerprints fp, links that span each component of those within the radius."""
-    keys = []
-    for i, spans in enumerate(scheme(n, radius)):
-        key = F.lit(i).cast("long")
+    def part(x: Column, shift: int, bits: int) -> Column:
+        return F.shiftrightunsigned(x, shift).bitwiseAND(F.lit((1 << bits) - 1))
+
+    def packed(number: int, spans: list[tuple[int, int]]) -> Column:
+        key = F.lit(number).cast("long")
         for shift, bits in spans:
-            key = F.shiftleft(key, bits).bitwiseOR(F.shiftrightunsigned(F.col("fp"), shift).bitwiseAND(F.lit((1 << bits) - 1)))
-        keys.append(key)
-    rows = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
+            key = F.shiftleft(key, bits).bitwiseOR(part(F.col("fp"), shift, bits))
+        return key
+
+    chosen = scheme(n, radius)
+    every = sorted({x for spans in chosen for x in spans})
+    finer = []
+    for spans in chosen:
+        rest = [x for x in every if x not in spans]
+        wide = sum(bits for _, bits in rest)
+        cut = [round(wide * j / (radius + 1)) for j in range(radius + 2)]
+        finer.append(F.array(*[F.xxhash64(F.lit(j), part(packed(0, rest), cut[j], cut[j + 1] - cut[j])) for j in range(radius + 1)]))
+    spread = distinct.select("fp", F.posexplode(F.array(*[packed(i, spans) for i, spans in enumerate(chosen)])).alias("number", "key"))
+    dense = spread.groupBy("key").count().where(F.col("count") > most).select("key", F.lit(True).alias("dense"))
+    own = F.get(F.array(*finer), F.col("number"))
+    rows = spread.join(dense, "key", "left").select("fp", "key", F.explode(F.when(F.col("dense"), own).otherwise(F.array(F.lit(0).cast("long")))).alias("fine"))
+    rows = rows.select("fp", F.xxhash64("key", "fine").alias("key"))
     hot = rows.groupBy("key").count().where(F.col("count") > most).select("key", F.ceil(F.col("count") / most).cast("int").alias("ways"))
     ways = F.coalesce(F.col("ways"), F.lit(1))
     dealt = (
@@ -207,7 +226,8 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = written(down, "links")
     before = sign(pairs)
     while before[0]:
-        pairs = written(star(star(pairs, True), False), "stars")
+        older, pairs = pairs, written(star(star(pairs, True), False), "stars")
+        release(older)
         after = sign(pairs)
         if after == before:
             break

@@ -124,3 +124,11 @@ def test_dedup_tells_rows_apart_by_id_and_text(spark):
 def test_empty_table(spark):
     df = docs(spark, HARD).limit(0)
     assert simhash.groups(df).count() == 0 and simhash.deduplicated(df).count() == 0
+
+
+def test_a_very_long_text_and_columns_of_any_name(spark):
+    text = "one two three four five six seven " * 150_000
+    df = docs(spark, [(1, text), (2, text + "eight"), (3, "something else that is short enough"), (4, None)]).withColumnsRenamed({"lang": "fp", "source": "mark"})
+    assert result(simhash.groups(df)) == brute_components([(r.doc_id, r.text) for r in df.collect()])
+    kept = simhash.deduplicated(df)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
