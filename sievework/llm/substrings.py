@@ -8,15 +8,17 @@ suffixes of a corpus in one place is impossible, so strings that may be equal ar
 2. Anchors with the same bytes around them, as far as any of their strings reaches, repeat in whole. One of them goes on for all.
 3. Where a gram has anchors of several kinds, strings whose offsets lie in the same cell of CELL offsets share a core of LENGTH - CELL + 1 bytes. A core
    and up to CELL - 1 bytes on either side make a context; equal contexts are merged with their number.
-4. Contexts with the same core meet in a task. There each is a string of symbols, its bytes around one symbol for the core, and a
-   suffix array over all of them (linear grouping construction) puts equal strings of LENGTH bytes, which are CELL symbols here,
-   side by side. A core with more than MOST contexts is first split into finer cells, whose contexts have few bytes beside the
-   core and so merge, whatever the number of documents.
+4. Contexts with the same core meet in a task. There each is a string of symbols, its bytes around one symbol for the core, and twice where it stands for
+   several equal ones; a suffix array over all of them (linear grouping construction) puts equal strings of LENGTH bytes, which are CELL symbols here,
+   side by side. Cores with more than MOST contexts are first split into finer cells, whose contexts have few bytes beside the
+   core, and then into cells of one offset, whose contexts are their cores and so merge into one, whatever the number of documents.
 
-Grams, cores and texts are compared by 64-bit fingerprints (those of cores together with the bytes on both sides).
+Grams, cores and texts are compared by 64-bit fingerprints (those of cores together with the bytes on both sides). Step 2 decides by these alone, as
+a dictionary of phrases does before their order is sought; suffix arrays decide what neither repeats in whole nor is alone.
 
 Edge cases: null texts are empty; texts shorter than LENGTH lose nothing; repeated rows lose everything if they are long enough; rows
-with equal ids and texts get a row each.
+with equal ids and texts get a row each; an empty table gives an empty result. A text may have any length: it is searched in stretches of STRETCH bytes, and a task holds a text
+and some 10 times its bytes besides. `cleaned` keeps all columns, whatever their names, and counts n_chars anew.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ from .suffix import suffix_array
 LENGTH, GRAM, CELL, FINE, MOST = 200, 40, 16, 4, 4096
 #: Symbols that are sorted at once.
 SORTED = 40_000
-_PLACE = 28  # bits of a position in a text
+#: Starts of strings that are hashed at once, and the bits that hold a place among them.
+STRETCH, _PLACE = 1 << 22, 24
 
 
 class Hashes:
@@ -56,21 +59,22 @@ def window_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - span)], x[width - span :]) if width > span else x
 
 
-def anchors(buf: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Of a text: first and last start of the strings of each anchor, its place, gram, and the bytes around it, as fingerprints."""
-    if len(buf) < length:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
-    hashes = Hashes(buf)
-    at = np.arange(len(buf) - gram + 1)
-    grams = hashes.of(at, at + gram)
-    low = np.uint64((1 << _PLACE) - 1)
-    least = window_minimum(grams & ~low | at.astype(np.uint64), length - gram + 1)
-    place = (least & low).astype(np.int64)
-    turn = np.nonzero(np.concatenate(([True], place[1:] != place[:-1])))[0]
-    last = np.concatenate((turn[1:], [len(place)])) - 1
-    place = place[turn]
-    around = mix(hashes.of(turn, last + length) + (place - turn).astype(np.uint64) * _BYTE[1])
-    return turn, last, place, grams[place], around
+def anchors(text: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of a text, by stretches: first and last start of the strings of each anchor, its place, gram, and the bytes around it, as
+    fingerprints. An anchor whose strings lie in two stretches is given twice."""
+    for begin in range(0, max(0, len(text) - length + 1), STRETCH):
+        buf = text[begin : begin + STRETCH + length - 1]
+        hashes = Hashes(buf)
+        at = np.arange(len(buf) - gram + 1)
+        grams = hashes.of(at, at + gram)
+        low = np.uint64((1 << _PLACE) - 1)
+        least = window_minimum(grams & ~low | at.astype(np.uint64), length - gram + 1)
+        place = (least & low).astype(np.int64)
+        turn = np.nonzero(np.concatenate(([True], place[1:] != place[:-1])))[0]
+        last = np.concatenate((turn[1:], [len(place)])) - 1
+        place = place[turn]
+        around = mix(hashes.of(turn, last + length) + (place - turn).astype(np.uint64) * _BYTE[1])
+        yield turn + begin, last + begin, place + begin, grams[place], around
 
 
 _ANCHORS = "doc_id long, mark long, place long, gram long, around long"
@@ -79,10 +83,9 @@ _ANCHORS = "doc_id long, mark long, place long, gram long, around long"
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "mark", "place", "gram", "around"]
     for batch, texts in pieces(batches, "text", 1 << 20):
-        found = [anchors(texts.buf[texts.off[i] : texts.off[i + 1]]) for i in range(texts.n)]
-        many = np.array([len(x[0]) for x in found])
-        row = pa.array(np.repeat(np.arange(texts.n), many))
-        first, last, place, gram, around = (np.concatenate([x[k] for x in found]) for k in range(5))
+        found = [(i, x) for i in range(texts.n) for x in anchors(texts.buf[texts.off[i] : texts.off[i + 1]])]
+        row = pa.array(np.repeat([i for i, _ in found], [len(x[0]) for _, x in found]).astype(np.int64))
+        first, last, place, gram, around = (np.concatenate([x[k] for _, x in found]) for k in range(5))
         packed = first << 16 | (place - first) << 8 | (last - first)
         columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(packed), pa.array(gram.view(np.int64)), pa.array(around.view(np.int64))]
         yield pa.record_batch(columns, names)
@@ -90,16 +93,18 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cells(text: bytes, places: list[int], length: int = LENGTH, cell: int = CELL) -> Iterator[tuple[int, bytes, bytes, int]]:
     """Core, bytes before, bytes after and start of the earliest string of each cell of these anchors."""
-    hashes, n, made = Hashes(np.frombuffer(text, np.uint8)), len(text), set()
+    n, made, size = len(text), set(), length - cell + 1
     for packed in places:
         first, high, more = packed >> 16, packed >> 8 & 255, packed & 255
         for k in range((high - more) // cell, high // cell + 1):
             made.add(first + high - cell * k)  # where the core begins, the latest start of the cell
-    begins = np.array(sorted(b for b in made if 0 <= b <= n - (length - cell + 1)), np.int64)
-    cores = hashes.of(begins, begins + (length - cell + 1)).view(np.int64).tolist()
-    for core, b in zip(cores, begins.tolist(), strict=True):
-        e = b + length - cell + 1
-        yield core, text[max(0, b - cell + 1) : b], text[e : e + cell - 1], b - cell + 1
+    begins = np.array(sorted(b for b in made if 0 <= b <= n - size), np.int64)
+    for held in np.split(begins, np.nonzero(np.diff(begins // STRETCH))[0] + 1) if len(begins) else []:
+        low = int(held[0])
+        cores = Hashes(np.frombuffer(text, np.uint8)[low : int(held[-1]) + size]).of(held - low, held - low + size).view(np.int64)
+        for core, b in zip(cores.tolist(), held.tolist(), strict=True):
+            e = b + size
+            yield core, text[max(0, b - cell + 1) : b], text[e : e + cell - 1], b - cell + 1
 
 
 _CELLS = "core long, before binary, after binary, cell int, doc_id long, mark long, base long"
@@ -121,22 +126,30 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(out, _CELLS)
 
 
-def _finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same strings in cells of FINE offsets."""
-    digest = lambda *parts: int.from_bytes(hashlib.blake2b(b"|".join(parts), digest_size=8).digest(), "little", signed=True)
-    for batch in batches:
-        out: list[list] = [[] for _ in range(7)]
-        for core, before, after, _, doc_id, mark, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for t in range(CELL // FINE):
-                inner, outer = FINE * t, CELL - FINE * (t + 1)  # bytes before and after the old core that belong to the new one
-                if len(before) < inner or len(after) < outer:
-                    continue
-                b = len(before) - inner
-                new = digest(core.to_bytes(8, "little", signed=True), before[b:], after[:outer])
-                row = (new, before[max(0, b - FINE + 1) : b], after[outer : outer + FINE - 1], FINE, doc_id, mark, base + CELL - FINE - inner)
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-        yield _batch(out, _CELLS)
+def _finer(old: int, new: int):
+    """The same strings in cells of `new` offsets instead of `old`."""
+
+    def digest(*parts: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(b"|".join(parts), digest_size=8).digest(), "little", signed=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(7)]
+            for core, before, after, _, doc_id, mark, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # a context at the edge of its text has fewer bytes: base is where its earliest string would start
+                start = base + old - 1 - len(before)
+                for t in range(old // new):
+                    inner, outer = new * t, old - new * (t + 1)  # bytes before and after the old core that belong to the new one
+                    if len(before) < inner or len(after) < outer:
+                        continue
+                    b = len(before) - inner
+                    finer = digest(core.to_bytes(8, "little", signed=True), before[b:], after[:outer])
+                    row = (finer, before[max(0, b - new + 1) : b], after[outer : outer + new - 1], new, doc_id, mark, start + b - new + 1)
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+            yield _batch(out, _CELLS)
+
+    return run
 
 
 def repeated(contexts: list[tuple[int, bytes, bytes, int, int]]) -> list[int]:
@@ -145,14 +158,12 @@ def repeated(contexts: list[tuple[int, bytes, bytes, int, int]]) -> list[int]:
     Bit k stands for the string that starts k bytes after the cell's earliest start."""
     # symbols: 0 ends a context, bytes are 1 to 256, cores follow
     symbols, starts, number, core_of = [], [], 0, None
-    for core, before, after, cell, _ in contexts:
+    for core, before, after, cell, n in contexts:
         if (core, cell) != core_of:
             number, core_of = number + 1, (core, cell)
         starts.append(len(symbols))
-        symbols += [b + 1 for b in before]
-        symbols.append(256 + number)
-        symbols += [b + 1 for b in after]
-        symbols.append(0)
+        one = [*(b + 1 for b in before), 256 + number, *(b + 1 for b in after), 0]
+        symbols += one if n == 1 else one + one  # equal contexts are there twice
     text = np.array(symbols, np.int64) + 1
     text = np.append(text, 0)  # the least symbol ends all
     order = np.array(suffix_array(text))
@@ -167,11 +178,11 @@ def repeated(contexts: list[tuple[int, bytes, bytes, int, int]]) -> list[int]:
         hit[a[same]] = hit[b[same]] = True
         equal[cell] = hit
     masks = []
-    for (_, before, after, cell, n), start in zip(contexts, starts, strict=True):
+    for (_, before, after, cell, _), start in zip(contexts, starts, strict=True):
         mask = 0
         for k in range(len(before) + 1):
             own = len(before) - k  # bytes of the string before the core
-            if own < cell and cell - 1 - own <= len(after) and (n > 1 or equal[cell][start + k]):
+            if own < cell and cell - 1 - own <= len(after) and equal[cell][start + k]:
                 mask |= 1 << (cell - 1 - own)
         masks.append(mask)
     return masks
@@ -229,10 +240,15 @@ def starts(docs: DataFrame) -> DataFrame:
     near = docs.join(rest, docs.doc_id.eqNullSafe(rest.doc_id) & (docs.mark == rest.mark)).select(docs.doc_id, docs.mark, "text", "places")
     coarse = written(near.mapInArrow(_cells, _CELLS), "cells")
     release(groups, varied)
-    hot = coarse.groupBy("core").count().where(F.col("count") > MOST).select("core")
-    fine = coarse.join(hot, "core", "left_semi").select(*coarse.columns).mapInArrow(_finer, _CELLS)
-    both = coarse.join(hot, "core", "left_anti").select(*coarse.columns).union(fine).withColumn("context", F.xxhash64("core", "before", "after", "cell"))
-    both = written(both, "contexts")
+    both = coarse
+    for old, new in ((CELL, FINE), (FINE, 1)):
+        kinds = both.where(F.col("cell") == old).groupBy("core").agg(F.count("*").alias("count"))
+        hot = written(kinds.where(F.col("count") > MOST).select("core"), "hot")
+        wide = (F.col("cell") == old) & F.col("dense").isNotNull()
+        flagged = both.join(hot.withColumn("dense", F.lit(True)), "core", "left").select(*coarse.columns, "dense")
+        fine = flagged.where(wide).select(*coarse.columns).mapInArrow(_finer(old, new), _CELLS)
+        both = flagged.where(~wide).select(*coarse.columns).union(fine)
+    both = written(both.withColumn("context", F.xxhash64("core", "before", "after", "cell")), "contexts")
     release(coarse)
 
     merged = both.groupBy("core", "before", "after", "cell", "context").agg(F.count("*").alias("n")).select("core", "before", "after", "cell", "n", "context")

@@ -95,3 +95,31 @@ def test_cleaned_keeps_columns_and_characters(spark):
 
 def test_empty(spark):
     assert substrings.cleaned(docs(spark, HARD).limit(0)).count() == 0
+
+
+def test_a_long_text_whose_passage_lies_over_the_border_of_stretches(spark, tmp_path):
+    rnd = random.Random(12)
+    noise = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    shared = noise(400)
+    for shift in (0, 37):
+        head = noise(substrings.STRETCH - 200 - shift)
+        rows = [(1, head + shared + noise(700_000)), (2, "x" + shared + "y"), (3, noise(3000))]
+        folder = saved(spark, tmp_path, documents=docs(spark, rows))
+        found = {r.doc_id: (r.n_removed, r.n_spans) for r in substrings.op2_suffix_dedup(spark, folder).collect()}
+        assert found == {1: (400, 1), 2: (400, 1), 3: (0, 0)}
+
+
+def test_equal_contexts_are_found_by_the_suffix_array():
+    contexts = [(1, b"abc", b"xyz", 4, 2), (1, b"qbc", b"xyq", 4, 1), (2, b"abc", b"xyz", 4, 1)]
+    # strings of 4 symbols: the first context repeats in whole, the second shares what lies inside both
+    assert substrings.repeated(contexts) == [0b1111, 0b0110, 0]
+
+
+def test_columns_of_any_name(spark):
+    df = docs(spark, [(1, "a" * 300), (2, None)]).withColumnsRenamed({"lang": "row", "source": "first"})
+    kept = substrings.cleaned(df.union(df))
+    assert kept.columns == df.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "2"]
+
+
+def test_empty_table_through_the_query(spark, tmp_path):
+    assert substrings.op2_suffix_dedup(spark, saved(spark, tmp_path, documents=docs(spark, HARD).limit(0))).count() == 0
