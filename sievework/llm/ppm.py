@@ -14,7 +14,8 @@ model and none is broadcast.
 Words are compared by 63-bit fingerprints.
 
 Edge cases: null texts are empty: an end token and an end symbol. Without training rows all counts are 0. Repeated rows get a row each
-and count each in training.
+and count each in training; rows that are equal in id and text share a block. An empty table gives an empty result. A text of any length is scored whole, by one task, which holds it and some 100 times the bytes of a
+piece of it. Only the id, the text and the column that tells training rows are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ ORDER = 4
 #: Bytes of text of a block at most, about, and of one where there are few.
 BLOCK, LEAST_BLOCK = 24 << 20, 1 << 20
 PIECE = 2 << 20
+#: Grams of a task that grows a trie, about.
+SHARE = 2_000_000
 _START, _END, _BYTES = 0xFE, 0xFF, 256  # neither is a byte of UTF-8
 _END_TOKEN = -1
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -220,10 +223,12 @@ def scores(docs: DataFrame, out) -> DataFrame:
     pairs = totals.where("key >= 0 and n > 0").groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key")).agg(F.sum("n").alias("n")).collect()
     shorter = (np.array([r.key for r in pairs], np.int64), np.array([r.n for r in pairs], np.int64))
     grams = totals.where("key >= 0").withColumn("ends", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
-    model = grams.repartition(width, "ends").select("key", "n").mapInArrow(_worked_out(shorter), "key long, value double")
+    # a task grows the trie of a few million grams, however many there are
+    model = grams.repartition(max(width, -(-totals.count() // SHARE)), "ends").select("key", "n").mapInArrow(_worked_out(shorter), "key long, value double")
     values = model.union(totals.where("key < 0").select("key", F.col("n").cast("double").alias("value")))
     answers = asked.select("block", "key").join(values, "key").select("block", "key", "value")
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(tokens[0] or 0, tokens[1]), _SCORED)
+    parts = min(blocks, 16 * width)
+    return rows.repartition(parts, "block").groupBy("block").cogroup(answers.repartition(parts, "block").groupBy("block")).applyInArrow(_scored(tokens[0] or 0, tokens[1]), _SCORED)
 
 
 def op3_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
