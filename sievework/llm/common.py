@@ -188,12 +188,3 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values[bounds[i]:bounds[i + 1]]."""
     total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
     return total[bounds[1:]] - total[bounds[:-1]]
-
-
-def bounded_rows(df: DataFrame, most: int, *key: str) -> DataFrame:
-    """About `most` rows, chosen by a hash of the key columns; all rows where there are no more than that."""
-    n = df.count()
-    if n <= most:
-        return df
-    share = int(most / n * (1 << 30))
-    return df.where(F.pmod(F.xxhash64(*[F.col(k) for k in key], F.lit("sample")), F.lit(1 << 30)) < share)

@@ -7,7 +7,9 @@ sample of labelled rows: at most `per_language` rows of a language and `rows` in
 embedding and filters into one table per filter width and pair of bytes, so a response is a sum of table rows.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0; so is any text if there is nothing to learn from. Rows
-without a language are not learned from. Repeated rows get a row each. Equal probabilities: the language first in code point order.
+without a language are not learned from. Repeated rows get a row each. Equal probabilities: the language first in code point order; a score equal to the
+bound is accepted. A text of any length is read whole: a task holds it with some 60 times its bytes. An empty table gives an empty result. `accepted` keeps all
+columns of the documents, whatever their names; a null id is never held out.
 """
 
 from __future__ import annotations

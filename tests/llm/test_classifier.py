@@ -40,3 +40,27 @@ def test_empty(spark):
     d = docs(spark, HARD)
     assert classifier.graded(d, classifier.fitted(d, labels)).count() == len(HARD)
     assert classifier.graded(d.limit(0), classifier.fitted(d.limit(0), labels)).count() == 0
+
+
+def test_scores_and_tails_one_by_one():
+    rnd = np.random.default_rng(2)
+    texts = ["", "one", "one one two", "A LOUD text!! with 3 numbers", "é è " * 30]
+    f, model = classifier.Features(Texts(pa.array(texts))), classifier.Ordinal()
+    model.weights = rnd.normal(0, 1, len(model.weights))
+    model.cuts = np.array([-0.5, 0.7])
+    scores = model.scores(f)
+    for i in range(len(texts)):
+        own = range(f.bounds[i], f.bounds[i + 1])
+        expected = sum(model.weights[f.buckets[k]] * f.values[k] for k in own)
+        assert abs(scores[i] - expected) < 1e-9
+        assert np.allclose(model.above(scores[i : i + 1])[0], 1 / (1 + np.exp(model.cuts - expected)))
+
+
+def test_partitions_do_not_change_the_model_nor_a_long_text_break_it(spark):
+    rows = [(k, f"plain words number {k} " * 10) for k in range(60)] + [(100 + k, f"junk ### {k} !!! " * 10) for k in range(60)] + [(999, "plain words " * 300_000), (5, None)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(60)] + [(100 + k, 0, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    d = docs(spark, rows).withColumnsRenamed({"lang": "tail", "source": "grade"})
+    found = []
+    for df, own in ((d, labels), (d.repartition(5, "text"), labels.repartition(3))):
+        found.append(sorted(map(tuple, classifier.graded(df, classifier.fitted(df, own, rows=50)).collect()), key=str))
+    assert found[0] == found[1] and len(found[0]) == len(rows)

@@ -1,8 +1,10 @@
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 
 from sievework.llm import langid
+from sievework.llm.common import Texts
 
 from .helpers import HARD, docs, saved
 
@@ -56,3 +58,34 @@ def test_nothing_to_learn_from(spark):
     assert langid.trained(df) is None and langid.trained(df.limit(0)) is None
     assert langid.predicted(df, None).first()["__lang"] == "und"
     assert langid.accepted(df, None).columns == df.columns
+
+
+def test_predictions_are_those_of_the_network_window_by_window():
+    rnd = np.random.default_rng(1)
+    net = langid.Network(["a", "b", "c"])
+    net.out = rnd.normal(0, 1, net.out.shape)
+    texts = ["", "x", "some words é " * 5, "y" * langid.WINDOW, "z " * 500]
+    best, score = langid.Predictor(net).texts(Texts(pa.array(texts)))
+    for i, text in enumerate(texts):
+        data, total = text.encode(), np.zeros(3)
+        for at in range(0, len(data), langid.WINDOW):
+            piece = data[at : at + langid.WINDOW]
+            x = np.frombuffer(piece.ljust(langid.WINDOW, b"\0"), np.uint8)[None]
+            pooled = [sum(net.embedding[x][:, j : j + x.shape[1] - len(f) + 1].astype(float) @ f[j] for j in range(len(f))).max(axis=1) for f in net.filters]
+            total += langid.softmax(np.tanh(np.concatenate(pooled, axis=1)) @ net.out + net.bias)[0] * len(piece)
+        if data:
+            assert best[i] == total.argmax() and abs(score[i] - total.max() / len(data)) < 1e-3
+
+
+def test_least_score_nulls_names_and_a_long_text(spark, tmp_path):
+    rows = [(k, "the house and the garden are very green today " * 5, "en", "s") for k in range(60)] + [(100 + k, "la maison et le jardin sont très verts " * 5, "fr", "s") for k in range(60)]
+    rows += [(None, "the garden", "en", None), (1, None), (2, ""), (3, "12 !"), (500, "the house and the garden are very green " * 60_000, "en", "s"), (1, rows[0][1])]
+    df = docs(spark, rows).withColumnsRenamed({"source": "__lang", "n_chars": "__score"})
+    network = langid.trained(df)
+    kept = langid.accepted(df, network, least=0.0)
+    assert kept.columns == df.columns and kept.count() == len(rows) - 3
+    scores = langid.predicted(docs(spark, rows), network)
+    sure = scores.where(f"__score >= {langid.LEAST_SCORE} and __lang <> 'und'").count()
+    assert langid.accepted(df, network).count() == sure
+    folder = saved(spark, tmp_path, documents=docs(spark, rows).limit(0))
+    assert langid.op1_language_id(spark, folder).count() == 0

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import test_decontaminate, test_simhash, test_substrings
+from .helpers import saved
 
 
 def test_stages(spark, data):
@@ -58,3 +59,29 @@ def test_stages_with_clashing_columns(spark, data, tmp_path):
         assert got.count() == stage(spark, docs, data).count()
         if k < len(corpus_pipeline.STAGES) - 1:
             assert got.columns == wide.columns and got.where("__n <> 'x' or row <> 'x' or size <> 'x'").count() == 0
+
+
+NULLS = [
+    (None, "the house and the garden are very green and quiet today " * 3, "en", None, None), (1, None, None, None, 3), (2, "", "en", "a", None), (None, None, None, None, None),
+    (3, "the river runs past the old mill and under the stone bridge " * 3, "en", "a", 1), (4, "the garden has many trees and the house has many rooms " * 3, None, "b", 1),
+]
+
+
+def test_stages_with_nulls_and_repeated_rows(spark, tmp_path):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    d = spark.createDataFrame(NULLS + NULLS[:1], kind)
+    benchmark = spark.createDataFrame([(1, "no such words are in any of these texts at all"), (None, None), (2, "")], "item_id long, text string")
+    folder = saved(spark, tmp_path, documents=d, benchmark=benchmark)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, d, folder)
+        assert found.columns[:5] == d.columns or name == "source_mix"
+        texts = [r.text for r in found.collect()]
+        # clean documents stay, whatever of them is null
+        assert {r[1][:30] for r in NULLS if r[1]} == {t[:30] for t in texts if t}, name
+    assert corpus_pipeline.run(spark, folder).count() == 3
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    d = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    folder = saved(spark, tmp_path, documents=d, benchmark=spark.createDataFrame([], "item_id long, text string"))
+    assert corpus_pipeline.run(spark, folder).count() == 0
