@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievework.llm import decontaminate as benchmarks
 from sievework.llm import langid, mixing, simhash, substrings
-from sievework.llm.common import table, written
+from sievework.llm.common import release, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +46,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is a table in the shared folder before the next stage reads it."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each result is a table in the shared folder before the next stage reads it, and goes once that one is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            release(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
