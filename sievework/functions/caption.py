@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from string import Formatter
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,8 +70,24 @@ def video_id(images_source: Column, record_id: Column) -> Column:
     return F.when(first != "", stem(first)).otherwise(stripped(F.coalesce(record_id, F.lit(""))))
 
 
-def prompt(video: Column, seconds: Column, segments: Column, caption: Column, most_segments: int = 15, most_questions: int = 5) -> Column:
-    """The request for questions about a video: numbered segments of 250 characters, 3000 characters of the caption."""
+#: What a request says; the caller may give a text of its own with the same fields.
+TEMPLATE = """A video is described below. Write question-answer pairs about it.
+
+video: {video}
+length: {seconds} s
+
+Moments:
+{segments}
+
+Description:
+{caption}
+
+Answer with one JSON object that has three lists. The elements of "temporal_grounding" and "segment_qa" have the fields query, answer, start_sec and end_sec;
+those of "understanding_qa", of which there are {questions} at most, have query, answer and category."""
+
+
+def prompt(video: Column, seconds: Column, segments: Column, caption: Column, most_segments: int = 15, most_questions: int = 5, template: str = TEMPLATE) -> Column:
+    """The request for questions about a video: numbered segments of 250 characters, 3000 characters of the caption, put into a template."""
 
     def line(s: Column, i: Column) -> Column:
         text = F.left(s["description"], F.lit(250))
@@ -78,10 +95,11 @@ def prompt(video: Column, seconds: Column, segments: Column, caption: Column, mo
         return F.concat((i + 1).cast("string"), F.lit(". "), at, text)
 
     lines = F.array_join(F.transform(F.slice(segments, 1, most_segments), line), "\n")
-    return F.concat(
-        F.lit("Generate video QA for the following video.\n\nVideo ID: "), video, F.lit("\nDuration: "), seconds.cast("string"), F.lit(" seconds\n\nSegments:\n"), lines,
-        F.lit("\n\nCaption:\n"), F.left(caption, F.lit(3000)), F.lit(f"\n\nReturn exactly one JSON object.\nGenerate up to {most_questions} items for understanding_qa."),
-    )
+    values = {"video": video, "seconds": seconds.cast("string"), "segments": lines, "caption": F.left(caption, F.lit(3000)), "questions": F.lit(str(most_questions))}
+    parts = []
+    for literal, name, _, _ in Formatter().parse(template):
+        parts += [F.lit(literal), *([values[name]] if name else [])]
+    return F.concat(*parts)
 
 
 def reply_lists(reply: Column) -> Column:

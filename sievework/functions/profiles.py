@@ -13,6 +13,14 @@ from . import tables as T
 from .text import any_of, contains_any, filled, has_word, normalized
 
 UNKNOWN = "unknown"
+#: What raises a source's prior: a tag of the benchmark, the candidate's families, and by how much.
+BOOSTS = [
+    ("skill_tags", "counting", ("count_eval",), 0.18),
+    ("modality_tags", "subtitle", ("subtitleqa",), 0.18),
+    ("skill_tags", "summary", ("longcapqa", "caption"), 0.12),
+    ("locality_tags", "global", ("longcapqa",), 0.10),
+    ("skill_tags", "grounding", ("count_eval", "point_grounding", "tracking"), 0.12),
+]
 #: Metadata that identifies a record and says nothing about it.
 IDENTITY = ("video_id", "id", "question_id")
 
@@ -201,10 +209,12 @@ class Record:
     benchmark: bool = False
 
 
-def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dict[str, Column] | None = None) -> DataFrame:
-    """df with the profile as a struct; overrides replace fields.
+def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dict[str, Column] | None = None, only: tuple[str, ...] = ()) -> DataFrame:
+    """df with the profile, or `only` these fields of it, as a struct; overrides replace fields.
 
-    Normalized texts become columns of their own before rules read them, so that each is made once a row."""
+    Normalized texts become columns of their own before rules read them, so that each is made once a row; their names start with two
+    underscores and `profile`."""
+    own = df.columns
     m = r.metadata
     told = [_text(c) for k, c in m.items() if k not in IDENTITY]
     first = lambda *names: normalized(F.coalesce(*[filled(_text(m[n])) for n in names if n in m], F.lit("")))
@@ -212,23 +222,23 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
     none = F.lit(None).cast("string")
     df = df.withColumns(
         {
-            "__name": normalized(r.source),
-            "__question": normalized(r.question),
-            "__answer": normalized(r.answer),
-            "__context": _text(r.context),
-            "__text": normalized(F.concat_ws(" | ", *[filled(_text(c)) for c in (r.question, r.answer, r.context) if c is not None], *[filled(c) for c in told])),
-            "__told": F.concat_ws(" ", *told) if told else F.lit(""),
-            "__category": first("Category", "category", "task_type", "question_type"),
-            "__alignment": first("AlignmentType"),
-            "__level": first("level"),
-            "__type": first("type"),
-            "__given": F.coalesce(*known("duration", "duration_group", "video_duration"), none),
-            "__video": F.coalesce(*known("video_duration", "duration", "video_length"), F.lit("short")),
+            "__profile_name": normalized(r.source),
+            "__profile_question": normalized(r.question),
+            "__profile_answer": normalized(r.answer),
+            "__profile_context": _text(r.context),
+            "__profile_text": normalized(F.concat_ws(" | ", *[filled(_text(c)) for c in (r.question, r.answer, r.context) if c is not None], *[filled(c) for c in told])),
+            "__profile_told": F.concat_ws(" ", *told) if told else F.lit(""),
+            "__profile_category": first("Category", "category", "task_type", "question_type"),
+            "__profile_alignment": first("AlignmentType"),
+            "__profile_level": first("level"),
+            "__profile_type": first("type"),
+            "__profile_given": F.coalesce(*known("duration", "duration_group", "video_duration"), none),
+            "__profile_video": F.coalesce(*known("video_duration", "duration", "video_length"), F.lit("short")),
         }
     )
-    c = {k: F.col(f"__{k}") for k in ("name", "question", "answer", "context", "text", "category", "alignment", "level", "type", "given", "video", "family", "bench", "bucket", "skills")}
-    bench = benchmark_name(F.concat_ws(" ", "__name", "__told")) if r.benchmark else F.lit("")
-    df = df.withColumns({"__family": source_family(c["name"]), "__bench": bench})
+    c = {k: F.col(f"__profile_{k}") for k in ("name", "question", "answer", "context", "text", "category", "alignment", "level", "type", "given", "video", "family", "bench", "bucket", "skills")}
+    bench = benchmark_name(F.concat_ws(" ", "__profile_name", "__profile_told")) if r.benchmark else F.lit("")
+    df = df.withColumns({"__profile_family": source_family(c["name"]), "__profile_bench": bench})
     by_family = (
         F.when(F.lit(r.benchmark) & (c["bench"] == "lvbench"), "very_long")
         .when(c["family"] == "longcapqa", "long")
@@ -237,7 +247,7 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
         .when(c["name"].contains("long"), "long")
         .otherwise(UNKNOWN)
     )
-    df = df.withColumns({"__bucket": F.coalesce(c["given"], by_family), "__skills": skill_tags(c["text"], c["question"], c["family"])})
+    df = df.withColumns({"__profile_bucket": F.coalesce(c["given"], by_family), "__profile_skills": skill_tags(c["text"], c["question"], c["family"])})
     hint = F.when(c["bucket"] != UNKNOWN, c["bucket"]).when(c["family"] == "longcapqa", "long").when(c["family"] == "count_eval", c["video"]).otherwise(c["bucket"])
     parts = {
         "role": F.lit("benchmark" if r.benchmark else "candidate"),
@@ -253,8 +263,8 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
         "modality_tags": modality_tags(c["text"], c["family"], c["context"], c["alignment"]),
         "locality_tags": locality_tags(c["text"], c["family"], c["type"]),
     }
-    made = df.withColumn(name, F.struct(*[x.alias(k) for k, x in (parts | (overrides or {})).items()]))
-    return made.drop(*[x for x in made.columns if x.startswith("__")])
+    fields = {k: x for k, x in (parts | (overrides or {})).items() if not only or k in only}
+    return df.withColumn(name, F.struct(*[x.alias(k) for k, x in fields.items()])).select(*[f"`{x}`" for x in own if x != name], name)
 
 
 # -- matches ----------------------------------------------------------------------------------------------------------------------
@@ -308,16 +318,8 @@ def source_prior(b: Column, family: Column) -> Column:
     for name, priors in T.PRIORS.items():
         for candidate, prior in priors.items():
             base = F.when((b["benchmark_name"] == name) & (family == candidate), F.lit(prior)).otherwise(base)
-    has = F.array_contains
-    boosts = [
-        (has(b["skill_tags"], "counting") & (family == "count_eval"), 0.18),
-        (has(b["modality_tags"], "subtitle") & (family == "subtitleqa"), 0.18),
-        (has(b["skill_tags"], "summary") & family.isin("longcapqa", "caption"), 0.12),
-        (has(b["locality_tags"], "global") & (family == "longcapqa"), 0.10),
-        (has(b["skill_tags"], "grounding") & family.isin("count_eval", "point_grounding", "tracking"), 0.12),
-    ]
-    for condition, more in boosts:
-        base = base + F.when(condition, F.lit(more)).otherwise(F.lit(0.0))
+    for field_, tag, families, more in BOOSTS:
+        base = base + F.when(F.array_contains(b[field_], tag) & family.isin(*families), F.lit(more)).otherwise(F.lit(0.0))
     return clamped(base)
 
 

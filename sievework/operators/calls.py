@@ -1,13 +1,18 @@
 """External calls: requests are routed to endpoints, sent with retries by a transport that the caller supplies, and answered in rows.
 
 The transport is the only part that talks to a network. It is a function of (endpoint, payload) and returns (status, body); it runs on
-the executors, once for each try."""
+the executors, once for each try. A task sends a batch of rows through a pool of threads; no more rows than the pool has threads are on their way, and an
+endpoint's own limit holds within each task."""
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
+from threading import BoundedSemaphore, Lock
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,16 +22,30 @@ from ..functions.tables import RETRYABLE
 from ..functions.text import md5_modulo
 
 Transport = Callable[[str, str], tuple[int, str]]
-ANSWERS = "id string, response string, status int, endpoint string, attempts int, stage string, error string"
+ANSWERS = "id string, response string, second string, status int, endpoint string, attempts int, stage string, error string"
+#: Words in the body of a 400 that say a request was too long.
+TOO_LONG = ("too long", "multimodal prompt", "token", "origin_input_ids")
 
 
 @dataclass(frozen=True)
 class Retries:
-    """tries beyond the first, seconds before the second try (they double), and whether a retry goes to the next endpoint."""
+    """tries beyond the first, seconds before the second try (they double), whether a retry goes to the next endpoint, and how often a
+    request that is too long is made shorter."""
 
     most: int = 3
     backoff: float = 0.5
     rotate: bool = True
+    shorter: int = 2
+
+
+@dataclass(frozen=True)
+class Pool:
+    """Rows that a task has on their way, the strategy of routing, and weights and limits of endpoints (0: none)."""
+
+    threads: int = 8
+    strategy: str = "stable_hash"
+    weights: tuple[float, ...] = ()
+    limits: tuple[int, ...] = ()
 
 
 def route(key: Column, endpoints: int, attempt: int | Column = 1, rotate: bool = True) -> Column:
@@ -35,46 +54,105 @@ def route(key: Column, endpoints: int, attempt: int | Column = 1, rotate: bool =
     return (first + attempt - 1) % endpoints if rotate else first
 
 
-def least_loaded(inflight: list[int], weights: list[float], first: int = 0) -> int:
-    """The endpoint with the least load for its weight, from `first` on where loads are equal."""
-    order = [(first + i) % len(weights) for i in range(len(weights))]
-    return min(order, key=lambda i: inflight[i] / weights[i] if weights[i] > 0 else float("inf"))
+def least_loaded(inflight: list[int], weights: list[float], first: int = 0, attempt: int = 1, rotate: bool = True) -> int:
+    """The endpoint with the least load for its weight, from `first` on where loads are equal; a retry takes the next in that order."""
+    n = len(weights)
+    order = sorted(range(n), key=lambda i: (inflight[i] / (weights[i] if weights[i] > 0 else 1.0), (i - first) % n))
+    return order[(attempt - 1) % n] if rotate else order[0]
+
+
+class Router:
+    """Endpoints of a task with their load."""
 
+    def __init__(self, endpoints: list[str], pool: Pool, rotate: bool) -> None:
+        self.endpoints, self.pool, self.rotate = endpoints, pool, rotate
+        self.inflight, self.lock = [0] * len(endpoints), Lock()
+        self.weights = list(pool.weights) or [1.0] * len(endpoints)
+        limits = list(pool.limits) or [0] * len(endpoints)
+        self.gates = [BoundedSemaphore(max(1, min(x, pool.threads))) if x > 0 else nullcontext() for x in limits]
 
-def call_one(item: str, payload: str, first: int, endpoints: list[str], transport: Transport, retries: Retries) -> tuple:
-    """One row of ANSWERS. Time-outs, connection errors and the statuses that may pass are tried again."""
-    status, body, error = None, None, None
-    for attempt in range(1, retries.most + 2):
-        endpoint = endpoints[(first + attempt - 1 if retries.rotate else first) % len(endpoints)]
+    def pick(self, item: str, attempt: int) -> int:
+        first = int(hashlib.md5(item.encode(), usedforsecurity=False).hexdigest(), 16) % len(self.endpoints)
+        if self.pool.strategy == "stable_hash":
+            return (first + attempt - 1) % len(self.endpoints) if self.rotate else first
+        with self.lock:
+            return least_loaded(self.inflight, self.weights, first, attempt, self.rotate)
+
+    def send(self, at: int, payload: str, transport: Transport) -> tuple[int, str]:
+        with self.lock:
+            self.inflight[at] += 1
+        try:
+            with self.gates[at]:
+                return transport(self.endpoints[at], payload)
+        finally:
+            with self.lock:
+                self.inflight[at] -= 1
+
+
+def call_one(item: str, payload: str, second: str | None, router: Router, transport: Transport, retries: Retries, shorten: Callable[[str, int], str] | None = None, parse: Callable[[str], str] | None = None) -> tuple:
+    """One row of ANSWERS. Time-outs, connection errors and the statuses that may pass are tried again; a request that is too long is made
+    shorter and does not count as a try. A second request follows an answer, at the same endpoint; where it fails there is only the first."""
+    attempt, shortened, status, error, at = 0, 0, None, None, 0
+    while True:
+        attempt += 1
+        at = router.pick(item, attempt)
         try:
-            status, body = transport(endpoint, payload)
+            status, body = router.send(at, payload, transport)
             error = None if status == 200 else f"status {status}"
         except (TimeoutError, ConnectionError) as e:
-            status, body, error = None, None, f"{type(e).__name__}: {e}"
+            status, body, error = None, "", f"{type(e).__name__}: {e}"
         if error is None:
-            return item, body, status, endpoint, attempt, None, None
-        if status is not None and status not in RETRYABLE or attempt > retries.most:
             break
+        if status == 400 and shorten is not None and shortened < retries.shorter and any(x in (body or "").lower() for x in TOO_LONG):
+            shortened += 1
+            try:
+                payload = shorten(payload, shortened)
+            except Exception as e:  # noqa: BLE001  a caller's function
+                return item, None, None, status, router.endpoints[at], attempt, "build_request", f"{type(e).__name__}: {e}"
+            attempt -= 1
+            continue
+        if status is not None and status not in RETRYABLE or attempt > retries.most:
+            return item, None, None, status, router.endpoints[at], attempt, "llm_request", error
         time.sleep(retries.backoff * 2 ** (attempt - 1))
-    return item, None, status, endpoint, attempt, "llm_request", error
+    more = None
+    if second is not None:
+        try:
+            answered, text = router.send(at, second, transport)
+            more = text if answered == 200 else None
+        except Exception:  # noqa: BLE001  best effort
+            more = None
+    if parse is not None:
+        try:
+            body = parse(body)
+        except Exception as e:  # noqa: BLE001  a caller's function
+            return item, None, None, status, router.endpoints[at], attempt, "parse_response", f"{type(e).__name__}: {e}"
+    return item, body, more, status, router.endpoints[at], attempt, None, None
 
 
-def called(requests: DataFrame, endpoints: list[str], transport: Transport, retries: Retries | None = None, tasks: int = 0) -> DataFrame:
-    """ANSWERS for requests(id, payload, local): rows with a local answer are not sent. More tasks than cores keep slow endpoints busy."""
-    retries = retries or Retries()
+def called(
+    requests: DataFrame, endpoints: list[str], transport: Transport, retries: Retries | None = None, tasks: int = 0, pool: Pool | None = None,
+    shorten: Callable[[str, int], str] | None = None, parse: Callable[[str], str] | None = None,
+) -> DataFrame:
+    """ANSWERS for requests(id, payload, local, and perhaps second): rows with a local answer are not sent, rows without an id or a payload are errors of
+    the stage validate. More tasks than cores keep slow endpoints busy. Write the answers before they are read twice."""
+    retries, pool = retries or Retries(), pool or Pool()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [x.strip().split(" ")[0] for x in ANSWERS.split(",")]
-        for batch in batches:
-            rows = [call_one(i, p, int(r), endpoints, transport, retries) for i, p, r in zip(batch["id"], batch["payload"], batch["route"], strict=True)]
-            yield pd.DataFrame(rows, columns=names).astype({"status": "Int32", "attempts": "int32"})
-
-    key = F.col("id").cast("string")
-    local = requests.where("local is not null").select(key.alias("id"), F.col("local").alias("response"), F.lit(200).alias("status"), F.lit("").alias("endpoint"), F.lit(0).alias("attempts"))
-    local = local.withColumn("stage", F.lit(None).cast("string")).withColumn("error", F.lit(None).cast("string"))
-    sent = requests.where("local is null").select(key.alias("id"), "payload", route(key, len(endpoints)).alias("route"))
+        names, router = [x.strip().split(" ")[0] for x in ANSWERS.split(",")], Router(endpoints, pool, retries.rotate)
+        with ThreadPoolExecutor(pool.threads) as threads:
+            for batch in batches:
+                seconds = [None if pd.isna(x) else x for x in batch["second"]]
+                rows = list(threads.map(lambda r: call_one(*r, router, transport, retries, shorten, parse), zip(batch["id"], batch["payload"], seconds, strict=True)))
+                yield pd.DataFrame(rows, columns=names).astype({"status": "Int32", "attempts": "int32"})
+
+    key, none = F.col("id").cast("string"), F.lit(None).cast("string")
+    second = F.col("second") if "second" in requests.columns else none
+    rows = requests.select(key.alias("id"), F.col("payload").cast("string").alias("payload"), F.col("local").cast("string").alias("local"), second.alias("second"))
+    invalid = rows.where("local is null and (id is null or payload is null)").select("id", none.alias("response"), none.alias("second"), F.lit(None).cast("int").alias("status"), F.lit("").alias("endpoint"), F.lit(0).alias("attempts"), F.lit("validate").alias("stage"), F.lit("no id or no payload").alias("error"))
+    local = rows.where("local is not null").select("id", F.col("local").alias("response"), none.alias("second"), F.lit(200).alias("status"), F.lit("").alias("endpoint"), F.lit(0).alias("attempts"), none.alias("stage"), none.alias("error"))
+    sent = rows.where("local is null and id is not null and payload is not null").select("id", "payload", "second")
     sent = sent.repartition(tasks, "id") if tasks else sent
-    return sent.mapInPandas(run, ANSWERS).unionByName(local)
+    return sent.mapInPandas(run, ANSWERS).unionByName(local).unionByName(invalid)
 
 
 def split(answers: DataFrame) -> tuple[DataFrame, DataFrame]:

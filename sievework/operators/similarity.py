@@ -1,20 +1,10 @@
-"""Similarity of candidates to benchmark examples, and what follows from it: top matches, scores by source, selection scores.
-
-Token and TF-IDF similarity are equi-joins on terms: a pair of texts costs the terms that it shares, and the benchmark's side is
-aggregated before the join. Pairs without a shared term have similarity 0; a candidate with fewer than n matches is filled up with
-the first benchmark examples, as a full comparison would."""
+"""Term frequencies and norms, and dot products, as columns; matching.py compares candidates with a whole benchmark."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import tables as T
-from ..functions.text import tokens
-
-DIGITS = 6
-
 
 def frequencies(df: DataFrame, key: str, terms: Column) -> DataFrame:
     """(key, term, tf) of each different term."""
@@ -25,86 +15,5 @@ def norms(tf: DataFrame, key: str) -> DataFrame:
     return tf.groupBy(key).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
 
 
-def ngrams(words: Column) -> Column:
-    """Words and pairs of neighbours."""
-    pairs = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    return F.concat(words, pairs)
-
-
-def _pairs(candidates: DataFrame, bench: DataFrame, c: str, b: str, weight: str) -> DataFrame:
-    """Sum of products over shared terms."""
-    left, right = candidates.select(c, "term", F.col(weight).alias("x")), bench.select(b, "term", F.col(weight).alias("y"))
-    return left.join(right, "term").groupBy(c, b).agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-
-
-def token_cosine(candidates: DataFrame, bench: DataFrame, c: str, b: str, text: str = "text") -> DataFrame:
-    """(c, b, similarity) of all pairs that share a token: cosine of token counts."""
-    left, right = frequencies(candidates, c, tokens(text)), frequencies(bench, b, tokens(text))
-    dots = _pairs(left, right, c, b, "tf")
-    return (
-        dots.join(norms(left, c).withColumnRenamed("norm", "cn"), c)
-        .join(norms(right, b).withColumnRenamed("norm", "bn"), b)
-        .select(c, b, F.round(F.col("dot") / (F.col("cn") * F.col("bn")), DIGITS).alias("similarity"))
-    )
-
-
-def tfidf_cosine(candidates: DataFrame, bench: DataFrame, c: str, b: str, words: Column) -> DataFrame:
-    """Cosine of counts times ln((1 + n) / (1 + df)) + 1 over words and pairs of words, with frequencies of the benchmark."""
-    # the words become a column: inside the lambda of ngrams they would be made again for each of them
-    split = lambda df, key: df.select(key, words.alias("words"))
-    right = frequencies(split(bench, b), b, ngrams(F.col("words")))
-    n = bench.select(F.count("*").alias("n"))
-    idf = right.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(n)).select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    # terms that no benchmark text has are not in the vocabulary
-    weigh = lambda tf: tf.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    left, right = weigh(frequencies(split(candidates, c), c, ngrams(F.col("words")))), weigh(right)
-    length = lambda df, key, name: df.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias(name))
-    return (
-        _pairs(left, right, c, b, "w")
-        .join(length(left, c, "cn"), c)
-        .join(length(right, b, "bn"), b)
-        .select(c, b, F.round(F.col("dot") / (F.col("cn") * F.col("bn")), DIGITS).alias("similarity"))
-    )
-
-
 def dot_product(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-
-
-def top_matches(pairs: DataFrame, candidates: DataFrame, bench: DataFrame, c: str, b: str, n: int = 3) -> DataFrame:
-    """(c, rank, b, similarity): the n most similar benchmark examples; ties by b."""
-    first = bench.select(b).orderBy(b).limit(n)
-    fill = candidates.select(c).join(F.broadcast(first)).withColumn("similarity", F.lit(0.0))
-    best = pairs.select(c, b, "similarity").union(fill.select(c, b, "similarity")).groupBy(c, b).agg(F.max("similarity").alias("similarity"))
-    rank = F.row_number().over(W.partitionBy(c).orderBy(F.desc("similarity"), b))
-    return best.withColumn("rank", rank).where(F.col("rank") <= n)
-
-
-def source_scores(pairs: DataFrame, c: str, source: str = "benchmark_source", score: str = "adjusted") -> DataFrame:
-    """(c, source, best): the best score of each candidate by benchmark source, 0 at least."""
-    return pairs.groupBy(c, source).agg(F.greatest(F.lit(0.0), F.max(score)).alias("best"))
-
-
-def summarized(scores: DataFrame, weights: DataFrame, c: str, source: str = "benchmark_source", threshold: float = 0.45) -> DataFrame:
-    """Over all weighted sources of each candidate: balanced score, coverage, the best source (ties: the first by name), and the
-    selection score 0.85 balanced + 0.15 coverage. A source in which a candidate has no score counts as 0."""
-    every = scores.select(c).distinct().join(F.broadcast(weights))
-    full = every.join(scores, [c, source], "left").withColumn("best", F.coalesce("best", F.lit(0.0)))
-    total = F.sum("weight")
-    covered = F.sum(F.when(F.col("best") >= threshold, F.col("weight")).otherwise(0.0))
-    found = full.groupBy(c).agg(
-        (F.sum(F.col("best") * F.col("weight")) / F.nullif(total, F.lit(0.0))).alias("balanced_score"),
-        (covered / F.nullif(total, F.lit(0.0))).alias("coverage"),
-        F.min(F.struct((-F.col("best")).alias("s"), F.col(source).alias("name"))).alias("least"),
-    )
-    return found.select(
-        c,
-        F.round(F.coalesce("balanced_score", F.lit(0.0)), DIGITS).alias("balanced_score"),
-        F.round(F.coalesce("coverage", F.lit(0.0)), DIGITS).alias("coverage"),
-        F.col("least.name").alias("best_source"),
-    ).withColumn("selection_score", F.round(0.85 * F.col("balanced_score") + 0.15 * F.col("coverage"), DIGITS + 3))
-
-
-def weighted(parts: dict[str, Column]) -> Column:
-    """The weighted sum of match parts with the usual weights."""
-    return sum((T.WEIGHTS[k] * parts[k] for k in T.WEIGHTS if k in parts), F.lit(0.0))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder of a run's own in the one that the cluster names in spark.checkpoint.dir; a temporary one where the master is local."""
+    given = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not given:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        given = tempfile.mkdtemp(prefix="sievework-")
+    return f"{given.rstrip('/')}/records-{uuid.uuid4().hex}"
+
+
 def pick(values: list[str], number: Column) -> Column:
     return F.get(F.array(*map(F.lit, values)), F.pmod(number, F.lit(len(values))).cast("int"))
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import caption, messages, verdict
@@ -138,8 +135,7 @@ def json_path_extract(spark, sf):
 
 
 def perplexity(spark, sf):
-    e = table(spark, sf, "events").groupBy("user_id").agg(F.collect_list(-F.col("value") / 100).alias("logprobs"))
-    return e.select("user_id", F.round(verdict.perplexity(F.col("logprobs")), 3).alias("ppl"))
+    return table(spark, sf, "events").groupBy("user_id").agg(F.round(verdict.perplexity_of(-F.col("value") / 100), 3).alias("ppl"))
 
 
 # -- fine-tuning rows ------------------------------------------------------------------------------------------------------------------
@@ -401,13 +397,12 @@ def incremental_resume_stream(spark, sf):
     """Two runs over a growing folder: each id is written once."""
     from ..streaming import incremental
 
-    base_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sievework-stream-")
-    folder = f"{base_dir}/stream-{uuid.uuid4().hex}"  # a run of its own: another one may share the folder
+    folder = base.scratch(spark)  # a run of its own: another one may share the folder it is in
     e = table(spark, sf, "events").select(F.col("event_id").alias("id"), "event_type")
     for part in (0, 1):
         e.where(F.col("id") % 2 == part).union(e.where("id % 10 = 0")).write.mode("append").parquet(f"{folder}/in")
         incremental.run_available(incremental.stream_of(spark, f"{folder}/in", e.schema), f"{folder}/out", f"{folder}/checkpoint")
-    return spark.read.schema(e.schema).parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").select("id", "event_type")
 
 
 _ALL = {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import profiles as P
 from ..functions import tables as T
 from ..functions.text import normalized, similarity_text
-from ..operators import buckets, similarity
+from ..operators import buckets, matching
 from ..operators.selection import best_per_id, capped_top, soft_cap
 from . import base
 from .base import BENCHES, CANDIDATES, table
@@ -35,12 +35,13 @@ def example_item_id(spark, sf):
 EXAMPLE_ITEM_ID = "SELECT conv_id, turn, 'chat:conversations:row_' || left(md5(text), 10) || '#e' || turn AS item_id FROM conversations"
 
 
-def _profiled(spark, sf):
-    return P.with_profile(table(spark, sf, "documents").select("doc_id", "text"), base.candidate(), "p").select("doc_id", "p")
+def _profiled(spark, sf, only=()):
+    return P.with_profile(table(spark, sf, "documents").select("doc_id", "text"), base.candidate(), "p", only=only)
 
 
 def _benches(spark, sf):
-    return P.with_profile(table(spark, sf, "benchmark"), base.bench(), "b").select("item_id", "b")
+    bench = table(spark, sf, "benchmark").select("item_id", "text", base.pick(base.BENCHMARKS, F.col("item_id")).alias("benchmark_source"))
+    return P.with_profile(bench, base.bench(), "b")
 
 
 def _tag_query(*names):
@@ -75,25 +76,28 @@ def source_family_from_url(spark, sf):
 SOURCE_FAMILY = f"""WITH t AS (SELECT page_id, regexp_extract(url, '[^/]*$') AS base_name, lower({base.sql_pick(base.NAMES, 'page_id')} || '/' || regexp_extract(url, '[^/]*$')) AS name FROM pages)
 SELECT page_id, {base.FAMILY} AS source_family, base_name, CASE WHEN regexp_matches(base_name, '^.+\\.[^.]*$') THEN regexp_extract(base_name, '^(.+)\\.[^.]*$', 1) ELSE base_name END AS stem FROM t"""
 
-# -- matches: pairs of texts that share a token --------------------------------------------------------------------------------------
+# -- matches: every document against every item ------------------------------------------------------------------------------------
 
-PARTS = ("skill", "domain", "reasoning", "modality", "locality", "duration", "answer_type", "source_prior")
+PARTS = matching.PARTS
+_PROFILED = ("source_family", "duration_bucket", "answer_type", *TAGS)
 
 
 def _matched(spark, sf):
-    pairs = similarity.token_cosine(table(spark, sf, "documents").where("lang = 'en'"), table(spark, sf, "benchmark"), "doc_id", "item_id")
-    return pairs.join(_profiled(spark, sf), "doc_id").join(F.broadcast(_benches(spark, sf)), "item_id")
+    return matching.compared(_profiled(spark, sf, _PROFILED), _benches(spark, sf), "doc_id", "item_id", 3, source="benchmark_source", profile=("p", "b"))
 
 
 def profile_match_components(spark, sf):
-    parts = P.match_parts(F.col("b"), F.col("p"))
-    return _matched(spark, sf).select("doc_id", "item_id", *[F.round(parts[k], 6).alias(k) for k in PARTS])
+    """The parts of the three best matches of each document."""
+    return matching.ranked(_matched(spark, sf), "doc_id").select("doc_id", "rank", "item_id", *[F.round(k, 6).alias(k) for k in PARTS])
 
 
 def blended_match_score(spark, sf):
-    parts = P.match_parts(F.col("b"), F.col("p")) | {"semantic": F.col("similarity")}
-    profile_only = P.blended(parts, {"semantic": 0.0})
-    return _matched(spark, sf).select("doc_id", "item_id", F.round(P.blended(parts), 9).alias("adjusted"), F.round(profile_only, 9).alias("profile_only"))
+    return matching.ranked(_matched(spark, sf), "doc_id").select("doc_id", "rank", "item_id", "semantic", "adjusted", "profile_only")
+
+
+def similarity_summary(spark, sf):
+    """What a comparison says about each document, over all items."""
+    return matching.summarized(_matched(spark, sf), "doc_id", {"lvbench": 2.0})
 
 
 def _sql_overlap(a: str, b: str) -> str:
@@ -103,14 +107,14 @@ def _sql_overlap(a: str, b: str) -> str:
 _LISTS = ", ".join(f"CASE WHEN {n} = '' THEN [] ELSE string_split({n}, ',') END AS {n[:-5]}" for n in TAGS)
 _PRIOR = "CASE " + " ".join(f"WHEN b.bench = '{n}' AND c.family = '{f}' THEN {p}" for n, ps in T.PRIORS.items() for f, p in ps.items()) + f" ELSE {T.OTHER_PRIOR} END"
 _ORDER = "CASE {0} WHEN 'short' THEN 0 WHEN 'medium' THEN 1 WHEN 'long' THEN 2 WHEN 'very_long' THEN 3 END"
-_COSINE = """dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents {0}) GROUP BY ALL),
+_COSINE = """dt AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents) GROUP BY ALL),
 bt AS (SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark) GROUP BY ALL),
 dn AS (SELECT doc_id, sqrt(sum(tf * tf)) AS norm FROM dt GROUP BY doc_id), bn AS (SELECT item_id, sqrt(sum(tf * tf)) AS norm FROM bt GROUP BY item_id),
 dots AS (SELECT doc_id, item_id, sum(dt.tf * bt.tf) AS dot FROM dt JOIN bt USING (term) GROUP BY doc_id, item_id),
 pairs AS (SELECT doc_id, item_id, round(dot / (dn.norm * bn.norm), 6) AS similarity FROM dots JOIN dn USING (doc_id) JOIN bn USING (item_id))"""
-_MATCH = f"""WITH {CANDIDATES}, {BENCHES}, {_COSINE.format("WHERE lang = 'en'")},
+_MATCH = f"""WITH {CANDIDATES}, {BENCHES}, {_COSINE},
 cl AS (SELECT doc_id, family, duration_bucket, answer_type, {_LISTS} FROM cand), bl AS (SELECT item_id, bench, duration_bucket, answer_type, {_LISTS} FROM bch),
-parts AS (SELECT doc_id, item_id, similarity, {_sql_overlap('b.skill', 'c.skill')} AS skill, {_sql_overlap('b.domain', 'c.domain')} AS domain, {_sql_overlap('b.reasoning', 'c.reasoning')} AS reasoning,
+parts AS (SELECT c.doc_id, b.item_id, coalesce(p.similarity, 0.0) AS similarity, {_sql_overlap('b.skill', 'c.skill')} AS skill, {_sql_overlap('b.domain', 'c.domain')} AS domain, {_sql_overlap('b.reasoning', 'c.reasoning')} AS reasoning,
  CASE WHEN len(b.modality) = 0 THEN 0.5 ELSE len(list_intersect(b.modality, c.modality)) / len(b.modality) END AS modality,
  CASE WHEN len(b.locality) = 0 THEN 0.5 WHEN list_contains(b.locality, 'global') AND (list_contains(c.locality, 'global') OR list_contains(c.locality, 'multi_segment')) THEN 1.0
   WHEN list_contains(b.locality, 'local') AND list_contains(c.locality, 'local') THEN 1.0 ELSE {_sql_overlap('b.locality', 'c.locality')} END AS locality,
@@ -123,8 +127,7 @@ parts AS (SELECT doc_id, item_id, similarity, {_sql_overlap('b.skill', 'c.skill'
   + CASE WHEN list_contains(b.skill, 'summary') AND c.family IN ('longcapqa', 'caption') THEN 0.12 ELSE 0.0 END
   + CASE WHEN list_contains(b.locality, 'global') AND c.family = 'longcapqa' THEN 0.10 ELSE 0.0 END
   + CASE WHEN list_contains(b.skill, 'grounding') AND c.family IN ('count_eval', 'point_grounding', 'tracking') THEN 0.12 ELSE 0.0 END)) AS source_prior
- FROM pairs JOIN cl c USING (doc_id) JOIN bl b USING (item_id))"""
-MATCH_COMPONENTS = f"{_MATCH} SELECT doc_id, item_id, {', '.join(f'round(CAST({k} AS DOUBLE), 6) AS {k}' for k in PARTS)} FROM parts"
+ FROM cl c CROSS JOIN bl b LEFT JOIN pairs p ON p.doc_id = c.doc_id AND p.item_id = b.item_id)"""
 
 
 def _sql_blend(weights: dict[str, float]) -> str:
@@ -133,7 +136,17 @@ def _sql_blend(weights: dict[str, float]) -> str:
     return f"({' + '.join(f'CAST({w} AS DOUBLE) * CAST({names.get(k, k)} AS DOUBLE)' for k, w in used.items())}) / CAST({sum(used.values())} AS DOUBLE)"
 
 
-BLENDED = f"{_MATCH} SELECT doc_id, item_id, round({_sql_blend(T.WEIGHTS)}, 9) AS adjusted, round({_sql_blend({k: w for k, w in T.WEIGHTS.items() if k != 'semantic'})}, 9) AS profile_only FROM parts"
+_RANKED = f"""{_MATCH}, scored AS (SELECT *, round({_sql_blend(T.WEIGHTS)}, 9) AS adjusted, round({_sql_blend({k: w for k, w in T.WEIGHTS.items() if k != 'semantic'})}, 9) AS profile_only FROM parts),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY adjusted DESC, item_id) AS INT) AS rank FROM scored)"""
+MATCH_COMPONENTS = f"{_RANKED} SELECT doc_id, rank, item_id, {', '.join(f'round(CAST({k} AS DOUBLE), 6) AS {k}' for k in PARTS)} FROM ranked WHERE rank <= 3"
+BLENDED = f"{_RANKED} SELECT doc_id, rank, item_id, similarity AS semantic, adjusted, profile_only FROM ranked WHERE rank <= 3"
+SUMMARY = f"""{_RANKED}, w AS (SELECT doc_id, {base.sql_pick(base.BENCHMARKS, 'item_id')} AS source, greatest(0.0, max(adjusted)) AS best FROM ranked GROUP BY ALL),
+a AS (SELECT doc_id, round(sum(best * CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END) / sum(CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END), 6) AS balanced_score,
+ round(sum(CASE WHEN best >= 0.45 THEN CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END ELSE 0.0::DOUBLE END) / sum(CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END), 6) AS coverage FROM w GROUP BY doc_id),
+t AS (SELECT doc_id, source AS best_source FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY best DESC, source) = 1),
+m AS (SELECT doc_id, max(similarity) AS max_similarity, max(adjusted) AS max_adjusted_similarity, round(avg(similarity) FILTER (rank <= 3), 6) AS mean_topk_similarity,
+ round(avg(adjusted) FILTER (rank <= 3), 6) AS mean_topk_adjusted_similarity FROM ranked GROUP BY doc_id)
+SELECT *, round(0.85::DOUBLE * balanced_score + 0.15::DOUBLE * coverage, 9) AS selection_score FROM m JOIN a USING (doc_id) JOIN t USING (doc_id)"""
 
 # -- selection ---------------------------------------------------------------------------------------------------------------------
 
@@ -141,9 +154,10 @@ DURATION, TASK, K = "long", "Temporal Reasoning", 40
 
 
 def _scored(spark, sf):
-    """Candidates of one bucket, with a similarity made from their id. Profiles are kept: several filters read them, and the optimizer
-    would otherwise copy the rules into each."""
-    rows = _profiled(spark, sf).persist().select("doc_id", "p.*").withColumn("similarity", F.round(F.pmod(F.col("doc_id") * 7919, F.lit(1000)) / 1000.0, 3))
+    """Candidates of one bucket, with a similarity made from their id."""
+    rows = _profiled(spark, sf, ("source_family", "skill_bucket", "duration_hint"))
+    # exploding an array of one struct keeps filters behind the rules: the optimizer would otherwise copy them into each
+    rows = rows.select("doc_id", F.explode(F.array("p")).alias("p")).select("doc_id", "p.*").withColumn("similarity", F.round(F.pmod(F.col("doc_id") * 7919, F.lit(1000)) / 1000.0, 3))
     skill = buckets.skill_priority(F.lit(TASK), F.col("skill_bucket"))
     match = buckets.duration_match(F.lit(DURATION), F.col("duration_hint"))
     rows = rows.where(skill.isNotNull() & buckets.first_round(F.col("source_family"), F.col("skill_bucket"), normalized(base.pick(base.CATEGORIES, F.col("doc_id") * 7))))
@@ -201,6 +215,7 @@ _ALL = {
     "source_family_from_url": (source_family_from_url, SOURCE_FAMILY),
     "profile_match_components": (profile_match_components, MATCH_COMPONENTS),
     "blended_match_score": (blended_match_score, BLENDED),
+    "similarity_summary": (similarity_summary, SUMMARY),
     "bucket_selection_soft_cap": (bucket_selection_soft_cap, SOFT_CAP),
     "family_capped_topk": (family_capped_topk, CAPPED),
     "merge_best_per_id": (merge_best_per_id, MERGE),

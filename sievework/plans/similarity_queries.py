@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import profiles as P
-from ..operators import buckets, similarity, stats
+from ..operators import buckets, matching, similarity, stats
 from . import base
 from .base import table
 from .profile_queries import _COSINE
@@ -13,17 +13,17 @@ from .profile_queries import _COSINE
 SOURCES, SOURCE_WEIGHTS = base.BENCHMARKS, [1.0, 1.0, 1.0]
 
 
-def _cosine(spark, sf):
-    return similarity.token_cosine(table(spark, sf, "documents"), table(spark, sf, "benchmark"), "doc_id", "item_id")
+def _compared(spark, sf, n, backend="token_overlap"):
+    b = table(spark, sf, "benchmark").select("item_id", "text", base.pick(SOURCES, F.col("item_id")).alias("benchmark_source"))
+    return matching.compared(table(spark, sf, "documents").select("doc_id", "text"), b, "doc_id", "item_id", n, backend, source="benchmark_source")
 
 
 def similarity_top_matches(spark, sf):
     """Flagship: the three nearest benchmark items of each document."""
-    d, b = table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    return similarity.top_matches(_cosine(spark, sf), d, b, "doc_id", "item_id", 3).select("doc_id", "rank", "item_id", "similarity")
+    return matching.ranked(_compared(spark, sf, 3), "doc_id").select("doc_id", "rank", "item_id", F.col("semantic").alias("similarity"))
 
 
-_PAIRS = f"WITH {_COSINE.format('')}"
+_PAIRS = f"WITH {_COSINE}"
 TOP_MATCHES = f"""{_PAIRS}, best AS (SELECT d.doc_id, b.item_id, coalesce(p.similarity, 0.0) AS similarity FROM documents d CROSS JOIN benchmark b LEFT JOIN pairs p ON p.doc_id = d.doc_id AND p.item_id = b.item_id)
 SELECT doc_id, CAST(rank AS INT) AS rank, item_id, similarity FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, item_id) AS rank FROM best) WHERE rank <= 3"""
 
@@ -41,30 +41,21 @@ def token_norm(spark, sf):
     return found.select("doc_id", F.round("norm", 6).alias("norm"))
 
 
-def _sourced(spark, sf):
-    return _cosine(spark, sf).withColumn("benchmark_source", base.pick(SOURCES, F.col("item_id")))
-
-
 def similarity_source_scores(spark, sf):
-    weights = spark.createDataFrame(list(zip(SOURCES, SOURCE_WEIGHTS, strict=True)), "benchmark_source string, weight double")
-    scores = similarity.source_scores(_sourced(spark, sf), "doc_id", score="similarity")
-    return similarity.summarized(scores, weights, "doc_id")
+    found = matching.summarized(_compared(spark, sf, 1), "doc_id", dict(zip(SOURCES, SOURCE_WEIGHTS, strict=True)), score="semantic")
+    return found.select("doc_id", "balanced_score", "coverage", "best_source", "selection_score")
 
 
 SOURCE_SCORES = f"""{_PAIRS}, w AS (SELECT unnest({base.sql_list(SOURCES)}) AS source, 1.0::DOUBLE AS weight),
 s AS (SELECT doc_id, {base.sql_pick(SOURCES, 'item_id')} AS source, greatest(0.0, max(similarity)) AS best FROM pairs GROUP BY ALL),
-f AS (SELECT d.doc_id, w.source, w.weight, coalesce(s.best, 0.0) AS best FROM (SELECT DISTINCT doc_id FROM s) d CROSS JOIN w LEFT JOIN s ON s.doc_id = d.doc_id AND s.source = w.source),
+f AS (SELECT d.doc_id, w.source, w.weight, coalesce(s.best, 0.0) AS best FROM documents d CROSS JOIN w LEFT JOIN s ON s.doc_id = d.doc_id AND s.source = w.source),
 a AS (SELECT doc_id, sum(best * weight) / sum(weight) AS balanced, sum(CASE WHEN best >= 0.45 THEN weight ELSE 0 END) / sum(weight) AS cov FROM f GROUP BY doc_id),
 t AS (SELECT doc_id, source FROM f QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY best DESC, source) = 1)
 SELECT doc_id, round(balanced, 6) AS balanced_score, round(cov, 6) AS coverage, t.source AS best_source, round(0.85::DOUBLE * round(balanced, 6) + 0.15::DOUBLE * round(cov, 6), 9) AS selection_score FROM a JOIN t USING (doc_id)"""
 
 
 def tfidf_similarity(spark, sf):
-    from ..functions.text import tokens
-
-    d, b = table(spark, sf, "documents"), table(spark, sf, "benchmark")
-    found = similarity.tfidf_cosine(d, b, "doc_id", "item_id", tokens("text"))
-    return similarity.top_matches(found, d, b, "doc_id", "item_id", 3).select("doc_id", "rank", "item_id", "similarity")
+    return matching.ranked(_compared(spark, sf, 3, "tfidf"), "doc_id").select("doc_id", "rank", "item_id", F.col("semantic").alias("similarity"))
 
 
 def _grams(source: str, key: str) -> str:
@@ -85,11 +76,8 @@ SELECT doc_id, CAST(rank AS INT) AS rank, item_id, similarity FROM (SELECT *, ro
 def embedding_similarity_topk(spark, sf):
     """Nearest of all vectors for those whose id is divisible by 100: a stated query set."""
     e = table(spark, sf, "embeddings")
-    asks = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    size = asks.agg(F.sum(F.size("q") * 4)).first()[0] or 0
-    asks = F.broadcast(asks) if size <= 64 << 20 else asks
-    pairs = e.join(asks, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(similarity.dot_product(F.col("embedding"), F.col("q")), 6).alias("score"))
-    return stats.top_k_by(pairs, 3, "score", "vec_id", "query_id").select("query_id", "rank", "vec_id", "score")
+    near = matching.nearest_rows(e, e.where("vec_id % 100 = 0"), "vec_id", "embedding", 3)
+    return stats.top_k_by(near, 3, "score", "vec_id", "query_id").select("query_id", "rank", "vec_id", "score")
 
 
 EMBEDDING = """WITH p AS (SELECT q.vec_id AS query_id, e.vec_id, round(list_dot_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings e JOIN embeddings q
@@ -101,12 +89,14 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_nu
 
 def _best(spark, sf):
     """Each document with its nearest item, the item's source, and a family made from its source."""
-    d = table(spark, sf, "documents")
-    rank = similarity.top_matches(_cosine(spark, sf), d, table(spark, sf, "benchmark"), "doc_id", "item_id", 1)
-    family = P.source_family(base.pick(base.NAMES, F.col("doc_id")))
-    return rank.join(d.select("doc_id", "source"), "doc_id").select(
-        "doc_id", "source", family.alias("family"), "similarity", base.pick(SOURCES, F.col("item_id")).alias("best_benchmark"), base.pick(["counting", "summary"], F.col("item_id")).alias("skill")
-    )
+    d = table(spark, sf, "documents").select("doc_id", "text", "source")
+    b = table(spark, sf, "benchmark").select("item_id", "text")
+    # the source goes with the key, so that documents are read once
+    keyed = d.select(F.struct("doc_id", "source").alias("key"), "text")
+    best = matching.ranked(matching.compared(keyed, b, "key", "item_id", 1), "key")
+    family = P.source_family(base.pick(base.NAMES, F.col("key.doc_id")))
+    picked = [base.pick(SOURCES, F.col("item_id")).alias("best_benchmark"), base.pick(["counting", "summary"], F.col("item_id")).alias("skill")]
+    return best.select("key.doc_id", "key.source", family.alias("family"), F.col("semantic").alias("similarity"), *picked)
 
 
 _BEST = f"""{_PAIRS}, every AS (SELECT d.doc_id, d.source, b.item_id, coalesce(p.similarity, 0.0) AS similarity, {base.sql_pick(base.NAMES, 'd.doc_id')} AS name
@@ -181,7 +171,7 @@ SELECT bucket_key, priority_score, bucket_weight, family, count, round(count / s
 _ALL = {
     "similarity_top_matches": (similarity_top_matches, TOP_MATCHES),
     "token_frequency": (token_frequency, "SELECT item_id, term, count(*) AS tf FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark) GROUP BY ALL"),
-    "token_norm": (token_norm, f"WITH {_COSINE.format('')} SELECT doc_id, round(norm, 6) AS norm FROM dn"),
+    "token_norm": (token_norm, f"WITH {_COSINE} SELECT doc_id, round(norm, 6) AS norm FROM dn"),
     "similarity_source_scores": (similarity_source_scores, SOURCE_SCORES),
     "tfidf_similarity": (tfidf_similarity, TFIDF),
     "embedding_similarity_topk": (embedding_similarity_topk, EMBEDDING),

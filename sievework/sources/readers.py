@@ -43,8 +43,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     return len(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found) or []) > 0
 
 
-def read_records(spark: SparkSession, paths: list[str], schema: str | T.StructType | None = None, record_field: str | None = None, skip_missing: bool = False) -> DataFrame:
-    """Records of JSON lines, JSON documents (a list, a list in a field, or one object), Parquet or CSV with a header."""
+def read_records(spark: SparkSession, paths: list[str], schema: str | T.StructType | None = None, record_field: str | None = None, skip_missing: bool = False, strict: bool = False) -> DataFrame:
+    """Records of JSON lines, JSON documents (a list, a list in a field, or one object), Parquet or CSV with a header.
+
+    Broken JSON lines are skipped; where `strict`, they end the job."""
     held = [p for p in paths if exists(spark, p)]
     if not skip_missing and len(held) < len(paths) or not held:
         raise FileNotFoundError(", ".join(p for p in paths if p not in held) or "no paths")
@@ -57,7 +59,7 @@ def read_records(spark: SparkSession, paths: list[str], schema: str | T.StructTy
         return reader.parquet(*held)
     if kind == "csv":
         return reader.option("header", True).csv(held)
-    df = reader.option("multiLine", kind == "json").json(held)
+    df = reader.option("multiLine", kind == "json").option("mode", "FAILFAST" if strict else "DROPMALFORMED").json(held)
     if record_field and record_field in df.columns:
         inner = df.schema[record_field].dataType
         df = df.select(F.explode(record_field).alias("r")) if isinstance(inner, T.ArrayType) else df.select(F.col(record_field).alias("r"))

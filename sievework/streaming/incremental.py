@@ -1,39 +1,93 @@
-"""Incremental runs: a folder that grows is read from where the last run stopped."""
+"""Incremental runs: a folder that grows is read from where the last run stopped.
+
+Each batch is written to a folder of its own number, which a repeated batch overwrites, so that a retry adds nothing twice. What an
+earlier run has written is found in the output itself: no state grows with the ids."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.readers import exists
+
+BATCH = "batch"
+
+
+class _Stop(Exception):
+    """Ends a query before its batch is taken as read."""
+
 
 def stream_of(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "parquet", files: int = 0) -> DataFrame:
     reader = spark.readStream.format(kind).schema(schema)
     return (reader.option("maxFilesPerTrigger", files) if files else reader).load(path)
 
 
-def run_available(stream: DataFrame, output: str, checkpoint: str, key: str = "id", transform: Callable[[DataFrame], DataFrame] | None = None) -> int:
-    """Processes what is there and not yet done, each id once over all runs, and returns the rows read.
+def written_before(spark: SparkSession, output: str, schema: T.StructType, number: int | None = None) -> DataFrame:
+    """What other batches than `number` have written."""
+    if not exists(spark, output):
+        return spark.createDataFrame([], schema)
+    found = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(output)
+    return (found.where(F.col(BATCH) != number) if number is not None else found).drop(BATCH)
+
+
+def _write(df: DataFrame, output: str, number: int) -> None:
+    df.write.mode("overwrite").parquet(f"{output}/{BATCH}={number}")
+
+
+def _started(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, every: str | None):
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
 
-    The checkpoint holds the files that were read and the ids that were seen; give ids a watermark where they may be forgotten."""
-    rows = stream.dropDuplicates([key])
-    rows = transform(rows) if transform else rows
-    query = rows.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+def run_available(stream: DataFrame, output: str, checkpoint: str, key: str = "id", transform: Callable[[DataFrame], DataFrame] | None = None, progress: Callable[[dict], None] | None = None) -> int:
+    """Processes what is there and not yet done, each id once over all runs, and returns the rows read. progress gets what each batch has done.
+
+    Ids of earlier batches are left out by an anti join with the output, of which only that column is read."""
+    spark = stream.sparkSession
+
+    def batch(df: DataFrame, number: int) -> None:
+        rows = df.dropDuplicates([key])
+        done = written_before(spark, output, T.StructType([df.schema[key]]), number)
+        rows = rows.join(done, key, "left_anti").select(*df.columns)
+        _write(transform(rows) if transform else rows, output, number)
+
+    query = _started(stream, batch, checkpoint, None)
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    reports = query.recentProgress
+    for p in reports if progress else []:
+        progress({"batch": p["batchId"], "rows": p["numInputRows"], "rows_per_second": p.get("processedRowsPerSecond")})
+    return sum(p["numInputRows"] for p in reports)
+
+
+def run_continuously(stream: DataFrame, output: str, checkpoint: str, seconds: float):
+    """Starts a query that appends what has arrived every so many seconds; the caller stops it."""
+    return _started(stream, lambda df, number: _write(df, output, number), checkpoint, f"{seconds} seconds")
 
 
 def run_until_dirty(stream: DataFrame, output: str, checkpoint: str, dirty: str, most: int) -> int:
-    """Appends batches until `most` rows of an earlier batch meet the condition; returns how many did."""
-    seen = [0]
+    """Writes batches until `most` rows of this and earlier runs meet the condition; returns how many do.
+
+    The batch after that ends the query and stays unread: a later run with a larger number goes on with it."""
+    spark, fields = stream.sparkSession, stream.schema
+
+    def bad(number: int | None = None) -> int:
+        return written_before(spark, output, fields, number).where(dirty).count()
 
     def batch(df: DataFrame, number: int) -> None:
-        if seen[0] >= most:
-            return
-        df.write.mode("append").parquet(output)
-        seen[0] += df.where(dirty).count()
+        if bad(number) >= most:
+            raise _Stop
+        _write(df, output, number)
 
-    query = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return seen[0]
+    if (had := bad()) >= most:
+        return had
+    query = _started(stream, batch, checkpoint, None)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        if _Stop.__name__ not in str(e):
+            raise
+    return bad()

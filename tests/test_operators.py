@@ -5,8 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.functions import verdict
-from sievework.operators import buckets, calls, resume, selection, similarity
+from sievework.functions import profiles, verdict
+from sievework.operators import buckets, calls, matching, resume, selection
 from sievework.sources import readers, sinks
 from sievework.streaming import incremental
 
@@ -145,20 +145,61 @@ def test_shares_of_a_plan(spark):
 
 
 def test_token_cosine_and_filling_up(spark):
-    c = spark.createDataFrame([(1, "a b b"), (2, "z"), (3, "")], "c int, text string")
+    c = spark.createDataFrame([(1, "a b b"), (2, "z"), (3, ""), (4, None)], "c int, text string")
     b = spark.createDataFrame([(10, "a b"), (11, "b"), (12, "q")], "b int, text string")
-    pairs = similarity.token_cosine(c, b, "c", "b")
-    got = {(r.c, r.b): r.similarity for r in pairs.collect()}
-    assert got == {(1, 10): round(3 / 10**0.5, 6), (1, 11): round(2 / 5**0.5, 6)}
-    best = {(r.c, r.rank): (r.b, r.similarity) for r in similarity.top_matches(pairs, c, b, "c", "b", 2).collect()}
-    assert best[1, 1] == (10, 0.948683) and best[2, 1] == (10, 0.0) and best[3, 2] == (11, 0.0) and len(best) == 6
+    found = matching.ranked(matching.compared(c, b, "c", "b", 2), "c").collect()
+    best = {(r.c, r.rank): (r.b, r.semantic) for r in found}
+    assert best == {(1, 1): (10, 0.948683), (1, 2): (11, 0.894427), **{(k, r): (10 + r - 1, 0.0) for k in (2, 3, 4) for r in (1, 2)}}
+    assert matching.compared(c, b.limit(0), "c", "b", 2).where("size(matches) = 0 and max_similarity = 0").count() == 4
+    assert matching.compared(c.limit(0), b, "c", "b", 2).count() == 0
+
+
+@pytest.mark.parametrize("backend", ["token_overlap", "tfidf", "embedding"])
+def test_slices_of_a_benchmark_give_what_one_gives(spark, backend):
+    c = spark.range(60).selectExpr("cast(id as int) as c", "concat_ws(' ', transform(sequence(1, 1 + id % 9), i -> concat('w', (id * i * 7) % 13))) as text", "array(cos(id), sin(id)) as embedding")
+    b = spark.range(40).selectExpr("cast(id as int) as b", "concat_ws(' ', transform(sequence(1, 1 + id % 7), i -> concat('w', (id * i * 5) % 13))) as text", "array(cos(id * 3), sin(id * 3)) as embedding", "concat('s', id % 3) as source")
+    one, many = (matching.compared(c, b, "c", "b", 3, backend, source="source", slice_bytes=n).orderBy("c").collect() for n in (1 << 20, 500))
+    assert len(one) == 60 and list(map(str, one)) == list(map(str, many))
+
+
+def test_parts_of_matches_are_those_of_the_rules(spark):
+    rnd = __import__("random").Random(4)
+    some = lambda tags: sorted(rnd.sample(tags, rnd.randrange(0, 4)))
+    kinds = ["short", "medium", "long", "very_long", "unknown"], ["unknown", "binary", "number", "short_phrase", "sentence"]
+    families = ["count_eval", "subtitleqa", "longcapqa", "caption", "tracking", "other"]
+    profile = lambda: (some(["counting", "summary", "grounding", "ocr"]), some(["a", "b", "c"]), some(["x", "y", "z"]), some(["subtitle", "visual", "ocr"]), some(["local", "global", "multi_segment"]), rnd.choice(kinds[0]), rnd.choice(kinds[1]), rnd.choice(["videomme", "lvbench", "none"]), rnd.choice(families))
+    kind = "struct<skill_tags array<string>, domain_tags array<string>, reasoning_tags array<string>, modality_tags array<string>, locality_tags array<string>, duration_bucket string, answer_type string, benchmark_name string, source_family string>"
+    kind = kind.replace(" array", ": array").replace(" string", ": string")
+    c = spark.createDataFrame([(i, f"w{i % 5} w1", profile()) for i in range(30)], f"c int, text string, p {kind}")
+    b = spark.createDataFrame([(i, f"w{i % 4}", profile()) for i in range(20)], f"b int, text string, q {kind}")
+    found = {(r.c, r.b): r for r in matching.ranked(matching.compared(c, b, "c", "b", 20, profile=("p", "q")), "c").collect()}
+    pairs = c.crossJoin(b.drop("text"))
+    parts = profiles.match_parts(F.col("q"), F.col("p"))
+    for r in pairs.select("c", "b", *[x.alias(k) for k, x in parts.items()], profiles.blended(parts, {"semantic": 0.0}).alias("only")).collect():
+        got = found[r.c, r.b]
+        assert [round(got[k], 9) for k in matching.PARTS] == [round(r[k], 9) for k in matching.PARTS] and abs(got.profile_only - r.only) < 1e-8
 
 
 def test_summary_counts_sources_without_a_score(spark):
-    scores = spark.createDataFrame([(1, "s", 0.9), (1, "t", 0.3)], "c int, benchmark_source string, best double")
-    weights = spark.createDataFrame([("s", 1.0), ("t", 1.0), ("u", 2.0)], "benchmark_source string, weight double")
-    got = similarity.summarized(scores, weights, "c").first()
-    assert (got.balanced_score, got.coverage, got.best_source) == (0.3, 0.25, "s")
+    c = spark.createDataFrame([(1, "a b"), (2, None)], "c int, text string")
+    b = spark.createDataFrame([(10, "a b", "s"), (11, "a q r", "t"), (12, "z", "u")], "b int, text string, source string")
+    got = {r.c: r for r in matching.summarized(matching.compared(c, b, "c", "b", 2, source="source"), "c", {"u": 2.0}, score="semantic").collect()}
+    # 1, 1 / sqrt(6) and 0 by source, with weights 1, 1 and 2
+    assert (got[1].balanced_score, got[1].coverage, got[1].best_source) == (0.352062, 0.25, "s")
+    assert (got[1].max_similarity, got[1].mean_topk_similarity) == (1.0, 0.704124)
+    assert (got[2].balanced_score, got[2].coverage, got[2].best_source, got[2].selection_score) == (0.0, 0.0, "s", 0.0)
+
+
+def test_backends():
+    assert matching.backend_of(["id", "embedding"]) == "embedding" and matching.backend_of(["id", "text"]) == "tfidf"
+    with pytest.raises(ValueError):
+        matching.backend_of(["id"], "embedding")
+
+
+def test_nearest_rows_in_slices(spark):
+    rows = spark.range(200).selectExpr("id", "array(cos(id * id), sin(id * id)) as v")
+    one, many = (sorted(map(tuple, matching.nearest_rows(rows.repartition(k), rows.where("id % 50 = 0"), "id", "v", 4, slice_bytes=n).collect())) for k, n in ((1, 1 << 20), (3, 20)))
+    assert len(one) == 16 and set(one) <= set(many)
 
 
 # -- calls and verdicts -----------------------------------------------------------------------------------------------------------
