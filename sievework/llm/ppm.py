@@ -33,9 +33,9 @@ from .common import Texts, held_out, pieces, span_hashes, table, word_spans, wri
 ORDER = 4
 #: Bytes of text of a block at most, about, and of one where there are few.
 BLOCK, LEAST_BLOCK = 24 << 20, 1 << 20
-PIECE = 2 << 20
+PIECE = 512 << 10
 #: Grams of a task that grows a trie, about.
-SHARE = 2_000_000
+SHARE = 1_000_000
 _START, _END, _BYTES = 0xFE, 0xFF, 256  # neither is a byte of UTF-8
 _END_TOKEN = -1
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -86,12 +86,15 @@ def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _ASKED = "block int, key long, n long"
 
 
-def _asked(batches: Iterator[pa.RecordBatch], most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+def _asked(batches: Iterator[pa.RecordBatch], most: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """The different grams and words of each block with their counts in training rows; a block's may come in several parts."""
-    held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = lambda parts: sum(len(k) for k, _ in parts)
+    whole = lambda parts: _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
     def out() -> Iterator[pa.RecordBatch]:
-        for block, (keys, n) in sorted(held.items()):
+        for block, parts in sorted(held.items()):
+            keys, n = whole(parts)
             yield pa.record_batch([pa.array(np.full(len(keys), block, np.int32)), pa.array(keys), pa.array(n)], ["block", "key", "n"])
         held.clear()
 
@@ -106,11 +109,15 @@ def _asked(batches: Iterator[pa.RecordBatch], most: int = 3_000_000) -> Iterator
                 train = ~part.column("out").to_numpy(zero_copy_only=False)
                 grams = _counted(found.grams, np.repeat(train, np.diff(found.bounds)))
                 words = _counted(found.words, train[found.owner])
-                old = held.get(int(numbers[a]), (np.zeros(0, np.int64),) * 2)
                 end = (np.array([_END_TOKEN]), np.array([int(train.sum())]))
-                held[int(numbers[a])] = _merged(*(np.concatenate(x) for x in zip(old, grams, words, end, strict=True)))
-        if sum(len(k) for k, _ in held.values()) > most:
-            yield from out()
+                parts = held.setdefault(int(numbers[a]), [])
+                parts += [grams, words, end]
+                if size(parts) > max(most // 3, 2 * len(parts[0][0])):  # merged when they have doubled, so that each key is sorted a few times
+                    parts[:] = [whole(parts)]
+        if sum(map(size, held.values())) > most:
+            held = {block: [whole(parts)] for block, parts in held.items()}
+            if sum(map(size, held.values())) > most:
+                yield from out()
     yield from out()
 
 
