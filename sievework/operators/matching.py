@@ -122,12 +122,15 @@ class Vectors:
 
     def __init__(self, vectors: list[list[float]]) -> None:
         self.n = len(vectors)
-        self.matrix = np.array(vectors, float).reshape(self.n, -1)
+        self.matrix = np.array(vectors, float).reshape(self.n, -1) if vectors else np.zeros((0, 0))
 
     def scores(self, column: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray]]:
         step = max(1, CELLS // max(1, self.n))
         for a in range(0, len(column), step):
             part = column.slice(a, step)
+            if not self.n:
+                yield a, a + len(part), np.zeros((len(part), 0))
+                continue
             own = np.array([x if x is not None else [0.0] * self.matrix.shape[1] for x in part.to_pylist()], float)
             yield a, a + len(part), own @ self.matrix.T
 
@@ -324,13 +327,15 @@ def nearest_rows(rows: DataFrame, queries: DataFrame, key: str, vector: str, n:
     slices = max(1, -(-size // slice_bytes))
     found: DataFrame | None = None
     for k in range(slices):
-        held = queries.where(F.pmod(F.xxhash64(key), F.lit(slices)) == k).select(key, vector).collect()
+        held = queries.where(F.pmod(F.xxhash64(key), F.lit(slices)) == k).where(F.col(vector).isNotNull()).select(key, vector).collect()
+        if not held:
+            continue
         ids, matrix = np.array([r[0] for r in held], np.int64), np.array([r[1] for r in held], float).reshape(len(held), -1)
 
         def run(batches: Iterator[pa.RecordBatch], ids=ids, matrix=matrix) -> Iterator[pa.RecordBatch]:
             score, best = np.full((len(ids), 0), 0.0), np.zeros((len(ids), 0), np.int64)
             for batch in batches:
-                for a in range(0, batch.num_rows if len(ids) else 0, max(1, CELLS // len(ids))):
+                for a in range(0, batch.num_rows, max(1, CELLS // len(ids))):
                     part = batch.slice(a, max(1, CELLS // len(ids)))
                     own = part.column(0).to_numpy(zero_copy_only=False)
                     vectors = np.stack(part.column(1).to_numpy(zero_copy_only=False)).astype(float)
@@ -343,5 +348,7 @@ def nearest_rows(rows: DataFrame, queries: DataFrame, key: str, vector: str, n:
 
         part = rows.where(F.col(vector).isNotNull()).select(F.col(key).cast("long"), vector).mapInArrow(run, "query_id long, id long, score double")
         found = part if found is None else found.union(part)
+    if found is None:
+        found = rows.sparkSession.createDataFrame([], "query_id long, id long, score double")
     return found.withColumnRenamed("id", key)
 

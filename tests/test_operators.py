@@ -200,6 +200,9 @@ def test_nearest_rows_in_slices(spark):
     rows = spark.range(200).selectExpr("id", "array(cos(id * id), sin(id * id)) as v")
     one, many = (sorted(map(tuple, matching.nearest_rows(rows.repartition(k), rows.where("id % 50 = 0"), "id", "v", 4, slice_bytes=n).collect())) for k, n in ((1, 1 << 20), (3, 20)))
     assert len(one) == 16 and set(one) <= set(many)
+    assert matching.nearest_rows(rows, rows.limit(0), "id", "v", 4).count() == 0
+    c = rows.selectExpr("id as c", "v as embedding")
+    assert matching.compared(c, c.limit(0).withColumnRenamed("c", "b"), "c", "b", 2, "embedding").where("size(matches) = 0").count() == 200
 
 
 # -- calls and verdicts -----------------------------------------------------------------------------------------------------------
