@@ -188,3 +188,13 @@ def sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of values[bounds[i]:bounds[i + 1]]."""
     total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
     return total[bounds[1:]] - total[bounds[:-1]]
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a string of `text`, byte by byte in DuckDB, with the table of CTE crc_table."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
+
+
+CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, [0::BIGINT for x in range(8)]),
+ lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""

@@ -23,7 +23,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import packed, table, written
+from .common import CRC_TABLE, crc_sql, packed, table, written
 from .numbering import numbered
 
 SHARDS, REGIONS, RACKS = 40, 4, 2
@@ -124,16 +124,6 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-def _crc_sql(text: str) -> str:
-    """CRC-32 of a string of `text`, byte by byte with the table of CTE `crc_table`."""
-    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c >> 8, crc_table.t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
-
-
-CRC_TABLE = """crc_table AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, [0::BIGINT for x in range(8)]),
- lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
-
-
 def _tree_sql(name: str, tree: Tree) -> str:
     """A CTE of doc_id's key and the shard that it comes down to."""
     levels, value = _levels(tree), lambda parent, c: f"({parent}, '{c[0]}', {c[1]!r}::DOUBLE, {c[2]})"
@@ -148,7 +138,7 @@ def _tree_sql(name: str, tree: Tree) -> str:
 
 SHARDING = f"""WITH {CRC_TABLE}, d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, coalesce(text, '') AS text FROM documents), keys AS (SELECT DISTINCT key FROM d),
 {_tree_sql('old', grid(SHARDS))}, {_tree_sql('new', grid(SHARDS + 1))},
-c AS (SELECT doc_id, d.key, octet_length(encode(text)) + {EXTRA} AS size, {_crc_sql('text')} AS text_crc32 FROM d, crc_table),
+c AS (SELECT doc_id, d.key, octet_length(encode(text)) + {EXTRA} AS size, {crc_sql('text')} AS text_crc32 FROM d, crc_table),
 p AS (SELECT c.*, ('0x' || substr(md5(key || ':' || text_crc32), 1, 8))::BIGINT AS spot FROM c)
 SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, old2.place::INT AS shard, row_number() OVER (PARTITION BY old2.place ORDER BY spot, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, new2.place::INT AS grown_shard
 FROM p JOIN old2 USING (key) JOIN new2 USING (key)"""
