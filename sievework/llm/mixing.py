@@ -34,19 +34,16 @@ _STEP = 2654435761  # a prime
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST_TIMES) -> list[float]:
     """Parts of share * sum(sizes) by weight; none is above most * size, and what is cut off goes to the others by weight."""
-    left, out, rest = share * sum(sizes), [0.0] * len(sizes), list(range(len(sizes)))
-    while rest:
-        whole = sum(weights[i] for i in rest)
-        part = {i: left * weights[i] / whole for i in rest}
-        above = [i for i in rest if part[i] > most * sizes[i]]
-        if not above:
-            for i in rest:
-                out[i] = part[i]
+    left, whole, out = share * sum(sizes), sum(weights), [0.0] * len(sizes)
+    # those whose bound is the smallest for their weight reach it first
+    order = sorted(range(len(sizes)), key=lambda i: most * sizes[i] / weights[i])
+    for k, i in enumerate(order):
+        if left * weights[i] <= most * sizes[i] * whole:
+            for j in order[k:]:
+                out[j] = left * weights[j] / whole
             break
-        for i in above:
-            out[i] = float(most * sizes[i])
-        left -= sum(out[i] for i in above)
-        rest = [i for i in rest if i not in set(above)]
+        out[i] = float(most * sizes[i])
+        left, whole = left - out[i], whole - weights[i]
     return out
 
 

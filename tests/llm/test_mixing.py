@@ -1,4 +1,5 @@
 import random
+import time
 from fractions import Fraction
 
 import numpy as np
@@ -142,3 +143,14 @@ def test_columns_of_any_name(spark):
     kept = mixing.mixed(d)
     assert kept.columns == ["doc_id", "text", "shard", "source", "size", "source_size", "target", "taken"]
     assert kept.count() > 0
+
+
+def test_targets_of_a_million_sources_take_seconds():
+    rnd, began = random.Random(1), time.monotonic()
+    sizes = [int(10 ** rnd.uniform(0, 5)) for _ in range(1_000_000)]
+    weights = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))]
+    got = mixing.targets(sizes, weights)
+    assert time.monotonic() - began < 20
+    assert abs(sum(got) / (1.5 * sum(sizes)) - 1) < 1e-9 and all(g <= 2 * s + 1e-6 for g, s in zip(got, sizes, strict=True))
+    free = [g / w for g, w, s in zip(got, weights, sizes, strict=True) if g < 2 * s]
+    assert max(free) - min(free) < 1e-6 * max(free)
