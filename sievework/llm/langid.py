@@ -3,7 +3,8 @@
 Bytes are embedded; filters of several widths slide over a window of fixed length, each keeps its largest response, and a softmax
 over these gives the probabilities of the languages. A text is cut into windows whole, the last one padded, and its probabilities
 are the mean over its windows, weighted by their bytes. The network is trained in numpy on the driver, on windows of a bounded
-sample of labelled rows: at most `per_language` rows of a language and `rows` in all, `windows` windows of each. Prediction folds
+sample of labelled rows, by a hash of id and text: about `per_language` rows of a language or `rows` in all, `windows` windows of each; equal windows
+of a language count once, and never more than twice as many windows as that are taken. Prediction folds
 embedding and filters into one table per filter width and pair of bytes, so a response is a sum of table rows.
 
 Edge cases: a null text, or one without a letter, is `und` with score 0; so is any text if there is nothing to learn from. Rows
@@ -146,29 +147,36 @@ def with_letter(texts: Texts) -> np.ndarray:
     return found
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in pieces(batches, "text", 4 << 20):
-        languages, owned, cut = batch.column("lang").to_pylist(), [], []
-        good = with_letter(texts)
-        for i in np.nonzero(good)[0].tolist():
-            text = texts[i]
-            whole = -(-len(text) // WINDOW)
-            for k in sorted({int(x) for x in np.linspace(0, whole - 1, min(WINDOWS, whole))}):
-                owned.append(languages[i])
-                cut.append(text[k * WINDOW : (k + 1) * WINDOW])
-        yield pa.record_batch([pa.array(owned, pa.string()), pa.array(cut, pa.binary())], ["lang", "window"])
+def _windows(most: int):
+    """Up to `most` windows of each text with a letter, evenly spread over it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in pieces(batches, "text", 4 << 20):
+            languages, owned, cut = batch.column("lang").to_pylist(), [], []
+            for i in np.nonzero(with_letter(texts))[0].tolist():
+                text = texts[i]
+                whole = -(-len(text) // WINDOW)
+                for k in sorted({int(x) for x in np.linspace(0, whole - 1, min(most, whole))}):
+                    owned.append(languages[i])
+                    cut.append(text[k * WINDOW : (k + 1) * WINDOW])
+            yield pa.record_batch([pa.array(owned, pa.string()), pa.array(cut, pa.binary())], ["lang", "window"])
+
+    return run
 
 
-def trained(docs: DataFrame, rows: int = ROWS, per_language: int = PER_LANGUAGE) -> Network | None:
+def trained(docs: DataFrame, rows: int = ROWS, per_language: int = PER_LANGUAGE, windows: int = WINDOWS) -> Network | None:
     """A network that has learned from a bounded sample of the rows of docs (text, lang, doc_id) that have a language."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().toLocalIterator()}
+    # copies count once, so that a language of few texts, often repeated, keeps them
+    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("doc_id", "text"), 0.02).alias("n")).toLocalIterator()}
     if not counts:
         return None
     most = max(1, min(per_language, rows // len(counts)))
     share = docs.sparkSession.createDataFrame([(k, int(min(1.0, most / n) * (1 << 30))) for k, n in sorted(counts.items())], "lang string, share long")
-    sample = docs.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 30)) < F.col("share"))
-    got = sorted((r["lang"], bytes(r["window"])) for r in sample.select("lang", "text").mapInArrow(_windows, "lang string, window binary").toLocalIterator())
+    sample = docs.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", "text", F.lit("lang")), F.lit(1 << 30)) < F.col("share"))
+    cut = sample.select("lang", "text").mapInArrow(_windows(windows), "lang string, window binary").distinct()
+    cut = cut.orderBy(F.xxhash64("window", "lang"), "window", "lang").limit(2 * rows * windows)
+    got = sorted((r["lang"], bytes(r["window"])) for r in cut.collect())
     if not got:
         return None
     network = Network(sorted({k for k, _ in got}))

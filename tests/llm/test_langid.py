@@ -2,6 +2,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from sievework.llm import langid
 from sievework.llm.common import Texts
@@ -89,3 +90,15 @@ def test_least_score_nulls_names_and_a_long_text(spark, tmp_path):
     assert langid.accepted(df, network).count() == sure
     folder = saved(spark, tmp_path, documents=docs(spark, rows).limit(0))
     assert langid.op1_language_id(spark, folder).count() == 0
+
+
+def test_rows_of_one_id_do_not_exceed_the_bound(spark):
+    many = spark.range(20_000).select(F.lit(135).cast("long").alias("doc_id"), F.concat(F.lit("wort "), F.col("id")).alias("text"), F.lit("de").alias("lang"))
+    same = spark.range(20_000).select(F.lit(136).cast("long").alias("doc_id"), F.lit("the same words").alias("text"), F.lit("en").alias("lang"))
+    seen = []
+    train, langid.Network.train = langid.Network.train, lambda self, windows, labels, **_: seen.append(labels)
+    try:
+        langid.trained(many.union(same), rows=100, windows=2)
+    finally:
+        langid.Network.train = train
+    assert 20 <= len(seen[0]) <= 400 and set(seen[0].tolist()) == {0, 1}
