@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from sievework.llm import classifier
 from sievework.llm.common import Texts
@@ -64,3 +65,15 @@ def test_partitions_do_not_change_the_model_nor_a_long_text_break_it(spark):
     for df, own in ((d, labels), (d.repartition(5, "text"), labels.repartition(3))):
         found.append(sorted(map(tuple, classifier.graded(df, classifier.fitted(df, own, rows=50)).collect()), key=str))
     assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_rows_of_one_id_do_not_exceed_the_bound(spark):
+    table = spark.range(5_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("word"), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = []
+    fit, classifier.Ordinal.fit = classifier.Ordinal.fit, lambda self, f, grades, **_: seen.append(len(grades))
+    try:
+        classifier.fitted(table, labels, rows=50)
+    finally:
+        classifier.Ordinal.fit = fit
+    assert seen == [50]
