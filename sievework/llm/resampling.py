@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CRC_TABLE, Texts, crc_sql, joined, pieces, sums, table, written
+from .common import CRC_TABLE, Texts, crc_sql, joined, pieces, sums, table, words_of, written
 from .numbering import numbered
 
 #: Words of the longest feature, buckets, words that a drawn document has at least, documents drawn of 100, seed.
@@ -51,10 +51,7 @@ class Grams:
         inside = np.concatenate(([False], buf != 32, [False])).view(np.int8)
         starts, ends = np.nonzero(np.diff(inside) == 1)[0], np.nonzero(np.diff(inside) == -1)[0]
         self.first = np.searchsorted(starts, begins)
-        offsets = np.concatenate(([0], np.cumsum(ends - starts)))
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(buf[buf != 32])])
-        coded = words.dictionary_encode()
-        self.ids, self.words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        self.ids, self.words = words_of(buf, starts, ends)
         self.left = np.repeat(self.first[1:], np.diff(self.first)) - np.arange(len(self.ids))  # words up to the end of the text
         self.array = self._suffixes(longest)
         self.lcp = self._lcp(longest)

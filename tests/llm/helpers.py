@@ -22,3 +22,9 @@ HARD = [
     (7, "The QUICK brown fox jumps over the lazy dog again and again " * 3), (8, "the quick brown fox jumps over the lazy dog again and again " * 3),
     (9, "é à ü ñ straße élan garçon " * 400), (None, "no id here but words"), (10, "x" * 5000), (11, "a b c d e f g h i j k l m n o p"),
 ]
+
+
+def thue_morse(n: int = 1024) -> list[str]:
+    """Two different words that polynomial hashes modulo 2^64 cannot tell apart."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]

@@ -7,7 +7,7 @@ import pytest
 
 from sievework.llm import ppm
 
-from .helpers import HARD, docs, saved
+from .helpers import HARD, docs, saved, thue_morse
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -77,3 +77,22 @@ def test_nothing_trained_and_empty(spark):
     found = {r.doc_id: r for r in ppm.scores(rows, F.lit(True)).collect()}
     assert found[1].n_known == 0 and found[1].base_score == 0 and found[1].score == pytest.approx(-3 * math.log10(256))
     assert ppm.scores(rows.limit(0), F.lit(False)).count() == 0
+
+
+def test_words_that_polynomials_confuse_and_a_long_text(spark, tmp_path):
+    x, y = thue_morse()
+    rows = [(1, f"{x} a {x}"), (2, f"{y} b"), (3, "c d " * 40_000), (9, y), *[(4, "same row") for _ in range(20)]]
+    found = {r.doc_id: r for r in ppm.op3_ppm_score(spark, saved(spark, tmp_path, documents=docs(spark, rows))).collect()}
+    expected = {e[0]: e for e in brute([(d, t if d != 3 else None) for d, t in rows])}
+    out = {d: crc32(str(d).encode()) % 5 == 1 for d, _ in rows}
+    tokens = Counter()
+    for d, t in rows:
+        if not out[d]:
+            tokens.update([*t.lower().split(), None])
+    for d, t in rows:
+        own = [*t.lower().split(), None]
+        n, v = sum(tokens.values()), len(tokens)
+        base = sum(k * math.log10((tokens[w] + 0.5) / (n + 0.5 * (v + 1))) for w, k in Counter(own).items())
+        r = found[d]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(tokens[w] > 0 for w in own), n) and math.isclose(r.base_score, base, rel_tol=1e-9)
+    assert len(expected) == len(found)
