@@ -34,7 +34,9 @@ from .common import pieces, table, written
 #: Documents of a language that must hold a term; ranks of terms that are returned.
 LEAST, RANKS = 3, 200
 #: Groups of a block, terms of a chunk, chunks of a span; terms that a task counts before it writes them.
-BLOCK, CHUNK, SPAN, HELD = 32, 4096, 16, 1 << 18
+BLOCK, CHUNK, SPAN, HELD = 32, 4096, 16, 1 << 19
+#: Languages that are broadcast at most, with two numbers each.
+FEW = 100_000
 
 #: Letters, with A-Z in lower case, and all bytes above ASCII stay; the rest separates.
 _LETTERS = bytes(b if 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -48,22 +50,24 @@ def counted(docs: DataFrame, held: int = HELD) -> DataFrame:
     """(lang, source, term, n, df) of documents; a row with an empty term stands for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        groups: dict[tuple[str, str], dict[bytes, int]] = {}  # of each term the occurrences, times 2^32, and the documents
         size = 0
 
         def out() -> pa.RecordBatch:
-            rows = [(*g, t.decode(), n, d[t]) for g, (c, d) in groups.items() for t, n in [(b"", 0), *c.items()]]
-            kinds = [pa.string()] * 3 + [pa.int64()] * 2
-            return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], ["lang", "source", "term", "n", "df"])
+            names = [x for g, c in groups.items() for x in [g] * (len(c) + 1)]
+            keys = [t.decode() for c in groups.values() for t in (b"", *c)]
+            both = np.array([x for c in groups.values() for x in (0, *c.values())], np.int64)
+            columns = [pa.array([x for x, _ in names], pa.string()), pa.array([x for _, x in names], pa.string()), pa.array(keys, pa.string()), pa.array(both >> 32), pa.array(both & 0xFFFFFFFF)]
+            return pa.record_batch(columns, ["lang", "source", "term", "n", "df"])
 
         for batch, texts in pieces(batches, "text", 1 << 20):
             for i, group in enumerate(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)):
-                own = Counter(terms(texts[i]))
-                number, documents = groups.setdefault(group, (Counter(), Counter()))
-                size -= len(number)
-                number.update(own)
-                documents.update(own.keys())
-                size += len(number)
+                found = groups.setdefault(group, {})
+                size -= len(found)
+                known = found.get
+                for term, n in Counter(terms(texts[i])).items():
+                    found[term] = known(term, 0) + (n << 32) + 1
+                size += len(found)
                 if size > held:
                     yield out()
                     groups, size = {}, 0
@@ -163,7 +167,9 @@ def audited(docs: DataFrame, least: int = LEAST, ranks: int = RANKS, block: int
     found = counts.where("term <> ''")
     kept = found.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("n_lang")).where(F.col("df") >= least)
     kept = written(kept, "kept")
-    vocabulary = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("all_lang"))
+    vocabulary = written(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("all_lang")), "vocabulary")
+    if vocabulary.count() <= FEW:  # else a join would deal all terms of a language to one task
+        vocabulary = F.broadcast(vocabulary)
     chunked = kept.join(vocabulary, "lang").withColumn("chunk", F.expr(f"pmod(xxhash64(term), (v + {chunk - 1}L) div {chunk}L)"))
     at = F.row_number().over(W.partitionBy("lang", "chunk").orderBy("term")) - 1
     own = found.select("lang", "source", "term", "n").join(chunked.withColumn("at", at).select("lang", "term", "n_lang", "chunk", "at"), ["lang", "term"])
