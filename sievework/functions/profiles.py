@@ -1,4 +1,5 @@
-"""Profiles of examples: what a record is about, for which skill, how long and in which form; and how well two profiles match.
+"""Profiles of examples: what a record is about, for which skill, how long and in which form. How well two profiles match is worked out in
+operators/scoring.py, where candidates meet the benchmark.
 
 All are Columns. A record is given as columns of question, answer, context and source name, and a dict of metadata columns."""
 
@@ -265,80 +266,3 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
     }
     fields = {k: x for k, x in (parts | (overrides or {})).items() if not only or k in only}
     return df.withColumn(name, F.struct(*[x.alias(k) for k, x in fields.items()])).select(*[f"`{x}`" for x in own if x != name], name)
-
-
-# -- matches ----------------------------------------------------------------------------------------------------------------------
-
-
-def clamped(x: Column) -> Column:
-    return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
-
-
-def overlap(a: Column, b: Column) -> Column:
-    """Twice the common tags by all tags; 0 where either has none."""
-    common = F.size(F.array_intersect(a, b))
-    return F.when(common == 0, F.lit(0.0)).otherwise(2.0 * common / (F.size(a) + F.size(b)))
-
-
-def modality_score(benchmark: Column, candidate: Column) -> Column:
-    return F.when(F.size(benchmark) == 0, F.lit(0.5)).otherwise(F.size(F.array_intersect(benchmark, candidate)) / F.greatest(F.size(benchmark), F.lit(1)))
-
-
-def locality_score(benchmark: Column, candidate: Column) -> Column:
-    has = F.array_contains
-    broad = has(benchmark, "global") & (has(candidate, "global") | has(candidate, "multi_segment"))
-    return F.when(F.size(benchmark) == 0, F.lit(0.5)).when(broad | has(benchmark, "local") & has(candidate, "local"), F.lit(1.0)).otherwise(overlap(benchmark, candidate))
-
-
-def duration_score(benchmark: Column, candidate: Column) -> Column:
-    order = lambda c: F.when(c == "short", 0).when(c == "medium", 1).when(c == "long", 2).when(c == "very_long", 3)
-    gap = F.abs(order(benchmark) - order(candidate))
-    return (
-        F.when((benchmark == UNKNOWN) | (candidate == UNKNOWN), F.lit(0.5))
-        .when(benchmark == candidate, F.lit(1.0))
-        .when(gap == 1, F.lit(0.65))
-        .when(gap == 2, F.lit(0.25))
-        .otherwise(F.lit(0.0))
-    )
-
-
-def answer_type_score(benchmark: Column, candidate: Column) -> Column:
-    phrases = ("short_phrase", "sentence")
-    return (
-        F.when((benchmark == UNKNOWN) | (candidate == UNKNOWN), F.lit(0.5))
-        .when(benchmark == candidate, F.lit(1.0))
-        .when(benchmark.isin(*phrases) & candidate.isin(*phrases), F.lit(0.75))
-        .otherwise(F.lit(0.0))
-    )
-
-
-def source_prior(b: Column, family: Column) -> Column:
-    """b: a benchmark's profile struct."""
-    base = F.lit(T.OTHER_PRIOR)
-    for name, priors in T.PRIORS.items():
-        for candidate, prior in priors.items():
-            base = F.when((b["benchmark_name"] == name) & (family == candidate), F.lit(prior)).otherwise(base)
-    for field_, tag, families, more in BOOSTS:
-        base = base + F.when(F.array_contains(b[field_], tag) & family.isin(*families), F.lit(more)).otherwise(F.lit(0.0))
-    return clamped(base)
-
-
-def match_parts(b: Column, c: Column) -> dict[str, Column]:
-    """The parts of the match of a benchmark's and a candidate's profile."""
-    return {
-        "skill": overlap(b["skill_tags"], c["skill_tags"]),
-        "domain": overlap(b["domain_tags"], c["domain_tags"]),
-        "reasoning": overlap(b["reasoning_tags"], c["reasoning_tags"]),
-        "modality": modality_score(b["modality_tags"], c["modality_tags"]),
-        "locality": locality_score(b["locality_tags"], c["locality_tags"]),
-        "duration": duration_score(b["duration_bucket"], c["duration_bucket"]),
-        "answer_type": answer_type_score(b["answer_type"], c["answer_type"]),
-        "source_prior": source_prior(b, c["source_family"]),
-    }
-
-
-def blended(parts: dict[str, Column], weights: dict[str, float] | None = None) -> Column:
-    """Weighted mean of the parts with a positive weight; given weights change the usual ones one by one."""
-    used = {k: w for k, w in (T.WEIGHTS | (weights or {})).items() if w > 0 and k in parts}
-    total = sum(used.values())
-    return clamped(sum((w * clamped(parts[k]) for k, w in used.items()), F.lit(0.0)) / total) if total else F.lit(0.0)

@@ -1,11 +1,17 @@
 """Comparison of candidates with all benchmark examples: the nearest ones of each candidate and its best score by benchmark source.
 
-Candidates stay where they are read: there is no shuffle and no pair of rows. The benchmark goes to the tasks in slices of a checked
-size, as an index of terms or as a matrix of vectors; a task scores a batch of candidates against all examples of the slice as arrays and
-keeps the `n` best of each candidate. With several slices, the few that each has kept are merged by candidate, whose key must be unique then.
+Candidates stay where they are read: there is no shuffle and no pair of rows. The benchmark is an inverted index of terms with the
+largest weight of each, or a matrix of vectors, and goes to the tasks in slices of a checked size. A task scores a candidate's heaviest
+terms by postings; what the others can add is bounded by their largest weights and by their length, and only items that can still be
+among the `n` best, or the best of their source, are scored in full (`scored` says how many). Where profiles are blended in, the bounds hold for the
+blend, and parts of the match are worked out once for each different profile.
+
+With several slices, candidates are written once, as numbered rows of terms, and each slice makes a pass over them whose few matches are
+written before the next slice is made; matches are merged by row number, so candidates may have equal or null keys. Terms are weighed by their
+frequencies in all slices, and the candidates' norms come from passes over parts of the vocabulary.
 
 A candidate with a null or empty text has similarity 0 to all examples, so that its best are the first by key; an empty benchmark
-leaves no matches. Scores are rounded before they are ranked, and ties go to the smaller key."""
+leaves no matches. Scores are rounded before they are ranked, and ties go to the smaller key; keys of examples should be unique."""
 
 from __future__ import annotations
 
@@ -15,24 +21,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as K
 
-from ..functions import profiles as P
 from ..functions import tables as T
 from ..functions.text import tokens
+from ..sources.scratch import release, written
+from .scoring import PARTS, Postings, Profiles, Slice, Terms, Vectors, coded, rounded
 
-#: Bytes of text or vectors of benchmark examples that tasks get at once; cells of a table of scores that a task holds.
-SLICE, CELLS = 8 << 20, 1 << 20
-PARTS = ("skill", "domain", "reasoning", "modality", "locality", "duration", "answer_type", "source_prior")
-_TAGS = ("skill_tags", "domain_tags", "reasoning_tags", "modality_tags", "locality_tags")
+#: Bytes of an index or matrix that tasks get at once, about; grams of a part of the vocabulary; cells of a table of scores that a task holds.
+SLICE, GRAMS, CELLS = 64 << 20, 2_000_000, 1 << 20
+#: Bytes of a term of an item in an index, its strings included.
+_TERM = 40
 BACKENDS = ("token_overlap", "tfidf", "embedding")
 
 
-def rounded(x: np.ndarray, digits: int) -> np.ndarray:
-    """Half away from zero, as SQL rounds."""
-    return np.sign(x) * np.floor(np.abs(x) * 10.0**digits + 0.5) / 10.0**digits
-
-
 def backend_of(columns: list[str], wanted: str = "auto", vector: str = "embedding") -> str:
     """The backend that can run: vectors where there are some, else TF-IDF; a backend may be asked for by name."""
     if wanted == "auto":
@@ -44,251 +48,136 @@ def backend_of(columns: list[str], wanted: str = "auto", vector: str = "embeddin
     return wanted
 
 
-class Terms:
-    """Words of the examples, and pairs of neighbours with `idf`, with the examples that hold them."""
+def _grams(rows: DataFrame) -> DataFrame:
+    """(gram) of each different word and pair of neighbouring words of each row of column value; a pair is two words."""
+    two = F.expr("transform(sequence(0, size(value) - 2), i -> array(value[i], value[i + 1]))")
+    every = F.concat(F.transform("value", lambda w: F.array(w)), F.when(F.size("value") > 1, two).otherwise(F.array().cast("array<array<string>>")))
+    return rows.select(F.explode(F.array_distinct(every)).alias("gram"))
 
-    def __init__(self, texts: list[list[str]], frequencies: tuple[dict, int] | None, weighed: bool) -> None:
-        """frequencies: in how many examples of all slices a term is, and their number; only where terms are weighed."""
-        self.n, self.weighed = len(texts), weighed
-        self.words = sorted({w for t in texts for w in t} | ({w for k in frequencies[0] for w in k} if frequencies else set()))
-        self.vocabulary, number = pa.array(self.words, pa.string()), {w: i for i, w in enumerate(self.words)}
-        codes = [np.array([number[w] for w in t], np.int64) for t in texts]
-        pair = [x[:-1] * len(self.words) + x[1:] for x in codes]
-        known = [number[k[0]] * len(self.words) + number[k[1]] for k in frequencies[0] if len(k) == 2] if frequencies else []
-        self.pairs = np.unique(np.concatenate([*pair, np.array(known, np.int64)])) if weighed else np.zeros(0, np.int64)
-        size = len(self.words) + len(self.pairs)
-        if weighed:
-            codes = [np.concatenate((x, len(self.words) + np.searchsorted(self.pairs, p))) for x, p in zip(codes, pair, strict=True)]
-        held = [np.unique(x, return_counts=True) for x in codes]
-        term = np.concatenate([np.zeros(0, np.int64), *(k for k, _ in held)])
-        item = np.repeat(np.arange(self.n), [len(k) for k, _ in held])
-        weight = np.concatenate([np.zeros(0), *(c.astype(float) for _, c in held)])
-        self.idf = np.ones(size)
-        if weighed:
-            found, total = np.bincount(term, minlength=size), self.n
-            if frequencies:
-                total = frequencies[1]
-                for k, df in frequencies[0].items():
-                    at = number[k[0]] if len(k) == 1 else len(self.words) + int(np.searchsorted(self.pairs, number[k[0]] * len(self.words) + number[k[1]]))
-                    found[at] = df
-            self.idf = np.log((1 + total) / (1 + found)) + 1
-            weight *= self.idf[term]
-        order = np.argsort(term, kind="stable")
-        self.item, self.weight = item[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(size + 1))
-        self.norm = np.sqrt(np.bincount(item, weight**2, minlength=self.n))
-
-    def counted(self, words: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Row, term and weight of each different known term, and the norm of each row."""
-        flat, lengths = words.flatten(), pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False)
-        rows, n = np.repeat(np.arange(len(words)), lengths), len(words)
-        codes = pc.index_in(flat, self.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-        if self.weighed:
-            near = (codes[:-1] >= 0) & (codes[1:] >= 0) & (rows[:-1] == rows[1:])
-            pair = codes[:-1][near] * len(self.words) + codes[1:][near]
-            at = np.minimum(np.searchsorted(self.pairs, pair), max(0, len(self.pairs) - 1))
-            known = self.pairs[at] == pair if len(self.pairs) else np.zeros(len(pair), bool)
-            codes, rows = np.concatenate((codes, len(self.words) + at[known])), np.concatenate((rows, rows[:-1][near][known]))
-        size = max(1, len(self.first) - 1)
-        key, tf = np.unique(rows[codes >= 0] * size + codes[codes >= 0], return_counts=True)
-        row, term = key // size, key % size
-        weight = tf * self.idf[term]
-        if self.weighed:
-            return row, term, weight, np.sqrt(np.bincount(row, weight**2, minlength=n))
-        every = pc.dictionary_encode(flat).indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        kinds = int(every.max()) + 1 if len(every) else 1
-        each, tf = np.unique(rows * kinds + every, return_counts=True)
-        return row, term, weight, np.sqrt(np.bincount(each // kinds, tf.astype(float) ** 2, minlength=n))
-
-    def scores(self, words: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """Stretches of rows with their table of cosines."""
-        row, term, weight, norm = self.counted(words)
-        many = np.diff(self.first)[term]
-        work = np.concatenate(([0], np.cumsum(np.bincount(row, many, minlength=len(words)) + self.n)))
-        a = 0
-        while a < len(words):
-            b = max(a + 1, int(np.searchsorted(work, work[a] + 4 * CELLS, "right")) - 1)
-            low, high = np.searchsorted(row, [a, b])
-            r, t, x, m = row[low:high] - a, term[low:high], weight[low:high], many[low:high]
-            at = np.repeat(self.first[t] - np.cumsum(m) + m, m) + np.arange(m.sum())
-            dot = np.bincount(np.repeat(r, m) * self.n + self.item[at], np.repeat(x, m) * self.weight[at], minlength=(b - a) * self.n).reshape(b - a, self.n)
-            length = norm[a:b, None] * self.norm
-            yield a, b, np.where(dot > 0, dot / np.where(length > 0, length, 1.0), 0.0)
-            a = b
-
-
-class Vectors:
-    """Vectors of the examples, of length 1."""
-
-    def __init__(self, vectors: list[list[float]]) -> None:
-        self.n = len(vectors)
-        self.matrix = np.array(vectors, float).reshape(self.n, -1) if vectors else np.zeros((0, 0))
-
-    def scores(self, column: pa.ListArray) -> Iterator[tuple[int, int, np.ndarray]]:
-        step = max(1, CELLS // max(1, self.n))
-        for a in range(0, len(column), step):
-            part = column.slice(a, step)
-            if not self.n:
-                yield a, a + len(part), np.zeros((len(part), 0))
-                continue
-            own = np.array([x if x is not None else [0.0] * self.matrix.shape[1] for x in part.to_pylist()], float)
-            yield a, a + len(part), own @ self.matrix.T
-
-
-class Profiles:
-    """Profiles of the examples as arrays; the rules are those of functions.profiles.match_parts."""
-
-    def __init__(self, profiles: list[dict]) -> None:
-        self.tags = {k: sorted({t for p in profiles for t in p[k] or []}) for k in _TAGS}
-        self.held = {k: np.array([[t in (p[k] or []) for t in self.tags[k]] for p in profiles], float).reshape(len(profiles), -1) for k in _TAGS}
-        self.size = {k: np.array([len(p[k] or []) for p in profiles], float) for k in _TAGS}
-        self.duration, self.answer, self.name = (np.array([p[k] or "" for p in profiles], object) for k in ("duration_bucket", "answer_type", "benchmark_name"))
-
-    @staticmethod
-    def _has(lists: pa.ListArray, tags: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Rows by tags, and the number of tags of each row."""
-        n = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-        out = np.zeros((len(lists), len(tags)))
-        at = pc.index_in(lists.flatten(), pa.array(tags, pa.string())).fill_null(-1).to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(lists)), n)
-        out[rows[at >= 0], at[at >= 0]] = 1
-        return out, n.astype(float)
-
-    def _table(self, own: np.ndarray, other: np.ndarray, rule) -> np.ndarray:
-        """rule(benchmark's value, candidate's value) for all pairs, worked out once for each different pair."""
-        a, i = np.unique(own.astype(str), return_inverse=True)
-        b, j = np.unique(other.astype(str), return_inverse=True)
-        return np.array([[rule(y, x) for y in b] for x in a], float).reshape(len(a), len(b))[i][:, j]
-
-    def parts(self, p: pa.StructArray) -> dict[str, np.ndarray]:
-        common, total, has = {}, {}, {}
-        for k in _TAGS:
-            found, n = self._has(p.field(k), self.tags[k])
-            common[k], total[k] = found @ self.held[k].T, n[:, None] + self.size[k]
-        for tag in ("local", "global", "multi_segment"):
-            has[tag] = self._has(p.field("locality_tags"), [tag])[0] > 0
-        bench = lambda k, tag: (self.held[k][:, self.tags[k].index(tag)] > 0) if tag in self.tags[k] else np.zeros(len(self.name), bool)
-        overlap = {k: np.where(common[k] == 0, 0.0, 2.0 * common[k] / np.maximum(total[k], 1)) for k in _TAGS}
-        none = lambda k: self.size[k][None, :] == 0
-        place = bench("locality_tags", "global") & (has["global"] | has["multi_segment"]) | bench("locality_tags", "local") & has["local"]
-        text = lambda k: np.array([x or "" for x in p.field(k).to_pylist()], object)
-        family = text("source_family")
-        prior = self._table(family, self.name, lambda b, c: T.PRIORS.get(b, {}).get(c, T.OTHER_PRIOR))
-        for field, tag, families, more in P.BOOSTS:
-            prior = prior + more * (np.isin(family, families)[:, None] & bench(field, tag))
-        order, phrases = ("short", "medium", "long", "very_long"), ("short_phrase", "sentence")
-
-        def duration(b: str, c: str) -> float:
-            if P.UNKNOWN in (b, c):
-                return 0.5
-            gap = abs(order.index(b) - order.index(c)) if b in order and c in order else 9
-            return 1.0 if b == c else {1: 0.65, 2: 0.25}.get(gap, 0.0)
-
-        def answer(b: str, c: str) -> float:
-            return 0.5 if P.UNKNOWN in (b, c) else 1.0 if b == c else 0.75 if b in phrases and c in phrases else 0.0
-
-        return {
-            "skill": overlap["skill_tags"],
-            "domain": overlap["domain_tags"],
-            "reasoning": overlap["reasoning_tags"],
-            "modality": np.where(none("modality_tags"), 0.5, common["modality_tags"] / np.maximum(self.size["modality_tags"], 1)),
-            "locality": np.where(none("locality_tags"), 0.5, np.where(place, 1.0, overlap["locality_tags"])),
-            "duration": self._table(text("duration_bucket"), self.duration, duration),
-            "answer_type": self._table(text("answer_type"), self.answer, answer),
-            "source_prior": np.clip(prior, 0.0, 1.0),
-        }
-
-
-def blend(parts: dict[str, np.ndarray], weights: dict[str, float]) -> np.ndarray | float:
-    used = {k: w for k, w in weights.items() if w > 0 and k in parts}
-    return sum(w * np.clip(parts[k], 0.0, 1.0) for k, w in used.items()) / sum(used.values()) if used else 0.0
-
-
-class Slice:
-    """A slice of the benchmark: keys in order, and what candidates are compared with."""
-
-    def __init__(self, keys: list, index: Terms | Vectors, sources: np.ndarray, profiles: Profiles | None, weights: dict[str, float], n: int, digits: tuple[int, int]) -> None:
-        self.keys, self.index, self.sources, self.profiles, self.weights, self.n, self.digits = keys, index, sources, profiles, weights, n, digits
-
-    def rows(self, kind: pa.DataType, values: pa.ListArray, profile: pa.StructArray | None) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-        """Stretches of rows with their matches, best scores by source (adjusted, semantic) and the largest similarity."""
-        keys, count = pa.array(self.keys, kind), int(self.sources.max()) + 1 if len(self.sources) else 0
-        for a, b, found in self.index.scores(values):
-            semantic = rounded(np.clip(found, 0.0, 1.0), self.digits[0])
-            columns = {"semantic": semantic}
-            if self.profiles is not None:
-                parts = self.profiles.parts(profile.slice(a, b - a))
-                columns["adjusted"] = rounded(blend(parts | {"semantic": semantic}, self.weights), self.digits[1]) + 0.0 * semantic
-                columns["profile_only"] = rounded(blend(parts, self.weights), self.digits[1]) + 0.0 * semantic
-                columns |= parts
-            score = columns.get("adjusted", semantic)
-            n = min(self.n, score.shape[1])
-            best = np.argsort(-score, axis=1, kind="stable")[:, :n]
-            fields = [keys.take(pa.array(best.ravel())), *(pa.array(np.take_along_axis(x, best, 1).ravel()) for x in columns.values())]
-            struct = pa.StructArray.from_arrays(fields, ["key", *columns])
-            matches = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * n + 1, n) if n else np.zeros(b - a + 1, int), pa.int32()), struct)
-            by_source = [np.stack([x[:, self.sources == s].max(axis=1, initial=0.0) for s in range(count)], axis=1) if count else np.zeros((b - a, 0)) for x in (score, semantic)]
-            yield a, b, matches, *by_source, semantic.max(axis=1, initial=0.0)
+
+def _terms(held: pa.Table, total: int) -> Terms:
+    """Grams (gram, df) with the inverse document frequency of each among `total` examples."""
+    grams = held.column("gram").combine_chunks()
+    size = pc.list_value_length(grams).to_numpy(zero_copy_only=False)
+    flat = grams.flatten()
+    words = pc.unique(flat)
+    code = pc.index_in(flat, words).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.cumsum(size) - size
+    pair = size == 2
+    keys = code[at[pair]] * len(words) + code[at[pair] + 1]
+    order = np.argsort(keys)
+    idf = np.log((1 + total) / (1 + held.column("df").to_numpy())) + 1
+    of_words = np.zeros(len(words))  # words of pairs that are no grams here weigh nothing
+    of_words[code[at[~pair]]] = idf[~pair]
+    return Terms(words, keys[order], np.concatenate((of_words, idf[pair][order])))
+
+
+def _fitted(lists: pa.ListArray) -> Terms:
+    """All grams of lists, weighed by their frequency in these."""
+    words, pairs = coded(lists, True)
+    terms = Terms(words, pairs)
+    _, term, _ = terms.counted(lists)
+    terms.idf = np.log((1 + len(lists)) / (1 + np.bincount(term, minlength=terms.size))) + 1
+    return terms
+
+
+def _table(df: DataFrame) -> pa.Table:
+    return df.toArrow()
+
+
+def _with_squares(rows: DataFrame, counts: DataFrame, total: int, grams: int) -> DataFrame:
+    """rows with the squared norm of each candidate's weighed terms, part by part of the vocabulary (gram, df)."""
+    parts, found = max(1, -(-counts.count() // grams)), None
+    for k in range(parts):
+        sent = rows.sparkSession.sparkContext.broadcast(_terms(_table(counts.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == k)), total))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.record_batch([batch.column("row"), pa.array(sent.value.squares(batch.column("value")))], ["row", "square"])
+
+        one = written(rows.select("row", "value").mapInArrow(run, "row long, square double"), "squares")
+        sent.destroy()
+        found = one if found is None else found.union(one)
+    return rows.join(found.groupBy("row").agg(F.sum("square").alias("square")), "row")
 
 
 def compared(
     candidates: DataFrame, bench: DataFrame, c: str, b: str, n: int = 3, backend: str = "token_overlap", text: str = "text", vector: str = "embedding", source: str | None = None,
-    profile: tuple[str, str] | None = None, weights: dict[str, float] | None = None, slice_bytes: int = SLICE, digits: tuple[int, int] = (6, 9),
+    profile: tuple[str, str] | None = None, weights: dict[str, float] | None = None, slice_bytes: int = SLICE, grams: int = GRAMS, digits: tuple[int, int] = (6, 9),
 ) -> DataFrame:
-    """(c, matches, best, best_semantic, max_similarity) of each candidate.
+    """(c, matches, best, best_semantic, max_similarity, scored) of each candidate.
 
     matches: structs of b, semantic and, where both sides have a profile (names of struct columns), adjusted, profile_only and the parts;
-    best and best_semantic: maps from benchmark source (a column of bench) to the best score, 0 at least."""
+    best and best_semantic: maps from benchmark source (a column of bench) to the best score, 0 at least; scored: examples that were scored in full."""
     backend, weighed = backend_of(candidates.columns, backend, vector), backend == "tfidf"
-    value = F.col(vector) if backend == "embedding" else F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))
+    dense = backend == "embedding"
+    value = F.col(vector) if dense else F.coalesce(tokens(F.col(text)), F.array().cast("array<string>"))
     whole = bench.select(F.col(b).alias("key"), value.alias("value"), (F.col(source).cast("string") if source else F.lit("")).alias("source"), F.col(profile[1] if profile else b).alias("profile"))
-    size = F.size("value") * 8 if backend == "embedding" else F.coalesce(F.octet_length(text), F.lit(0)) + 64
-    total = bench.agg(F.sum(size if backend != "embedding" else F.size(vector) * 8)).first()[0] or 0
-    slices = max(1, -(-total // slice_bytes))
-    names = sorted(r.source for r in whole.where("source <> ''").select("source").distinct().collect()) if source else []
-    frequencies = None
-    if weighed and slices > 1:
-        grams = whole.select("key", "value", F.size("value").alias("n"))
-        two = F.expr("transform(sequence(0, n - 2), i -> array(value[i], value[i + 1]))")
-        every = F.concat(F.transform("value", lambda w: F.array(w)), F.when(F.col("n") > 1, two).otherwise(F.array().cast("array<array<string>>")))
-        counts = grams.select(F.explode(F.array_distinct(every)).alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
-        frequencies = ({tuple(r.gram): r.df for r in counts.toLocalIterator()}, whole.count())
-    used, kind = T.WEIGHTS | (weights or {}), {f.name: f.dataType for f in bench.schema}[b]
-    carried = [F.col(c).alias("c"), value.alias("value"), *([F.col(profile[0]).alias("profile")] if profile else [])]
-    asked = candidates.select(*carried)
+    terms = F.greatest(F.size("value"), F.lit(0)).cast("long")
+    counted = whole.agg(F.sum(terms).alias("terms"), F.count("*").alias("n"), *([F.sort_array(F.collect_set(F.nullif("source", F.lit("")))).alias("names")] if source else [])).first()
+    total, names = counted.n, list(counted.names) if source else []
+    slices = max(1, -(-((counted.terms or 0) * (8 if dense else _TERM * (2 if weighed else 1)) + 64 * total) // slice_bytes))
+    used, kind = T.WEIGHTS | (weights or {}), whole.schema["key"].dataType
+    key_kind = pa.string() if isinstance(kind, K.StringType) else pa.int32() if isinstance(kind, K.IntegerType) else pa.int64()
+    columns = [F.col(c).alias("c"), value.alias("value"), *([F.col(profile[0]).alias("profile")] if profile else [])]
+    asked = candidates.select(*columns)
     parts = ["semantic", *(["adjusted", "profile_only", *PARTS] if profile else [])]
-    schema = f"c {dict(asked.dtypes)['c']}, matches array<struct<key {kind.simpleString()}, {', '.join(f'{x} double' for x in parts)}>>, best array<double>, best_semantic array<double>, max_similarity double"
-
-    def one(part: DataFrame) -> DataFrame:
-        rows = sorted(part.toLocalIterator(), key=lambda r: (r.key is not None, r.key))
-        held = [list(r.value or []) for r in rows]
-        index = Vectors(held) if backend == "embedding" else Terms(held, frequencies, weighed)
-        numbers = np.array([names.index(r.source) if r.source else -1 for r in rows] if names else [], np.int64)
-        own = Slice([r.key for r in rows], index, numbers, Profiles([r.profile.asDict() for r in rows]) if profile else None, used, n, digits)
+    made = f"matches array<struct<key {kind.simpleString()}, {', '.join(f'{x} double' for x in parts)}>>, best array<double>, best_semantic array<double>, max_similarity double, scored long"
+    several, counts = slices > 1, None
+    if several:  # a number for each candidate, and terms made once
+        asked = written(asked.select(F.monotonically_increasing_id().alias("row"), "*"), "candidates")
+        whole = written(whole, "examples")
+        if weighed:
+            counts = written(_grams(whole).groupBy("gram").agg(F.count("*").alias("df")), "grams")
+            asked = written(_with_squares(asked, counts, total, grams), "weighed")
+    carried = ["row", "c"] if several else ["c"]
+    schema = K.StructType([*(asked.schema[x] for x in carried), *K._parse_datatype_string(made).fields]) if several else f"c {dict(asked.dtypes)['c']}, {made}"
+
+    def one(part: DataFrame) -> tuple[DataFrame, object]:
+        held = _table(part.orderBy(F.asc_nulls_first("key")))
+        lists = held.column("value").combine_chunks()
+        if dense:
+            index: Postings | Vectors = Vectors(lists)
+        else:
+            if weighed and several:
+                own = _grams(part).distinct().join(counts, "gram").select("gram", "df")
+                known = _terms(_table(own), total)
+            else:
+                known = _fitted(lists) if weighed else Terms(coded(lists, False)[0])
+            index = Postings(known, lists)
+        at = {x: i for i, x in enumerate(names)}
+        numbers = np.array([at.get(x, -1) for x in held.column("source").to_pylist()] if names else [-1] * len(lists), np.int64)
+        profiles = Profiles(held.column("profile").combine_chunks()) if profile else None
+        sent = candidates.sparkSession.sparkContext.broadcast(Slice(held.column("key").combine_chunks().cast(key_kind), index, numbers, len(names), profiles, used, n, digits))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lists = lambda x: pa.array([[*r, *[0.0] * (len(names) - len(r))] for r in x.tolist()], pa.list_(pa.float64()))
-            for batch in batches:
-                key_kind = pa.string() if kind.simpleString() == "string" else pa.int32() if kind.simpleString() == "int" else pa.int64()
-                for a, z, matches, best, semantic, most in own.rows(key_kind, batch.column("value"), batch.column("profile") if profile else None):
-                    yield pa.record_batch([batch.column("c").slice(a, z - a), matches, lists(best), lists(semantic), pa.array(most)], ["c", "matches", "best", "best_semantic", "max_similarity"])
-
-        return asked.mapInArrow(run, schema)
-
-    if slices == 1:
-        found = one(whole)
+            own = sent.value
+            for whole_batch in batches:
+                for i in range(0, whole_batch.num_rows, 256):
+                    batch = whole_batch.slice(i, 256)
+                    lists = batch.column("value")
+                    squares = None if dense else batch.column("square").to_numpy() if weighed and several else own.index.terms.squares(lists)
+                    found = own.rows(lists, squares, batch.column("profile") if profile else None)
+                    yield pa.record_batch([*(batch.column(x) for x in carried), *found.columns], [*carried, *found.schema.names])
+
+        return asked.mapInArrow(run, schema), sent
+
+    if not several:
+        found, _ = one(whole)
     else:
-        tables = [one(whole.where(F.pmod(F.xxhash64("key"), F.lit(slices)) == k)) for k in range(slices)]
-        every = tables[0]
-        for t in tables[1:]:
-            every = every.union(t)
+        every, slots = None, F.pmod(F.xxhash64("key", "value"), F.lit(slices))
+        for k in range(slices):
+            rows, sent = one(whole.where(slots == k))
+            rows = written(rows, "matches")
+            sent.destroy()
+            every = rows if every is None else every.union(rows)
         by = "adjusted" if profile else "semantic"
         ranked = F.array_sort(F.flatten(F.collect_list("matches")), lambda x, y: F.when(x[by] != y[by], F.when(x[by] > y[by], -1).otherwise(1)).otherwise(F.when(x["key"] < y["key"], -1).when(x["key"] > y["key"], 1).otherwise(0)))
         most = lambda name: F.array(*[F.max(F.get(name, F.lit(i))) for i in range(len(names))]).cast("array<double>").alias(name)
-        found = every.groupBy("c").agg(F.slice(ranked, 1, n).alias("matches"), most("best"), most("best_semantic"), F.max("max_similarity").alias("max_similarity"))
+        found = every.groupBy("row").agg(F.first("c").alias("c"), F.slice(ranked, 1, n).alias("matches"), most("best"), most("best_semantic"), F.max("max_similarity").alias("max_similarity"), F.sum("scored").alias("scored"))
     sources = F.array(*map(F.lit, names)).cast("array<string>")
     renamed = F.transform("matches", lambda m: F.struct(m["key"].alias(b), *[m[x].alias(x) for x in parts]))
-    return found.select(F.col("c").alias(c), renamed.alias("matches"), F.map_from_arrays(sources, "best").alias("best"), F.map_from_arrays(sources, "best_semantic").alias("best_semantic"), "max_similarity")
+    return found.select(F.col("c").alias(c), renamed.alias("matches"), F.map_from_arrays(sources, "best").alias("best"), F.map_from_arrays(sources, "best_semantic").alias("best_semantic"), "max_similarity", "scored")
 
 
 def ranked(found: DataFrame, c: str, *more: str) -> DataFrame:
@@ -298,25 +187,32 @@ def ranked(found: DataFrame, c: str, *more: str) -> DataFrame:
 
 def summarized(found: DataFrame, c: str, weights: dict[str, float] | None = None, threshold: float = 0.45, score: str = "adjusted", digits: int = 6) -> DataFrame:
     """For each candidate: largest and mean scores of its matches, balanced score and coverage over all weighted sources (1 where none is given), the best source (ties: the
-    first by name), and the selection score 0.85 balanced + 0.15 coverage."""
-    entries = F.map_entries("best")
-    given = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (k, float(w))]) if weights else None
-    weight = lambda k: F.coalesce(F.try_element_at(given, k), F.lit(1.0)) if weights else F.lit(1.0)
-    added = lambda f: F.aggregate(entries, F.lit(0.0), lambda s, e: s + f(e))
-    whole = F.nullif(added(lambda e: weight(e["key"])), F.lit(0.0))
-    mean = lambda k: F.when(F.size("matches") > 0, F.aggregate("matches", F.lit(0.0), lambda s, m: s + m[k]) / F.size("matches")).otherwise(F.lit(0.0))
+    first by name), and the selection score 0.85 balanced + 0.15 coverage.
+
+    Scores have nine digits at most and weights six. Sums, means and their rounding, half up, are in integers, so that no order of adding changes a digit."""
+    entries, unit = F.map_entries("best"), 10 ** (9 - digits)
+    nine = lambda x: F.round(x * 1e9).cast("long")
+    long = lambda x: F.lit(x).cast("long")
+    given = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (k, round(float(w) * 1e6))]) if weights else None
+    weight = lambda k: F.coalesce(F.try_element_at(given, k), F.lit(1_000_000)).cast("long") if weights else long(1_000_000)
+    added = lambda rows, f: F.aggregate(rows, long(0), lambda s, x: s + f(x))
+    half_up = lambda top, bottom: F.coalesce(F.try_divide(F.call_function("div", 2 * top + bottom, F.greatest(2 * bottom, long(1))), F.when(bottom > 0, 10.0**digits)), F.lit(0.0))
+    mean = lambda k: half_up(added("matches", lambda m: nine(m[k])), F.size("matches").cast("long") * unit)
+    whole = added(entries, lambda e: weight(e["key"]))
+    above = added(entries, lambda e: F.when(e["value"] >= threshold, weight(e["key"])).otherwise(long(0)))
     first = F.array_min(F.transform(entries, lambda e: F.struct((-e["value"]).alias("s"), e["key"].alias("name"))))
     made = found.select(
         c,
         F.col("max_similarity"),
         F.coalesce(F.get("matches", F.lit(0))[score], F.lit(0.0)).alias("max_adjusted_similarity"),
-        F.round(mean("semantic"), digits).alias("mean_topk_similarity"),
-        F.round(mean(score), digits).alias("mean_topk_adjusted_similarity"),
-        F.round(F.coalesce(added(lambda e: weight(e["key"]) * e["value"]) / whole, F.lit(0.0)), digits).alias("balanced_score"),
-        F.round(F.coalesce(added(lambda e: F.when(e["value"] >= threshold, weight(e["key"])).otherwise(F.lit(0.0))) / whole, F.lit(0.0)), digits).alias("coverage"),
+        mean("semantic").alias("mean_topk_similarity"),
+        mean(score).alias("mean_topk_adjusted_similarity"),
+        half_up(added(entries, lambda e: weight(e["key"]) * nine(e["value"])), whole * unit).alias("balanced_score"),
+        half_up(above * 10**digits, whole).alias("coverage"),
         F.coalesce(first["name"], F.lit("")).alias("best_source"),
     )
-    return made.withColumn("selection_score", F.round(0.85 * F.col("balanced_score") + 0.15 * F.col("coverage"), digits + 3))
+    whole_digits = lambda k: F.round(F.col(k) * 10.0**digits).cast("long")
+    return made.withColumn("selection_score", (85 * whole_digits("balanced_score") + 15 * whole_digits("coverage")) / (100 * 10.0**digits))
 
 
 def nearest_rows(rows: DataFrame, queries: DataFrame, key: str, vector: str, n: int, slice_bytes: int = SLICE, digits: int = 6) -> DataFrame:

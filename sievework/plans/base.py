@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import profiles as P
 from ..functions import tables as T
+from ..sources.scratch import new_folder
 
 NAMES = ["askmodelanything", "longcapqa", "videosubtitleqa", "videocounteval", "pointing", "pointtrack", "capeval", "videocapqa", "videocap", "longweb"]
 CATEGORIES = [*T.TEMPORAL_CATEGORIES, *T.SUMMARY_CATEGORIES, *T.OBJECT_CATEGORIES, *T.ACTION_CATEGORIES, *T.COUNTING_CATEGORIES, *T.TEXT_CATEGORIES, *T.COUNTED_CATEGORIES, "Other things"]
@@ -24,13 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder of a run's own in the one that the cluster names in spark.checkpoint.dir; a temporary one where the master is local."""
-    given = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        given = tempfile.mkdtemp(prefix="sievework-")
-    return f"{given.rstrip('/')}/records-{uuid.uuid4().hex}"
+    """A folder of a run's own in the one that the cluster names in spark.checkpoint.dir."""
+    return new_folder(spark, "records")
 
 
 def pick(values: list[str], number: Column) -> Column:
@@ -63,6 +56,11 @@ def quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
+def sql_half_up(top: str, bottom: str) -> str:
+    """top / bottom to the next integer, halves up, in integers."""
+    return f"CAST((2 * ({top}) + ({bottom})) // (2 * ({bottom})) AS BIGINT)"
+
+
 def sql_list(values: list[str]) -> str:
     return "[" + ", ".join(map(quoted, values)) + "]"
 

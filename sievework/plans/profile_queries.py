@@ -141,12 +141,12 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY adjust
 MATCH_COMPONENTS = f"{_RANKED} SELECT doc_id, rank, item_id, {', '.join(f'round(CAST({k} AS DOUBLE), 6) AS {k}' for k in PARTS)} FROM ranked WHERE rank <= 3"
 BLENDED = f"{_RANKED} SELECT doc_id, rank, item_id, similarity AS semantic, adjusted, profile_only FROM ranked WHERE rank <= 3"
 SUMMARY = f"""{_RANKED}, w AS (SELECT doc_id, {base.sql_pick(base.BENCHMARKS, 'item_id')} AS source, greatest(0.0, max(adjusted)) AS best FROM ranked GROUP BY ALL),
-a AS (SELECT doc_id, round(sum(best * CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END) / sum(CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END), 6) AS balanced_score,
- round(sum(CASE WHEN best >= 0.45 THEN CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END ELSE 0.0::DOUBLE END) / sum(CASE source WHEN 'lvbench' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END), 6) AS coverage FROM w GROUP BY doc_id),
+a AS (SELECT doc_id, {base.sql_half_up('sum(CAST(round(best * 1e9) AS HUGEINT) * weight)', 'sum(weight) * 1000')} AS balanced, {base.sql_half_up('coalesce(sum(weight) FILTER (best >= 0.45), 0) * 1000000', 'sum(weight)')} AS cov
+ FROM (SELECT *, CASE source WHEN 'lvbench' THEN 2 ELSE 1 END AS weight FROM w) GROUP BY doc_id),
 t AS (SELECT doc_id, source AS best_source FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY best DESC, source) = 1),
-m AS (SELECT doc_id, max(similarity) AS max_similarity, max(adjusted) AS max_adjusted_similarity, round(avg(similarity) FILTER (rank <= 3), 6) AS mean_topk_similarity,
- round(avg(adjusted) FILTER (rank <= 3), 6) AS mean_topk_adjusted_similarity FROM ranked GROUP BY doc_id)
-SELECT *, round(0.85::DOUBLE * balanced_score + 0.15::DOUBLE * coverage, 9) AS selection_score FROM m JOIN a USING (doc_id) JOIN t USING (doc_id)"""
+m AS (SELECT doc_id, max(similarity) AS max_similarity, max(adjusted) AS max_adjusted_similarity, {base.sql_half_up('sum(CAST(round(similarity * 1e9) AS HUGEINT)) FILTER (rank <= 3)', 'count(*) FILTER (rank <= 3) * 1000')} / 1e6 AS mean_topk_similarity,
+ {base.sql_half_up('sum(CAST(round(adjusted * 1e9) AS HUGEINT)) FILTER (rank <= 3)', 'count(*) FILTER (rank <= 3) * 1000')} / 1e6 AS mean_topk_adjusted_similarity FROM ranked GROUP BY doc_id)
+SELECT m.*, balanced / 1e6 AS balanced_score, cov / 1e6 AS coverage, best_source, (85 * balanced + 15 * cov) / 1e8 AS selection_score FROM m JOIN a USING (doc_id) JOIN t USING (doc_id)"""
 
 # -- selection ---------------------------------------------------------------------------------------------------------------------
 

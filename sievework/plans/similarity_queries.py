@@ -49,9 +49,9 @@ def similarity_source_scores(spark, sf):
 SOURCE_SCORES = f"""{_PAIRS}, w AS (SELECT unnest({base.sql_list(SOURCES)}) AS source, 1.0::DOUBLE AS weight),
 s AS (SELECT doc_id, {base.sql_pick(SOURCES, 'item_id')} AS source, greatest(0.0, max(similarity)) AS best FROM pairs GROUP BY ALL),
 f AS (SELECT d.doc_id, w.source, w.weight, coalesce(s.best, 0.0) AS best FROM documents d CROSS JOIN w LEFT JOIN s ON s.doc_id = d.doc_id AND s.source = w.source),
-a AS (SELECT doc_id, sum(best * weight) / sum(weight) AS balanced, sum(CASE WHEN best >= 0.45 THEN weight ELSE 0 END) / sum(weight) AS cov FROM f GROUP BY doc_id),
+a AS (SELECT doc_id, {base.sql_half_up('sum(CAST(round(best * 1e9) AS HUGEINT))', 'count(*) * 1000')} AS balanced, {base.sql_half_up('count(*) FILTER (best >= 0.45) * 1000000', 'count(*)')} AS cov FROM f GROUP BY doc_id),
 t AS (SELECT doc_id, source FROM f QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY best DESC, source) = 1)
-SELECT doc_id, round(balanced, 6) AS balanced_score, round(cov, 6) AS coverage, t.source AS best_source, round(0.85::DOUBLE * round(balanced, 6) + 0.15::DOUBLE * round(cov, 6), 9) AS selection_score FROM a JOIN t USING (doc_id)"""
+SELECT doc_id, balanced / 1e6 AS balanced_score, cov / 1e6 AS coverage, t.source AS best_source, (85 * balanced + 15 * cov) / 1e8 AS selection_score FROM a JOIN t USING (doc_id)"""
 
 
 def tfidf_similarity(spark, sf):

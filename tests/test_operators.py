@@ -1,11 +1,13 @@
 """Operators on small literal tables; expected values are worked out by hand."""
 
+import collections
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.functions import profiles, verdict
+from sievework.functions import profiles, tables, verdict
 from sievework.operators import buckets, calls, matching, resume, selection
 from sievework.sources import readers, sinks
 from sievework.streaming import incremental
@@ -158,7 +160,7 @@ def test_token_cosine_and_filling_up(spark):
 def test_slices_of_a_benchmark_give_what_one_gives(spark, backend):
     c = spark.range(60).selectExpr("cast(id as int) as c", "concat_ws(' ', transform(sequence(1, 1 + id % 9), i -> concat('w', (id * i * 7) % 13))) as text", "array(cos(id), sin(id)) as embedding")
     b = spark.range(40).selectExpr("cast(id as int) as b", "concat_ws(' ', transform(sequence(1, 1 + id % 7), i -> concat('w', (id * i * 5) % 13))) as text", "array(cos(id * 3), sin(id * 3)) as embedding", "concat('s', id % 3) as source")
-    one, many = (matching.compared(c, b, "c", "b", 3, backend, source="source", slice_bytes=n).orderBy("c").collect() for n in (1 << 20, 500))
+    one, many = (matching.compared(c, b, "c", "b", 3, backend, source="source", slice_bytes=n, grams=7).drop("scored").orderBy("c").collect() for n in (1 << 20, 2000))
     assert len(one) == 60 and list(map(str, one)) == list(map(str, many))
 
 
@@ -173,11 +175,66 @@ def test_parts_of_matches_are_those_of_the_rules(spark):
     c = spark.createDataFrame([(i, f"w{i % 5} w1", profile()) for i in range(30)], f"c int, text string, p {kind}")
     b = spark.createDataFrame([(i, f"w{i % 4}", profile()) for i in range(20)], f"b int, text string, q {kind}")
     found = {(r.c, r.b): r for r in matching.ranked(matching.compared(c, b, "c", "b", 20, profile=("p", "q")), "c").collect()}
-    pairs = c.crossJoin(b.drop("text"))
-    parts = profiles.match_parts(F.col("q"), F.col("p"))
-    for r in pairs.select("c", "b", *[x.alias(k) for k, x in parts.items()], profiles.blended(parts, {"semantic": 0.0}).alias("only")).collect():
-        got = found[r.c, r.b]
-        assert [round(got[k], 9) for k in matching.PARTS] == [round(r[k], 9) for k in matching.PARTS] and abs(got.profile_only - r.only) < 1e-8
+    for x in c.collect():
+        for y in b.collect():
+            got, parts = found[x.c, y.b], rules_of_a_match(y.q, x.p)
+            only = sum(w * parts[k] for k, w in tables.WEIGHTS.items() if k != "semantic") / sum(w for k, w in tables.WEIGHTS.items() if k != "semantic")
+            assert {k: round(got[k], 9) for k in matching.PARTS} == {k: round(v, 9) for k, v in parts.items()} and abs(got.profile_only - only) < 1e-8
+
+
+def rules_of_a_match(b, c):
+    """The parts of a match, one pair at a time."""
+    dice = lambda k: 2 * len({*b[k]} & {*c[k]}) / (len(b[k]) + len(c[k])) if b[k] and c[k] else 0.0
+    both = b.locality_tags, c.locality_tags
+    near = "global" in both[0] and {"global", "multi_segment"} & {*both[1]} or "local" in both[0] and "local" in both[1]
+    steps = {"short": 0, "medium": 1, "long": 2, "very_long": 3}
+    prior = tables.PRIORS.get(b.benchmark_name, {}).get(c.source_family, tables.OTHER_PRIOR)
+    prior += sum(more for field, tag, families, more in profiles.BOOSTS if tag in b[field] and c.source_family in families)
+    unknown = lambda k: "unknown" in (b[k], c[k])
+    return {
+        "skill": dice("skill_tags"),
+        "domain": dice("domain_tags"),
+        "reasoning": dice("reasoning_tags"),
+        "modality": len({*b.modality_tags} & {*c.modality_tags}) / len(b.modality_tags) if b.modality_tags else 0.5,
+        "locality": 0.5 if not both[0] else 1.0 if near else dice("locality_tags"),
+        "duration": 0.5 if unknown("duration_bucket") else [1.0, 0.65, 0.25, 0.0][abs(steps[b.duration_bucket] - steps[c.duration_bucket])],
+        "answer_type": 0.5 if unknown("answer_type") else 1.0 if b.answer_type == c.answer_type else 0.75 if {b.answer_type, c.answer_type} == {"short_phrase", "sentence"} else 0.0,
+        "source_prior": min(1.0, max(0.0, prior)),
+    }
+
+
+@pytest.mark.parametrize("backend", ["token_overlap", "tfidf"])
+def test_pruned_scores_are_those_of_all_pairs(spark, backend):
+    rnd = __import__("random").Random(8)
+    words = [f"w{i}" for i in range(400)]
+    some = lambda: " ".join(rnd.choices(words, [1 / (i + 1) for i in range(400)], k=rnd.choice([0, 3, 40, 160])))
+    items = [(i, some(), f"s{i % 3}") for i in range(300)]
+    rows = [(i % 50, some()) for i in range(60)]
+    c, b = spark.createDataFrame(rows, "c int, text string"), spark.createDataFrame(items, "b int, text string, source string")
+    got = matching.compared(c, b, "c", "b", 4, backend, source="source")
+    grams = lambda t: t.split() + ([" ".join(p) for p in zip(t.split(), t.split()[1:])] if backend == "tfidf" else [])
+    df = collections.Counter(g for _, t, _ in items for g in set(grams(t)))
+    idf = lambda g: math.log((1 + len(items)) / (1 + df[g])) + 1 if backend == "tfidf" else 1.0
+    vector = lambda t: {g: n * idf(g) for g, n in collections.Counter(grams(t)).items() if backend != "tfidf" or df[g]}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values())) or 1.0
+    own, expected = [(i, vector(t), s) for i, t, s in items], collections.Counter()
+    for k, t in rows:
+        v = vector(t)
+        scores = [(round(sum(x * o.get(g, 0) for g, x in v.items()) / (norm(v) * norm(o)), 6), i, s) for i, o, s in own]
+        best = tuple(sorted((-x, i) for x, i, _ in scores)[:4])
+        expected[k, best, tuple(max(x for x, _, z in scores if z == f"s{q}") for q in range(3))] += 1
+    made = collections.Counter((r.c, tuple((-m.semantic, m.b) for m in r.matches), tuple(r.best[f"s{q}"] for q in range(3))) for r in got.collect())
+    assert made == expected
+    if backend == "tfidf":  # counts weigh the commonest words most, so that no bound is tight for them
+        assert got.agg(F.sum("scored")).first()[0] < 0.9 * 60 * 300
+
+
+@pytest.mark.parametrize("size", [1 << 20, 600])
+def test_equal_and_null_keys_keep_a_row_each(spark, size):
+    c = spark.createDataFrame([(1, "a b"), (1, "b q"), (None, "a"), (None, None)], "c int, text string")
+    b = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "b", "q", "a q", "b b a", "z"])], "b int, text string")
+    found = matching.compared(c, b, "c", "b", 1, slice_bytes=size).collect()
+    assert sorted((str(r.c), r.matches[0].b, r.matches[0].semantic) for r in found) == [("1", 0, 1.0), ("1", 1, 0.707107), ("None", 0, 0.0), ("None", 0, 0.707107)]
 
 
 def test_summary_counts_sources_without_a_score(spark):

@@ -29,9 +29,9 @@ def rows(names, found):
 
 
 def same(a, b):
-    """Equal; floats may differ by the last of six digits, as sums of floats round either way where a mean lies between two."""
+    """Equal in every digit."""
     if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=1e-12, abs_tol=1.5e-6) or math.isnan(a) and math.isnan(b)
+        return a == b or math.isnan(a) and math.isnan(b)
     if isinstance(a, (list, tuple)) and isinstance(b, (list, tuple)):
         return len(a) == len(b) and all(map(same, a, b))
     return str(a) == str(b)
