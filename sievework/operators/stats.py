@@ -6,13 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .percentiles import percentiles
+
 
 def score_stats(df: DataFrame, score: str, *keys: str, digits: int = 6) -> DataFrame:
     """Count, extremes, mean and interpolated percentiles by key; zeros where there are no scores."""
     of = lambda c, name: F.round(F.coalesce(c, F.lit(0.0)), digits).alias(name)
     parts = [F.count(score).alias("count"), of(F.min(score), "min"), of(F.max(score), "max"), of(F.avg(score), "mean")]
-    parts += [of(F.percentile(score, p), f"p{round(100 * p)}") for p in (0.5, 0.9, 0.95)]
-    return df.groupBy(*keys).agg(*parts) if keys else df.agg(*parts)
+    rows = written(df.select(*keys, score), "scores")
+    plain = rows.groupBy(*keys).agg(*parts) if keys else rows.agg(*parts)
+    found = percentiles(rows, score, [0.5, 0.9, 0.95], *keys)
+    found = found.select(*[F.col(k).alias(f"__{k}") for k in keys], *[F.col(f"p{i}") for i in range(3)])
+    near = F.lit(True)
+    for k in keys:
+        near = near & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return plain.join(found, near, "left").select(*keys, "count", "min", "max", "mean", *[of(F.col(f"p{i}"), f"p{p}") for i, p in enumerate((50, 90, 95))])
 
 
 def share_of(count: Column, *partition: str) -> Column:

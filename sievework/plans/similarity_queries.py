@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import profiles as P
-from ..operators import buckets, matching, similarity, stats
+from ..operators import buckets, cells, matching, similarity, stats
 from . import base
 from .base import table
 from .profile_queries import _COSINE
@@ -80,6 +80,12 @@ def embedding_similarity_topk(spark, sf):
     return stats.top_k_by(near, 3, "score", "vec_id", "query_id").select("query_id", "rank", "vec_id", "score")
 
 
+def embedding_cells_topk(spark, sf):
+    """The same through cells: those of the nearest centres, then those that can hold a nearer row."""
+    e = table(spark, sf, "embeddings")
+    return cells.nearest(cells.indexed(e, "vec_id", "embedding"), e.where("vec_id % 100 = 0"), "vec_id", "embedding", 3, probes=2, exact=True)
+
+
 EMBEDDING = """WITH p AS (SELECT q.vec_id AS query_id, e.vec_id, round(list_dot_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score FROM embeddings e JOIN embeddings q
  ON q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 3"""
@@ -175,6 +181,7 @@ _ALL = {
     "similarity_source_scores": (similarity_source_scores, SOURCE_SCORES),
     "tfidf_similarity": (tfidf_similarity, TFIDF),
     "embedding_similarity_topk": (embedding_similarity_topk, EMBEDDING),
+    "embedding_cells_topk": (embedding_cells_topk, EMBEDDING),
     "score_stats_overall": _stats(),
     "score_stats_by_source": _stats("source"),
     "score_stats_by_family": _stats("family"),
