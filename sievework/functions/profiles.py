@@ -11,9 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tables as T
+from .phrases import Phrases
 from .text import any_of, contains_any, filled, has_word, normalized
 
 UNKNOWN = "unknown"
+#: What rules look for in a record or in its question. Rules take the numbers that `found` gives, so that each text is read once.
+PHRASES = Phrases(
+    [
+        *(p for ps in (*T.DOMAINS.values(), *T.SKILLS.values()) for p in ps), *T.ORDER_WORDS, *T.TEMPORAL_QUESTION, "how many", "reason",
+        "relation", "reasoning", "perception", "summary", "synopsis", "grounding", "l2-relation", "subtitle", "dialogue", "transcript", "ocr", "text recognition",
+        "text location", "temporal grounding", "location", "point",
+    ]
+)
 #: What raises a source's prior: a tag of the benchmark, the candidate's families, and by how much.
 BOOSTS = [
     ("skill_tags", "counting", ("count_eval",), 0.18),
@@ -103,15 +112,16 @@ def answer_type(answer: Column) -> Column:
     )
 
 
-def domain_tags(text: Column) -> Column:
-    return tag_array({tag: contains_any(text, phrases) for tag, phrases in T.DOMAINS.items()})
+def domain_tags(found: Column) -> Column:
+    return tag_array({tag: PHRASES.any(found, phrases) for tag, phrases in T.DOMAINS.items()})
 
 
-def skill_tags(text: Column, question: Column, family: Column) -> Column:
-    held = {tag: contains_any(text, phrases) for tag, phrases in T.SKILLS.items()}
+def skill_tags(found: Column, asked: Column, question: Column, family: Column) -> Column:
+    """found and asked: phrases of the record and of its question."""
+    held = {tag: PHRASES.any(found, phrases) for tag, phrases in T.SKILLS.items()}
     extra = {
-        "counting": question.contains("how many"),
-        "temporal_reasoning": contains_any(question, T.ORDER_WORDS),
+        "counting": PHRASES.any(asked, ["how many"]),
+        "temporal_reasoning": PHRASES.any(asked, T.ORDER_WORDS),
         "causal": has_word(question, "why"),
         "spatial_perception": has_word(question, "where"),
         "summary": question.startswith("summarize") | has_word(question, "summary"),
@@ -124,51 +134,52 @@ def skill_tags(text: Column, question: Column, family: Column) -> Column:
     return tag_array(held | {"text": held["dialogue"] | held["ocr"], "global": held["summary"]})
 
 
-def reasoning_tags(text: Column, skills: Column, level: Column) -> Column:
+def reasoning_tags(found: Column, skills: Column, level: Column) -> Column:
     has = lambda *tags: any_of(F.array_contains(skills, t) for t in tags)
     return tag_array(
         {
-            "reasoning": contains_any(text, ["relation", "reasoning"]) | F.exists(skills, lambda t: t.endswith("_reasoning")),
-            "perception": text.contains("perception") | level.contains("perception"),
-            "summary": contains_any(text, ["summary", "synopsis"]) | has("summary"),
-            "grounding": text.contains("grounding") | has("grounding", "tracking", "temporal_grounding"),
-            "relation": text.contains("l2-relation") | level.contains("relation"),
+            "reasoning": PHRASES.any(found, ["relation", "reasoning"]) | F.exists(skills, lambda t: t.endswith("_reasoning")),
+            "perception": PHRASES.any(found, ["perception"]) | level.contains("perception"),
+            "summary": PHRASES.any(found, ["summary", "synopsis"]) | has("summary"),
+            "grounding": PHRASES.any(found, ["grounding"]) | has("grounding", "tracking", "temporal_grounding"),
+            "relation": PHRASES.any(found, ["l2-relation"]) | level.contains("relation"),
         }
     )
 
 
-def modality_tags(text: Column, family: Column, context: Column, alignment: Column) -> Column:
+def modality_tags(found: Column, family: Column, context: Column, alignment: Column) -> Column:
     return tag_array(
         {
             "visual": F.lit(True),
-            "subtitle": contains_any(text, ["subtitle", "dialogue", "transcript"]) | (family == "subtitleqa"),
-            "ocr": contains_any(text, ["ocr", "text recognition", "text location"]),
+            "subtitle": PHRASES.any(found, ["subtitle", "dialogue", "transcript"]) | (family == "subtitleqa"),
+            "ocr": PHRASES.any(found, ["ocr", "text recognition", "text location"]),
             "cross_modal": (family == "subtitleqa") | (family == "caption") & (context != "") | contains_any(alignment, ["alignment", "cross-modal"]),
         }
     )
 
 
-def locality_tags(text: Column, family: Column, kind: Column) -> Column:
+def locality_tags(found: Column, text: Column, family: Column, kind: Column) -> Column:
     broad = family.isin("longcapqa", "caption")
     return tag_array(
         {
-            "local": has_word(text, "local") | contains_any(text, ["temporal grounding", "location", "point"]) | family.isin("count_eval", "point_grounding", "tracking") | (kind == "local"),
-            "global": has_word(text, "global") | contains_any(text, ["summary", "synopsis"]) | broad | (kind == "global"),
+            "local": has_word(text, "local") | PHRASES.any(found, ["temporal grounding", "location", "point"]) | family.isin("count_eval", "point_grounding", "tracking") | (kind == "local"),
+            "global": has_word(text, "global") | PHRASES.any(found, ["summary", "synopsis"]) | broad | (kind == "global"),
             "multi_segment": broad,
         }
     )
 
 
-def temporal_question(question: Column) -> Column:
-    return contains_any(question, T.TEMPORAL_QUESTION)
+def temporal_question(asked: Column) -> Column:
+    return PHRASES.any(asked, T.TEMPORAL_QUESTION)
 
 
-def skill_bucket(family: Column, question: Column, answer: Column, category: Column, alignment: Column, benchmark: Column) -> Column:
-    """question, answer, category and alignment are normalized."""
+def skill_bucket(family: Column, asked: Column, question: Column, answer: Column, category: Column, alignment: Column, benchmark: Column) -> Column:
+    """asked: phrases of the question; question, answer, category and alignment are normalized."""
+    many, order = PHRASES.any(asked, ["how many"]), temporal_question(asked)
     task = F.lit(None).cast("string")
     for name, bucket in T.TASK_BUCKETS.items():
         task = F.when(category == name, bucket).otherwise(task)
-    why = has_word(question, "why") | question.contains("reason")
+    why = has_word(question, "why") | PHRASES.any(asked, ["reason"])
     captions = (
         F.when(category.isin(T.SUMMARY_CATEGORIES), "summary")
         .when(category.isin(T.TEMPORAL_CATEGORIES), "temporal_sequence")
@@ -185,13 +196,13 @@ def skill_bucket(family: Column, question: Column, answer: Column, category: Col
         .when(category == "action reasoning", "action_reasoning")
         .otherwise("general")
     )
-    asked = F.when(question.contains("how many"), "counting").when(temporal_question(question), "temporal_sequence").when(why, "action_reasoning").otherwise("general")
-    other = F.when(question.contains("how many") | number_like(answer), "counting").when(temporal_question(question), "temporal_sequence").otherwise("general")
+    asked = F.when(many, "counting").when(order, "temporal_sequence").when(why, "action_reasoning").otherwise("general")
+    other = F.when(many | number_like(answer), "counting").when(order, "temporal_sequence").otherwise("general")
     return (
         F.when((benchmark == "videomme") & task.isNotNull(), task)
         .when(family.isin("capqa", "longcapqa"), captions)
         .when(family == "subtitleqa", subtitles)
-        .when(family == "caption", F.when(temporal_question(question), "temporal_sequence").otherwise("summary"))
+        .when(family == "caption", F.when(order, "temporal_sequence").otherwise("summary"))
         .when(family == "askmodelanything", asked)
         .when(family == "count_eval", F.when(category.isin(T.COUNTED_CATEGORIES), "counting").otherwise("general"))
         .otherwise(other)
@@ -227,7 +238,8 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
             "__profile_question": normalized(r.question),
             "__profile_answer": normalized(r.answer),
             "__profile_context": _text(r.context),
-            "__profile_text": normalized(F.concat_ws(" | ", *[filled(_text(c)) for c in (r.question, r.answer, r.context) if c is not None], *[filled(c) for c in told])),
+            "__profile_rest": F.concat_ws(" | ", *[filled(_text(c)) for c in (r.answer, r.context) if c is not None], *[filled(c) for c in told]),
+            "__profile_empty": filled(_text(r.question)).isNull(),
             "__profile_told": F.concat_ws(" ", *told) if told else F.lit(""),
             "__profile_category": first("Category", "category", "task_type", "question_type"),
             "__profile_alignment": first("AlignmentType"),
@@ -237,7 +249,16 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
             "__profile_video": F.coalesce(*known("video_duration", "duration", "video_length"), F.lit("short")),
         }
     )
-    c = {k: F.col(f"__profile_{k}") for k in ("name", "question", "answer", "context", "text", "category", "alignment", "level", "type", "given", "video", "family", "bench", "bucket", "skills")}
+    # the whole record is the question, a bar and the rest: no phrase holds a bar, so each part is read once
+    df = df.withColumns({"__profile_rest": normalized("__profile_rest"), "__profile_asked": PHRASES.found(F.col("__profile_question"))})
+    both = F.trim(F.concat("__profile_question", F.lit(" | "), "__profile_rest"))
+    df = df.withColumns(
+        {
+            "__profile_text": F.when(F.col("__profile_empty"), F.col("__profile_rest")).when(F.col("__profile_rest") == "", F.col("__profile_question")).otherwise(both),
+            "__profile_found": F.array_union("__profile_asked", PHRASES.found(F.col("__profile_rest"))),
+        }
+    )
+    c = {k: F.col(f"__profile_{k}") for k in ("name", "question", "answer", "context", "text", "category", "alignment", "level", "type", "given", "video", "found", "asked", "family", "bench", "bucket", "skills")}
     bench = benchmark_name(F.concat_ws(" ", "__profile_name", "__profile_told")) if r.benchmark else F.lit("")
     df = df.withColumns({"__profile_family": source_family(c["name"]), "__profile_bench": bench})
     by_family = (
@@ -248,7 +269,7 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
         .when(c["name"].contains("long"), "long")
         .otherwise(UNKNOWN)
     )
-    df = df.withColumns({"__profile_bucket": F.coalesce(c["given"], by_family), "__profile_skills": skill_tags(c["text"], c["question"], c["family"])})
+    df = df.withColumns({"__profile_bucket": F.coalesce(c["given"], by_family), "__profile_skills": skill_tags(c["found"], c["asked"], c["question"], c["family"])})
     hint = F.when(c["bucket"] != UNKNOWN, c["bucket"]).when(c["family"] == "longcapqa", "long").when(c["family"] == "count_eval", c["video"]).otherwise(c["bucket"])
     parts = {
         "role": F.lit("benchmark" if r.benchmark else "candidate"),
@@ -256,13 +277,13 @@ def with_profile(df: DataFrame, r: Record, name: str = "profile", overrides: dic
         "source_family": c["family"],
         "duration_bucket": c["bucket"],
         "duration_hint": hint,
-        "skill_bucket": skill_bucket(c["family"], c["question"], c["answer"], c["category"], c["alignment"], c["bench"]),
+        "skill_bucket": skill_bucket(c["family"], c["asked"], c["question"], c["answer"], c["category"], c["alignment"], c["bench"]),
         "answer_type": answer_type(c["answer"]),
-        "domain_tags": domain_tags(c["text"]),
+        "domain_tags": domain_tags(c["found"]),
         "skill_tags": c["skills"],
-        "reasoning_tags": reasoning_tags(c["text"], c["skills"], c["level"]),
-        "modality_tags": modality_tags(c["text"], c["family"], c["context"], c["alignment"]),
-        "locality_tags": locality_tags(c["text"], c["family"], c["type"]),
+        "reasoning_tags": reasoning_tags(c["found"], c["skills"], c["level"]),
+        "modality_tags": modality_tags(c["found"], c["family"], c["context"], c["alignment"]),
+        "locality_tags": locality_tags(c["found"], c["text"], c["family"], c["type"]),
     }
     fields = {k: x for k, x in (parts | (overrides or {})).items() if not only or k in only}
     return df.withColumn(name, F.struct(*[x.alias(k) for k, x in fields.items()])).select(*[f"`{x}`" for x in own if x != name], name)

@@ -9,11 +9,29 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import tables as T
-from ..functions.text import any_of, contains_any
+from ..functions.phrases import Phrases
+from ..functions.text import any_of
 
 
-def matches_any(x: Column, patterns: list[str]) -> Column:
-    return any_of(x.rlike(f"(?i){p}") for p in patterns)
+#: What every match of a pattern holds, in lower case; of the others only a search can tell.
+_HELD = {
+    "choices?": ["choice"], "options?": ["option"], "(A)": ["(a)", "(b)", "(c)", "(d)"], "请选择": ["请选择"], "选项": ["选项"], "main subject": ["s the main subject"],
+    "describe": ["describe the image", "describe this image"], "caption": ["caption"], "you see": ["what do you see"], "chart": ["summarize the chart"],
+    "quality": ["compare the quality"], "all text": ["please extract all text"],
+}
+
+
+def _held(pattern: str) -> list[str]:
+    return next((v for k, v in _HELD.items() if k in pattern.replace("\\", "")), [])
+
+
+def matches_any(x: Column, patterns: list[str], phrases: Phrases | None = None, found: Column | None = None) -> Column:
+    """Any of the patterns, without regard to case. Patterns whose matches hold one of some phrases are searched for only where such a phrase is found."""
+    search = lambda ps: x.rlike(f"(?i)(?:{'|'.join(ps)})") if ps else F.lit(False)
+    if phrases is None:
+        return search(patterns)
+    gated = [p for p in patterns if _held(p)]
+    return phrases.any(found, [h for p in gated for h in _held(p)]) & search(gated) | search([p for p in patterns if not _held(p)])
 
 
 def keyword_bank(text: str) -> dict[str, list[str]]:
@@ -22,29 +40,39 @@ def keyword_bank(text: str) -> dict[str, list[str]]:
     return {k: sorted({str(x).lower().replace("_", " ").strip() for x in v} - {""}) for k, v in raw.items() if isinstance(v, list)}
 
 
-def signals(question: Column, bank: dict[str, list[str]] | None = None) -> dict[str, Column]:
-    """What a question shows. Fields other than mathematics count only in questions of an examination style."""
-    low = F.lower(question)
-    choice = matches_any(question, T.CHOICE_PATTERNS)
-    style = choice | contains_any(low, T.REASONING_STYLE)
-    found = {
+def _topics(bank: dict[str, list[str]] | None) -> tuple[list[str], list[str]]:
+    bank = bank or {}
+    return [x for k in ("subjects", "subfields", "visual_cues") for x in bank.get(k, [])], bank.get("question_cues", [])
+
+
+def known_phrases(bank: dict[str, list[str]] | None = None) -> Phrases:
+    """All that signals look for in the lower-cased question."""
+    return Phrases([*T.REASONING_STYLE, *T.MATH, *T.SCIENCE, *T.ENGINEERING, *T.HUMANITIES, *(x for xs in _topics(bank) for x in xs), *(h for hs in _HELD.values() for h in hs)])
+
+
+def signals(question: Column, found: Column, bank: dict[str, list[str]] | None = None) -> dict[str, Column]:
+    """What a question shows; found: its known phrases. Fields other than mathematics count only in questions of an examination style."""
+    known = known_phrases(bank)
+    has = lambda phrases: known.any(found, phrases)
+    choice, (topic, cues) = matches_any(question, T.CHOICE_PATTERNS, known, found), _topics(bank)
+    style = choice | has(T.REASONING_STYLE)
+    return {
         "mcq": choice,
-        "math": contains_any(low, T.MATH),
-        "sci": style & contains_any(low, T.SCIENCE),
-        "eng": style & contains_any(low, T.ENGINEERING),
-        "hum": style & contains_any(low, T.HUMANITIES),
-        "low_caption": matches_any(question, T.CAPTION_PATTERNS),
+        "math": has(T.MATH),
+        "sci": style & has(T.SCIENCE),
+        "eng": style & has(T.ENGINEERING),
+        "hum": style & has(T.HUMANITIES),
+        "low_caption": matches_any(question, T.CAPTION_PATTERNS, known, found),
+        "topic": has(topic) & (style | has(cues)),
     }
-    bank = bank or {}
-    topic = [x for k in ("subjects", "subfields", "visual_cues") for x in bank.get(k, [])]
-    found["topic"] = contains_any(low, topic) & (style | contains_any(low, bank.get("question_cues", [])))
-    return found
 
 
 def file_ratios(questions: DataFrame, file: str, question: str, bank: dict[str, list[str]] | None = None) -> DataFrame:
     """Shares of the signals and the mean length of the questions of each file."""
-    shares = [F.avg(c.cast("double")).alias(f"{k}_ratio") for k, c in signals(F.col(question), bank).items()]
-    return questions.groupBy(file).agg(F.count("*").alias("sample_n"), *shares, F.avg(F.length(question)).alias("avg_q_len"))
+    rows = questions.select(file, question, known_phrases(bank).found(F.lower(question)).alias("__found"))
+    made = signals(F.col(question), F.col("__found"), bank)
+    shares = [F.avg(c.cast("double")).alias(f"{k}_ratio") for k, c in made.items()]
+    return rows.groupBy(file).agg(F.count("*").alias("sample_n"), *shares, F.avg(F.length(question)).alias("avg_q_len"))
 
 
 def file_scores(ratios: DataFrame, math_weight: float = 0.55) -> DataFrame:

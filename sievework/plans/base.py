@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table that has fewer partitions than there are cores, dealt to all of these, for queries that work long on each row; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch(spark: SparkSession) -> str:
     """A folder of a run's own in the one that the cluster names in spark.checkpoint.dir."""
     return new_folder(spark, "records")

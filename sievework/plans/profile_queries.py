@@ -36,7 +36,7 @@ EXAMPLE_ITEM_ID = "SELECT conv_id, turn, 'chat:conversations:row_' || left(md5(t
 
 
 def _profiled(spark, sf, only=()):
-    return P.with_profile(table(spark, sf, "documents").select("doc_id", "text"), base.candidate(), "p", only=only)
+    return P.with_profile(base.spread(table(spark, sf, "documents").select("doc_id", "text")), base.candidate(), "p", only=only)
 
 
 def _benches(spark, sf):

@@ -15,7 +15,7 @@ SOURCES, SOURCE_WEIGHTS = base.BENCHMARKS, [1.0, 1.0, 1.0]
 
 def _compared(spark, sf, n, backend="token_overlap"):
     b = table(spark, sf, "benchmark").select("item_id", "text", base.pick(SOURCES, F.col("item_id")).alias("benchmark_source"))
-    return matching.compared(table(spark, sf, "documents").select("doc_id", "text"), b, "doc_id", "item_id", n, backend, source="benchmark_source")
+    return matching.compared(base.spread(table(spark, sf, "documents").select("doc_id", "text")), b, "doc_id", "item_id", n, backend, source="benchmark_source")
 
 
 def similarity_top_matches(spark, sf):
@@ -95,7 +95,7 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_nu
 
 def _best(spark, sf):
     """Each document with its nearest item, the item's source, and a family made from its source."""
-    d = table(spark, sf, "documents").select("doc_id", "text", "source")
+    d = base.spread(table(spark, sf, "documents").select("doc_id", "text", "source"))
     b = table(spark, sf, "benchmark").select("item_id", "text")
     # the source goes with the key, so that documents are read once
     keyed = d.select(F.struct("doc_id", "source").alias("key"), "text")
