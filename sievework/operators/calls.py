@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from ..functions.tables import RETRYABLE
 from ..functions.text import md5_modulo
+from ..sources.scratch import written
 
 Transport = Callable[[str, str], tuple[int, str]]
 ANSWERS = "id string, response string, second string, status int, endpoint string, attempts int, stage string, error string"
-#: Words in the body of a 400 that say a request was too long.
+#: Words in the body of a 400 that say a request was too long.
 TOO_LONG = ("too long", "multimodal prompt", "token", "origin_input_ids")
 
 
@@ -101,6 +102,8 @@ def call_one(item: str, payload: str, second: str | None, router: Router, transp
             error = None if status == 200 else f"status {status}"
         except (TimeoutError, ConnectionError) as e:
             status, body, error = None, "", f"{type(e).__name__}: {e}"
+        except Exception as e:  # noqa: BLE001  a caller's transport: an error of this row, not of the job
+            return item, None, None, None, router.endpoints[at], attempt, "llm_request", f"{type(e).__name__}: {e}"
         if error is None:
             break
         if status == 400 and shorten is not None and shortened < retries.shorter and any(x in (body or "").lower() for x in TOO_LONG):
@@ -155,6 +158,53 @@ def called(
     return sent.mapInPandas(run, ANSWERS).unionByName(local).unionByName(invalid)
 
 
+def called_in_lanes(
+    requests: DataFrame, endpoints: list[str], limits: list[int], transport: Transport, retries: Retries | None = None, shorten: Callable[[str, int], str] | None = None, parse: Callable[[str], str] | None = None
+) -> DataFrame:
+    """ANSWERS for requests(id, payload), as a written table, with never more than limits[i] requests at endpoint i at a time, over all tasks.
+
+    An endpoint has as many lanes as its limit. A request is dealt to a lane by its id, a lane is in one task, and a task sends one request at a time. Tries
+    are passes: what failed and may pass goes to lanes of the next endpoint in the next one. A task that Spark runs twice at once would break the limit, so
+    speculation must be off."""
+    retries, spark = retries or Retries(), requests.sparkSession
+    if str(spark.conf.get("spark.speculation", "false")).lower() == "true":
+        raise ValueError("limits of endpoints hold only without speculative tasks")
+    lanes = [(i, k) for i, n in enumerate(limits) for k in range(max(1, n))]
+    first = [sum(max(1, n) for n in limits[:i]) for i in range(len(limits))]
+    one = Retries(0, 0.0, False, retries.shorter)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [x.strip().split(" ")[0] for x in ANSWERS.split(",")]
+        for batch in batches:
+            rows = []
+            for item, payload, second, at, attempt in zip(batch["id"], batch["payload"], batch["second"], batch["endpoint"], batch["attempt"], strict=True):
+                router = Router([endpoints[at]], Pool(1), False)
+                got = call_one(item, payload, None if pd.isna(second) else second, router, transport, one, shorten, parse)
+                rows.append((*got[:5], int(attempt), *got[6:]))
+            yield pd.DataFrame(rows, columns=names).astype({"status": "Int32", "attempts": "int32"})
+
+    key, none = F.col("id").cast("string"), F.lit(None).cast("string")
+    second = F.col("second") if "second" in requests.columns else none
+    todo, made = written(requests.select(key.alias("id"), F.col("payload").cast("string").alias("payload"), second.alias("second")), "requests"), None
+    for attempt in range(1, retries.most + 2):
+        at = route(F.col("id"), len(endpoints), attempt, retries.rotate).cast("int")
+        counts, starts = F.array(*[F.lit(max(1, n)) for n in limits]), F.array(*map(F.lit, first))
+        lane = F.get(starts, F.col("endpoint")) + F.pmod(F.xxhash64("id"), F.get(counts, F.col("endpoint"))).cast("int")
+        dealt = todo.withColumn("endpoint", at).withColumn("attempt", F.lit(attempt)).withColumn("lane", lane)
+        # one partition for each lane, by its number
+        answers = written(dealt.repartitionById(len(lanes), "lane").mapInPandas(run, ANSWERS), "answers")
+        again = F.col("error").isNotNull() & (F.col("stage") == "llm_request") & (F.col("status").isNull() & F.col("error").rlike("^(Timeout|Connection)") | F.col("status").isin(sorted(RETRYABLE)))
+        again = F.coalesce(again, F.lit(False)) if attempt <= retries.most else F.lit(False)
+        done = answers.where(~again)
+        made = done if made is None else made.union(done)
+        left = answers.where(again).select("id")
+        if attempt > retries.most or left.isEmpty():
+            break
+        todo = written(todo.join(left.distinct(), "id", "left_semi"), "requests")
+        time.sleep(retries.backoff * 2 ** (attempt - 1))
+    return made
+
+
 def split(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Results and errors. Write the answers first: a plan that reads them twice would call twice."""
     return answers.where("error is null").select("id", "response"), answers.where("error is not null").select("id", "error", "stage", "attempts")

@@ -84,8 +84,12 @@ def file_scores(ratios: DataFrame, math_weight: float = 0.55) -> DataFrame:
 
 
 def tiers(scores: DataFrame, first: int, second: int, *ties: str) -> DataFrame:
+    """The best files are P0, the next P1, both by a limited sort and with their rank; all others are excluded and have none."""
+    best = scores.orderBy(F.desc("combined_score"), *ties).limit(first + second)
     rank = F.row_number().over(W.orderBy(F.desc("combined_score"), *ties))
-    return scores.withColumn("rank", rank).withColumn("tier", F.when(F.col("rank") <= first, "P0").when(F.col("rank") <= first + second, "P1").otherwise("excluded"))
+    keys = list(ties)
+    ranked = scores.join(F.broadcast(best.select(*keys, rank.alias("rank"))), keys, "left")
+    return ranked.withColumn("tier", F.when(F.col("rank") <= first, "P0").when(F.col("rank") <= first + second, "P1").otherwise("excluded"))
 
 
 def head(df: DataFrame, n: int, file: str, *order: str) -> DataFrame:
@@ -115,4 +119,5 @@ def related(domains: Column, wanted: list[str]) -> Column:
 
 
 def inverted(manifest: DataFrame, file: str = "file", domains: str = "domains") -> DataFrame:
-    return manifest.select(file, F.explode(domains).alias("domain")).groupBy("domain").agg(F.sort_array(F.collect_list(file)).alias("files"))
+    """(domain, file): the different files of each domain. Order it where it is written; a domain may have any number of files."""
+    return manifest.select(F.explode(domains).alias("domain"), file).distinct()

@@ -58,19 +58,21 @@ def finalized(results: DataFrame, folder: str, top_k: int = 1000, per_benchmark:
     line = lambda df, part, name, member, count, value: df.select(F.lit(part).alias("part"), name.alias("name"), member.alias("member"), count.cast("long").alias("count"), value.cast("double").alias("value"))
     none, text = F.lit(None).cast("long"), F.lit("")
 
-    def figures(part: str, *keys: str) -> list[DataFrame]:
+    def figures(part: str, *keys: str) -> DataFrame:
         held = stats.score_stats(rows, score, *keys)
         name = F.coalesce(F.col(keys[0]), text) if keys else F.lit("all")
-        return [line(held, part, name, F.lit(k), F.col("count"), F.col(k)) for k in ("min", "max", "mean", "p50", "p90", "p95")]
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("member"), F.col(k).alias("value")) for k in ("min", "max", "mean", "p50", "p90", "p95")]))
+        held = held.select(name.alias("name"), "count", each.alias("x"))
+        return line(held, part, F.col("name"), F.col("x.member"), F.col("count"), F.col("x.value"))
 
-    parts = [*figures("score_stats"), *figures("source_stats", "source_name"), *figures("source_family_stats", "family")]
+    parts = [figures("score_stats"), figures("source_stats", "source_name"), figures("source_family_stats", "family")]
     parts.append(line(known.groupBy("best_benchmark_source").count(), "best_benchmark_source_counts", F.col("best_benchmark_source"), text, F.col("count"), none))
     for part, df, keys in (("recommended_source_mix", top, []), ("recommended_source_mix_by_benchmark", best, ["best_benchmark_source"]), ("recommended_source_mix_by_benchmark_skill", skilled, ["key"])):
         parts.append(line(stats.mix(df, "family", *keys), part, F.col(keys[0]) if keys else F.lit("all"), F.col("family"), F.col("count"), F.col("fraction")))
     summary = parts[0]
     for p in parts[1:]:
         summary = summary.union(p)
-    summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+    summary.write.mode("overwrite").json(f"{folder}/summary")
     return results.sparkSession.read.schema("part string, name string, member string, count long, value double").json(f"{folder}/summary")
 
 
@@ -138,7 +140,7 @@ def tuning_outputs(tagged: DataFrame, folder: str) -> DataFrame:
     named.where("tags.keep").drop("tags").write.mode("overwrite").partitionBy("file").json(f"{folder}/filtered")
     fields = {"family": "source_family", "duration": "duration_bucket", "skill": "skill_bucket", "keep_reason": "keep_reason", "drop_reason": "drop_reason"}
     counts = stats.grouped_counts(named.select("file", *[F.col(f"tags.{v}").alias(k) for k, v in fields.items()]), "file", list(fields))
-    counts.coalesce(1).write.mode("overwrite").json(f"{folder}/summary")
+    counts.write.mode("overwrite").json(f"{folder}/summary")
     return counts
 
 

@@ -240,7 +240,7 @@ def file_tiering(spark, sf):
 
 
 TIERING = f"""{_sql_signals()}, k AS (SELECT file, round(combined_score, 6) AS combined_score FROM scores), n AS (SELECT *, CAST(row_number() OVER (ORDER BY combined_score DESC, file) AS INT) AS rank FROM k)
-SELECT *, CASE WHEN rank <= 5 THEN 'P0' WHEN rank <= 9 THEN 'P1' ELSE 'excluded' END AS tier FROM n"""
+SELECT file, combined_score, CASE WHEN rank <= 9 THEN rank END AS rank, CASE WHEN rank <= 5 THEN 'P0' WHEN rank <= 9 THEN 'P1' ELSE 'excluded' END AS tier FROM n"""
 
 _EXACT, _CONTENT, _PREFIXES = {"src0.jsonl": ["math", "science"], "src1.jsonl": ["art"]}, {"tion": ["nouns"], "que": ["french", "grammar"], "sch": ["german"]}, ["src1", "src2", "src3"]
 
@@ -257,7 +257,7 @@ def domain_manifest(spark, sf):
 
 
 def domain_to_files(spark, sf):
-    return files.inverted(_manifest(spark, sf)).select("domain", F.array_join("files", ";").alias("files"))
+    return files.inverted(_manifest(spark, sf))
 
 
 _MANIFEST = f"""WITH s AS (SELECT source || '.jsonl' AS file, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5),
@@ -265,7 +265,7 @@ c AS (SELECT file, lower(string_agg(text, ' ' ORDER BY doc_id)) AS content FROM
 d AS (SELECT file, CASE WHEN file = 'src0.jsonl' THEN ['math', 'science'] WHEN file = 'src1.jsonl' THEN ['art'] WHEN {' OR '.join(f"starts_with(file, '{p}')" for p in _PREFIXES)}
  THEN list_concat(['general'], {', '.join(f"CASE WHEN contains(content, '{k}') THEN {sql_list(v)} ELSE [] END" for k, v in _CONTENT.items())}) ELSE ['general'] END AS domains FROM c)"""
 MANIFEST = f"{_MANIFEST} SELECT file, array_to_string(list_sort(domains), ';') AS domains, list_contains(domains, 'math') AS math_related, list_has_any(domains, ['art', 'science']) AS mmmu_related FROM d"
-INVERTED = f"{_MANIFEST} SELECT domain, string_agg(file, ';' ORDER BY file) AS files FROM (SELECT file, unnest(domains) AS domain FROM d) GROUP BY domain"
+INVERTED = f"{_MANIFEST} SELECT DISTINCT domain, file FROM (SELECT file, unnest(domains) AS domain FROM d)"
 
 # -- resuming, routing, early stop ----------------------------------------------------------------------------------------------------
 

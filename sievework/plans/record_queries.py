@@ -141,9 +141,9 @@ def answer_prompts(spark, sf):
 
 
 _STRIPPED = r"regexp_replace(regexp_replace(text, '^\s+', ''), '\s+$', '')"
-PROMPTS = f"""WITH p AS (SELECT doc_id, lang, 'Part A – Image and Question (use only this for necessity):' || E'\\nQuestion:\\n' || {_STRIPPED} AS a FROM documents)
+PROMPTS = f"""WITH p AS (SELECT doc_id, lang, 'Picture and question, to judge whether the picture is needed.' || E'\\nThe question: ' || {_STRIPPED} AS a FROM documents)
 SELECT doc_id, md5(CASE WHEN length(a) > 400 THEN left(a, 400) || E'\\n\\n[truncated]' ELSE a END) AS first,
- 'Part B – Answer (use Part A + Part B for relevance):' || E'\\nAnswer:\\n' || CASE WHEN doc_id % 3 > 0 THEN lang ELSE '(empty)' END AS second FROM p"""
+ 'Answer, to judge with the above whether all of it belongs together.' || E'\\nThe answer: ' || CASE WHEN doc_id % 3 > 0 THEN lang ELSE '(empty)' END AS second FROM p"""
 
 
 def bucket_examples(spark, sf):

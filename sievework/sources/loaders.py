@@ -84,9 +84,12 @@ def evaluation_samples(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def tuning_rows(spark: SparkSession, pattern: str) -> DataFrame:
-    """Fine-tuning records of all files that match: input_name, position, id, images_source, messages. No file at all is an error."""
-    rows = json_lines(spark, [pattern], f"id string, images_source array<string>, {MESSAGES}")
-    return rows.select(base_name("path").alias("input_name"), "position", "id", "images_source", "messages")
+    """Fine-tuning records of all files that match: input_name, line_number (from 1, blank lines counted), id, images_source, messages. No file at all is an error."""
+    if not readers.exists(spark, pattern):
+        raise FileNotFoundError(pattern)
+    lines = readers.numbered_lines(spark, [pattern]).where(F.try_parse_json("value").isNotNull() & stripped(F.col("value")).startswith("{"))
+    parsed = F.from_json("value", T.StructType.fromDDL(f"id string, images_source array<string>, {MESSAGES}"))
+    return lines.select(base_name("path").alias("input_name"), "line_number", parsed.alias("r")).select("input_name", "line_number", "r.id", "r.images_source", "r.messages")
 
 
 def heads(spark: SparkSession, paths: list[str], most: int, filled: bool) -> DataFrame:
@@ -97,6 +100,17 @@ def heads(spark: SparkSession, paths: list[str], most: int, filled: bool) -> Dat
     return head(rows.where("question <> ''") if filled else rows, most, "file", "position").select("file", "question")
 
 
+def judged_rows(spark: SparkSession, folder: str, schema: str | T.StructType, most: int = 0) -> DataFrame:
+    """Records of a folder's judged files (`*_judged*.jsonl`): their fields, with file and line_number; `most` keeps the first ones by file and line."""
+    pattern = f"{folder.rstrip('/')}/*_judged*.jsonl"
+    if not readers.exists(spark, pattern):
+        raise FileNotFoundError(pattern)
+    found = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = readers.numbered_lines(spark, [pattern]).where(F.try_parse_json("value").isNotNull() & stripped(F.col("value")).startswith("{"))
+    rows = lines.select(base_name("path").alias("file"), "line_number", F.from_json("value", found).alias("r")).select("r.*", "file", "line_number")
+    return rows.orderBy("file", "line_number").limit(most) if most > 0 else rows
+
+
 # -- lists of files -----------------------------------------------------------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from ..functions.text import similarity_text, stem
@@ -136,6 +137,20 @@ def examples(spark: SparkSession, spec: SourceSpec, include_context: bool = Fals
     return out.where("similarity_text <> ''")
 
 
+def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, line_number, value) of all lines of text files, numbered from 1 in each file, blank lines counted too.
+
+    Files are read in blocks by many tasks: a first pass counts the lines of each block, sums over a file's blocks say where each begins, and a
+    second pass numbers. Only one row for each block is shuffled."""
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
+    lines = spark.read.text(paths).select(*place, "value", F.monotonically_increasing_id().alias("at"))
+    blocks = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = blocks.select("path", "block", "first", before.alias("before"))
+    # as many rows as there are blocks: some millions at most, below which they are sent to all tasks
+    return lines.join(F.broadcast(starts), ["path", "block"]).select("path", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_number"), "value")
+
+
 def line_counts(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, total_lines, filled_lines): all lines, and those that are not blank."""
     lines = spark.read.text(paths).select(F.col("_metadata.file_name").alias("file"), "value")

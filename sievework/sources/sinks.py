@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.resume import accepted
 
@@ -11,16 +12,35 @@ AUDIT = ("_clean_verdict", "_clean_keep")
 
 
 def append_results(results: DataFrame, path: str, done: DataFrame, key: str = "id") -> None:
-    """Appends rows of new ids as JSON lines; the first of equal ids counts."""
-    accepted(results, done, key, key).write.mode("append").json(path)
+    """Appends rows of new ids as JSON lines; of equal ids the first row by its text counts."""
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in results.columns]))
+    accepted(results.withColumn("__whole", whole), done, key, key, "__whole").drop("__whole").write.mode("append").json(path)
+
+
+def truthy(df: DataFrame, name: str) -> Column:
+    """Whether a column holds something: true, a number other than 0, a text, list, map or struct that is not empty."""
+    kind, x = df.schema[name].dataType, F.col(f"`{name}`")
+    if isinstance(kind, T.BooleanType):
+        held = x
+    elif isinstance(kind, T.NumericType):
+        held = x != 0
+    elif isinstance(kind, (T.ArrayType, T.MapType)):
+        held = F.size(x) > 0
+    elif isinstance(kind, T.StringType):
+        held = x != ""
+    else:
+        held = x.isNotNull()
+    return F.coalesce(held, F.lit(False))
 
 
 def split_clean_dirty(judged: DataFrame, clean: str, dirty: str, keep: Column | None = None) -> tuple[int, int]:
     """Kept rows without the audit columns, the others with them; returns both counts. judged should be a written table."""
-    stays = F.coalesce(keep if keep is not None else F.col("_clean_keep"), F.lit(False))
-    judged.where(stays).drop(*AUDIT).write.mode("overwrite").json(clean)
-    judged.where(~stays).write.mode("overwrite").json(dirty)
-    counts = judged.agg(F.count_if(stays), F.count_if(~stays)).first()
+    stays = F.coalesce(keep, F.lit(False)) if keep is not None else truthy(judged, "_clean_keep")
+    counts = []
+    for part, path, dropped in ((judged.where(stays), clean, AUDIT), (judged.where(~stays), dirty, ())):
+        seen = Observation()
+        part.drop(*dropped).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+        counts.append(seen.get["rows"])
     return counts[0], counts[1]
 
 
