@@ -1,10 +1,11 @@
 """Main text of web pages by text-to-tag ratios.
 
 The standard library's parser streams tags and text; a page becomes lines, one for each block with text. A line's ratio is its
-characters per tag. Ratios are smoothed with a Gaussian along the page, and a threshold from their spread clusters lines into content
-and the rest. Content lines select the region: the article or main element that holds most of their characters, or else the deepest element that holds
-all of them; its lines make the text, so that short paragraphs between long ones and short sections stay. Where that element is the whole page, the region goes from the first to the last content line,
-without lines that are mostly links.
+characters per tag, taken as a logarithm. Ratios are smoothed with a Gaussian along the page, and two means cluster them: the threshold is midway.
+A line's weight is how far it is above or below the threshold, times its characters and some more. The block whose lines have the largest sum of
+weights is the region, of equal ones the deepest: it takes short lines along if they are cheap for what they lie between, and leaves out what only costs. A paragraph
+or another piece gives way to the block around it where that has half as much or more. Where the region is the whole page, it goes from the first to the last content line,
+without lines that are mostly links. All lines of the region make the text, as the contract drops nothing inside.
 
 Lines in elements that are no content by their name, role or state (menus, forms, adverts, hidden ones, ...) are vetoed, and so are those in blocks
 whose class or id says so (comments, sidebars, ...), but for blocks that such a word only describes, like a layout with a sidebar: a block with half
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-SIGMA, SHARE, LINKS = 1.5, 0.75, 0.6
+SIGMA, LINKS = 1.5, 0.6
+#: Characters that a line's weight counts besides its own; what the block around a piece has at least of its weight.
+BASE, NEARLY = 5, 0.5
 
 # Names in HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -152,7 +155,8 @@ class Lines(HTMLParser):
             self.dropped += not data.isspace()
             return
         self.parts.append(data)
-        if any(self.kinds[x] == "a" for x in self.stack[-4:]):
+        # a link counts however deep the text is in it, but not beyond the block around its own block, as it may never be closed
+        if self.open.get("a") and self.open["a"][-1] > (self.blocks[-2] if len(self.blocks) > 1 else -1):
             self.linked += len(data)
 
     def _is_noise(self, tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
@@ -212,6 +216,19 @@ def smoothed(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(x, kernel, "same") / held
 
 
+def midway(x: np.ndarray) -> float:
+    """Midway between the two means that cluster x best, from its ends on."""
+    low, high = float(x.min()), float(x.max())
+    for _ in range(32):
+        below = x < (low + high) / 2
+        if not below.any():
+            break
+        before, low, high = (low, high), float(x[below].mean()), float(x[~below].mean())
+        if before == (low, high):
+            break
+    return (low + high) / 2
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -223,26 +240,21 @@ def main_text(html: str | None) -> str:
     noise = _vetoed(page, size)
     if noise.all():
         return ""
-    ratio = np.where(noise, 0.0, size / np.maximum([x[1] for x in lines], 1))
-    smooth = smoothed(ratio)
-    threshold = min(smooth[~noise].max(), smooth.std())
-    content = ~noise & (smooth >= threshold)
-    held = np.concatenate(([0.0], np.cumsum(np.where(content, size, 0.0))))
-    blocks = np.array([i for i, kind in enumerate(page.kinds) if kind in BLOCK], np.int64)
-    inside = held[np.array(page.end, np.int64)[blocks]] - held[np.array(page.first, np.int64)[blocks]] if len(blocks) else held[:0]
-    # elements are numbered in page order, so of those that hold enough the last opened one is the deepest
-    deepest = lambda share: int(max(blocks[inside >= share * held[-1]], default=-1))
-    # an article or main element that holds it is taken whole; elsewhere the smallest element with every content line
-    article = deepest(SHARE)
-    while article >= 0 and page.kinds[article] not in ("article", "main"):
-        article = page.above[article]
-    if article < 0:
-        article = deepest(1)
-    while article >= 0 and page.kinds[article] in PIECES:
-        article = page.above[article]
-    first, end = (page.first[article], page.end[article]) if article >= 0 else (0, len(lines))
+    smooth = smoothed(np.log1p(np.where(noise, 0.0, size / np.maximum([x[1] for x in lines], 1))))
+    threshold = midway(smooth)
+    total = np.concatenate(([0.0], np.cumsum((smooth - threshold) * (size + BASE))))
+    weight = lambda e: total[page.end[e]] - total[page.first[e]] if e >= 0 else total[-1]
+    # elements are numbered in page order, so of equal ones the last is the deepest; -1 is the page
+    region, most = -1, total[-1]
+    for e in range(len(page.kinds)):
+        if page.kinds[e] in BLOCK and weight(e) >= most - 1e-9 * abs(most):
+            region, most = e, weight(e)
+    while region >= 0 and page.kinds[region] in PIECES and weight(page.above[region]) >= NEARLY * most:
+        region = page.above[region]
+    first, end = (page.first[region], page.end[region]) if region >= 0 else (0, len(lines))
     chosen = [i for i in range(first, end) if not noise[i]]
-    if article < 0 or page.kinds[article] in ("body", "html"):
+    content = ~noise & (smooth >= threshold)
+    if (region < 0 or page.kinds[region] in ("body", "html")) and content.any():
         first, last = np.nonzero(content)[0][[0, -1]]
         while first > 0 and not noise[first - 1] and lines[first - 1][3] >= 0 and page.kinds[lines[first - 1][3]] in ("h1", "h2", "h3"):
             first -= 1

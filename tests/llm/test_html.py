@@ -95,3 +95,40 @@ def test_empty_table_and_columns_of_any_name(spark, tmp_path):
     assert html.extracted(rows).columns == ["page_id", "url", "row", "__text"] and html.extracted(rows).first()["__text"] == "x"
     folder = saved(spark, tmp_path, pages=rows.limit(0))
     assert html.op7_html_text(spark, folder).count() == 0
+
+
+def test_ratios_choose_the_region():
+    """Pages without telling names: only ratios can tell the text from the short lines around it."""
+    long = "A sentence of the article that says one thing after another, and goes on. "
+    article = "".join(f"<p>{long * (2 + k % 3)}</p>" + ("<p>Short.</p>" if k == 3 else "") for k in range(8))
+    text = "\n".join(x for k in range(8) for x in [(long * (2 + k % 3)).strip(), *(["Short."] if k == 3 else [])])
+    before = "<div>" + "".join(f"<div><span><b>Item {k}</b></span></div>" for k in range(9)) + "</div>"
+    after = "<div>" + "".join(f"<div><i>Word {k}</i><br><i>more</i></div>" for k in range(12)) + "</div>"
+    for wrap in ("<div>{}</div>", "<div><div>{}</div></div>", "<table><tr><td><div>{}</div></td></tr></table>"):
+        assert html.main_text(page(before + wrap.format(article) + after)) == text
+
+
+def test_other_ratios_choose_other_lines(data):
+    import numpy as np
+    import pyarrow.parquet as pq
+
+    pages = pq.read_table(f"{data}/pages.parquet").column("html").to_pylist()
+    found, smoothed, rng = [html.main_text(x) for x in pages], html.smoothed, np.random.default_rng(1)
+    try:
+        html.smoothed = lambda x: rng.random(len(x))
+        other = [html.main_text(x) for x in pages]
+    finally:
+        html.smoothed = smoothed
+    assert sum(a != b for a, b in zip(found, other)) > len(pages) / 2
+
+
+def test_links_count_however_deep_they_are():
+    links = "<div>" + "".join(f"<div><a href=/{k}><span><b><i><u><em>{'A long title of some other page to go to' * 2} {k}</em></u></i></b></span></a></div>" for k in range(3)) + "</div>"
+    body = "<p>" + "The only text of the page. " * 30 + "</p>"
+    assert html.main_text(page(links + body)) == ("The only text of the page. " * 30).strip()
+
+
+def test_many_short_lines_stay_with_a_long_one():
+    short = "".join("<p>Word ok</p>" for _ in range(170))
+    got = html.main_text(page(NOISE["nav"] + f"<div><h1>The title of this page</h1><p>{'Words and words. ' * 300}</p>{short}</div>" + AFTER["footer"]))
+    assert got.split("\n") == ["The title of this page", ("Words and words. " * 300).strip(), *["Word ok"] * 170]
