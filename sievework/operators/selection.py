@@ -40,14 +40,16 @@ def limited(df: DataFrame, source: str, per_source: int, *order: str) -> DataFra
     return df.withColumn("__n", F.row_number().over(W.partitionBy(source).orderBy(*order))).where(F.col("__n") <= per_source).drop("__n")
 
 
-def sources_in_turn(sources: list[DataFrame], key: Column, per_source: int, total: int, *order: str) -> DataFrame:
-    """Union of sources in order, without texts that an earlier source has used up within its own limit."""
+def sources_in_turn(sources: list[DataFrame], key: Column | None, per_source: int | list[int], total: int, *order: str) -> DataFrame:
+    """Union of sources in order, without texts that an earlier source has used up within its own limit; all texts, where there is no key. Limits of 0 are none."""
     accepted: DataFrame | None = None
     for n, df in enumerate(sources):
-        rows = df.withColumn("__key", key).withColumn("__source", F.lit(n))
-        if accepted is not None:
-            rows = rows.join(accepted.select("__key").distinct(), "__key", "left_anti").select(*accepted.columns)
-        rows = limited(first_of(rows, ["__key"], *order), "__source", per_source, *order)
+        rows = df.withColumn("__key", key if key is not None else F.lit(None).cast("string")).withColumn("__source", F.lit(n))
+        if key is not None:
+            if accepted is not None:
+                rows = rows.join(accepted.select("__key").distinct(), "__key", "left_anti").select(*accepted.columns)
+            rows = first_of(rows, ["__key"], *order)
+        rows = limited(rows, "__source", per_source[n] if isinstance(per_source, list) else per_source, *order)
         accepted = rows if accepted is None else accepted.unionByName(rows)
     out = accepted.orderBy("__source", *order).limit(total) if total > 0 else accepted
     return out.drop("__key", "__source")

@@ -151,6 +151,19 @@ def records_of_all_kinds(spark, sf):
 KINDS = "SELECT n AS source_name, s_suppkey::VARCHAR AS source_record_id, s_name AS question FROM supplier, (VALUES ('j'), ('p'), ('c')) v(n)"
 
 
+def examples_of_sources(spark, sf):
+    """Two sources with limits of their own, of which the second brings what the first has not taken."""
+    spec = lambda name, limit: readers.SourceSpec(name, [f"{sf}/documents.parquet"], ids=["doc_id"], questions=["text"], answers=["lang"], metadata=["source"], limit=limit)
+    found = loaders.sourced(spark, [spec("videocapqa", 300), spec("longcapqa", 0)], "candidate")
+    return found.select("source_name", F.col("source_record_id").cast("long").alias("doc_id"), "profile.source_family", "profile.duration_bucket", "profile.role", F.element_at("metadata", "source").alias("source"))
+
+
+_TEXT_KEY = r"lower(regexp_replace(trim('Question: ' || trim(text, E' \t\n\r\f\x0b') || CASE WHEN coalesce(lang, '') <> '' THEN E'\nAnswer: ' || lang ELSE '' END), '\s+', ' ', 'g'))"
+SOURCED = f"""WITH d AS (SELECT doc_id, doc_id::VARCHAR AS id, source, {_TEXT_KEY} AS k FROM documents), o AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY k ORDER BY id) = 1),
+a AS (SELECT * FROM o ORDER BY id LIMIT 300), b AS (SELECT * FROM d WHERE k NOT IN (SELECT k FROM a) QUALIFY row_number() OVER (PARTITION BY k ORDER BY id) = 1)
+SELECT 'videocapqa' AS source_name, doc_id, 'capqa' AS source_family, 'unknown' AS duration_bucket, 'candidate' AS role, source FROM a UNION ALL SELECT 'longcapqa', doc_id, 'longcapqa', 'long', 'candidate', source FROM b"""
+
+
 def truthy_split(spark, sf):
     """Rows split by a column that is no boolean: 0, null and the empty text drop a row."""
     folder = scratch(spark)
@@ -189,6 +202,7 @@ _ALL = {
     "head_questions": (head_questions, HEADS),
     "records_of_all_kinds": (records_of_all_kinds, KINDS),
     "truthy_split": (truthy_split, TRUTHY),
+    "examples_of_sources": (examples_of_sources, SOURCED),
     "task_run": (task_run, TASK),
 }
 QUERIES = {k: q for k, (q, _) in _ALL.items()}

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import caption, messages
-from ..functions.text import base_name, squeezed, stripped
+from ..functions import caption, messages, profiles
+from ..functions.text import base_name, normalized, squeezed, stripped
 from ..operators.files import head
+from ..operators.selection import sources_in_turn
 from . import readers
 
 MESSAGES = "messages array<struct<role string, content string>>"
@@ -111,6 +112,30 @@ def judged_rows(spark: SparkSession, folder: str, schema: str | T.StructType, mo
     return rows.orderBy("file", "line_number").limit(most) if most > 0 else rows
 
 
+def sourced(
+    spark: SparkSession, specs: list[readers.SourceSpec], role: str = "candidate", most: int = 0, include_context: bool = False, most_chars: int = 0, once: bool = True, skip_missing: bool = False,
+    overrides: dict[str, dict[str, Column]] | None = None,
+) -> DataFrame:
+    """Examples of several sources with their profiles, under a role (candidate or benchmark), in the order of the sources and of ids.
+
+    Each source stops at its own limit and all together at `most`; `once` keeps the first of examples with equal texts, where only texts that were taken count. Sources without files are skipped
+    or an error; so is a result without examples. overrides: fields of profiles by the source's name."""
+    if role not in ("candidate", "benchmark"):
+        raise ValueError(f"no role {role!r}")
+    held = [s for s in specs if not skip_missing or any(readers.exists(spark, p) for p in s.paths)]
+    if not held:
+        raise FileNotFoundError(", ".join(p for s in specs for p in s.paths) or "no sources")
+    parts = []
+    for spec in held:
+        rows = readers.examples(spark, spec, include_context, most_chars, skip_missing)
+        record = profiles.Record(F.col("question"), F.col("answer"), F.col("source_name"), F.col("context"), {k: F.col("metadata")[k] for k in spec.metadata}, role == "benchmark")
+        parts.append(profiles.with_profile(rows, record, overrides=(overrides or {}).get(spec.name)))
+    found = sources_in_turn(parts, normalized("similarity_text") if once else None, [s.limit for s in held], most, "id")
+    if found.isEmpty():
+        raise ValueError(f"no {role} examples in {', '.join(s.name for s in held)}")
+    return found
+
+
 # -- lists of files -----------------------------------------------------------------------------------------------------------------
 
 

@@ -125,3 +125,19 @@ def test_truthy_columns(spark):
     rows = spark.createDataFrame([(True, 1, "a", [1], 0.0), (False, 0, "", [], 2.0), (None, None, None, None, None)], "b boolean, n int, t string, l array<int>, d double")
     got = [tuple(r) for r in rows.select(*[sinks.truthy(rows, c).alias(c) for c in rows.columns]).collect()]
     assert got == [(True, True, True, True, False), (False, False, False, False, True), (False,) * 5]
+
+
+def test_sources_with_roles_and_limits(spark, tmp_path):
+    spark.createDataFrame([("1", "a?"), ("2", "b?"), ("3", "c?")], "id string, question string").coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
+    spark.createDataFrame([("7", "B?"), ("8", "C?"), ("9", " "), ("x", "d?")], "id string, question string").coalesce(1).write.parquet(f"{tmp_path}/two.parquet")
+    spec = lambda name, limit=0: readers.SourceSpec(name, [f"{tmp_path}/{name}.parquet"], limit=limit)
+    got = loaders.sourced(spark, [spec("one", 2), spec("none"), spec("two")], "benchmark", skip_missing=True)
+    assert sorted((r.source_name, r.source_record_id, r.profile.role) for r in got.collect()) == [("one", "1", "benchmark"), ("one", "2", "benchmark"), ("two", "8", "benchmark"), ("two", "x", "benchmark")]
+    assert loaders.sourced(spark, [spec("one"), spec("two")], once=False).count() == 6 and loaders.sourced(spark, [spec("one"), spec("two")], most=4).count() == 4
+    with pytest.raises(FileNotFoundError):
+        loaders.sourced(spark, [spec("one"), spec("none")])
+    spark.createDataFrame([("9", " ")], "id string, question string").write.parquet(f"{tmp_path}/blank.parquet")
+    with pytest.raises(ValueError, match="no candidate examples"):
+        loaders.sourced(spark, [spec("blank")])
+    with pytest.raises(ValueError, match="role"):
+        loaders.sourced(spark, [spec("one")], "judge")

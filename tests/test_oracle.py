@@ -1,4 +1,4 @@
-"""Every query with SQL must equal DuckDB on the smallest tables."""
+"""Every query with SQL must equal DuckDB."""
 
 import math
 import os
@@ -9,7 +9,7 @@ import pytest
 
 from sievework.plans import catalog
 
-from .conftest import DATA
+DATA = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
