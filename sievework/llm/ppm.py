@@ -7,8 +7,8 @@ training rows (pretrained); the code length of a text is summed over all its byt
 
 The probability of a byte after a context depends on these ORDER + 1 bytes alone, so each different gram is worked out once. Texts
 are dealt to blocks of bounded size. A block asks for its different grams and words; counts of all blocks are added up; tasks that
-hold a share of the contexts grow the trie of that share and work out its grams (all contexts with the same last two bytes are
-together; counts of shorter ones, 65536 at most, go to all); the answers go back to the blocks that asked. No task holds the whole
+hold a share of the contexts grow the trie of that share and work out its grams (all contexts with the same last three bytes are
+together; counts of shorter grams go to all tasks, 2^24 at most and in UTF-8 text far fewer); the answers go back to the blocks that asked. No task holds the whole
 model and none is broadcast.
 
 Words are compared by 63-bit fingerprints.
@@ -126,11 +126,11 @@ class Trie:
     then the byte; a node of order j is the last j + 1 bytes, and its parent context the last j of the context."""
 
     def __init__(self, grams: np.ndarray, n: np.ndarray, shorter: tuple[np.ndarray, np.ndarray]) -> None:
-        """shorter: counts of all grams of two bytes, also of other shares."""
+        """shorter: counts of all grams of three bytes, also of other shares."""
         seen = n > 0
         self.levels = []
         for order in range(ORDER + 1):
-            keys, counts = (grams[seen], n[seen]) if order > 1 else shorter
+            keys, counts = (grams[seen], n[seen]) if order > 2 else shorter
             nodes, counts = _merged(keys & ((1 << 8 * (order + 1)) - 1), counts)
             contexts, distinct = _merged(nodes >> 8, np.ones(len(nodes), np.int64))
             _, totals = _merged(nodes >> 8, counts)
@@ -227,9 +227,9 @@ def scores(docs: DataFrame, out) -> DataFrame:
     asked = written(rows.repartition(min(blocks, 4 * width), "block").mapInArrow(_asked, _ASKED), "asked")
     totals = written(asked.groupBy("key").agg(F.sum("n").alias("n")), "totals")
     tokens = totals.where("key < 0 and n > 0").agg(F.sum("n"), F.count("*")).first()
-    pairs = totals.where("key >= 0 and n > 0").groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key")).agg(F.sum("n").alias("n")).collect()
-    shorter = (np.array([r.key for r in pairs], np.int64), np.array([r.n for r in pairs], np.int64))
-    grams = totals.where("key >= 0").withColumn("ends", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
+    known = totals.where("key >= 0 and n > 0").groupBy(F.col("key").bitwiseAND(F.lit(0xFFFFFF)).alias("key")).agg(F.sum("n").alias("n")).toArrow()
+    shorter = (known.column("key").to_numpy(), known.column("n").to_numpy())
+    grams = totals.where("key >= 0").withColumn("ends", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFFFF)))
     # a task grows the trie of a few million grams, however many there are
     model = grams.repartition(max(width, -(-totals.count() // SHARE)), "ends").select("key", "n").mapInArrow(_worked_out(shorter), "key long, value double")
     values = model.union(totals.where("key < 0").select("key", F.col("n").cast("double").alias("value")))
