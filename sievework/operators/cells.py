@@ -41,7 +41,8 @@ def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Vectors of this width as a matrix, and which rows have one."""
     held = column.to_pylist()
     good = np.array([x is not None and len(x) == width and None not in x for x in held], bool)
-    return np.array([x for x, g in zip(held, good, strict=True) if g], float).reshape(-1, width), np.nonzero(good)[0]
+    at = np.nonzero(good & (width > 0))[0]
+    return np.array([held[i] for i in at], float).reshape(len(at), width), at
 
 
 def centres(rows: DataFrame, vector: str, cells: int | None = None, sample: int = SAMPLE, rounds: int = ROUNDS) -> np.ndarray:
