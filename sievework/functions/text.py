@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -13,6 +13,11 @@ def col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(x: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once a row: used by name in several places, Catalyst would write it out in each of them."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
 def squeezed(x: Column | str) -> Column:
     """White space runs of any script to one space, none at the ends."""
     return F.trim(F.regexp_replace(col(x), r"(?U)\s+", " "))

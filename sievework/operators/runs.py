@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tables as T
-from ..functions.text import normalized, similarity_text, slug, squeezed
+from ..functions.text import normalized, once, similarity_text, slug, squeezed
 from . import buckets, sft, stats
 from .selection import best_per_id
 
@@ -118,19 +118,23 @@ def selector_outputs(selected: DataFrame, priorities: DataFrame, folder: str, me
 
 def tuning_tags(path: Column, questions: Column, input_name: Column) -> Column:
     """The twelve tags of a fine-tuning row: where it comes from, what it asks, whether it stays and why, and what it trains."""
-    family, duration = sft.family_of_path(path), sft.duration_of_file(input_name)
-    skills = F.transform(questions, lambda q: sft.question_skill(normalized(q), family))
-    kinds = F.array_sort(F.array_distinct(skills))
-    counts = F.map_from_entries(F.transform(kinds, lambda s: F.struct(s, F.size(F.filter(skills, lambda x: x == s)))))
-    skill = sft.dominant_skill(skills, family)
-    decision = sft.keep_decision(family, skill, skills)
-    name = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in T.SOURCE_NAMES.items() for x in pair]), family), F.lit(""))
-    targets = F.when(decision["keep"], sft.target_buckets(duration, skill)).otherwise(F.array().cast("array<string>"))
-    return F.struct(
-        input_name.alias("input_name"), path.alias("source_path"), family.alias("source_family"), name.alias("source_name"), duration.alias("duration_bucket"), F.size(questions).alias("question_count"),
-        counts.alias("question_skill_counts"), skill.alias("skill_bucket"), decision["keep"].alias("keep"), decision["keep_reason"].alias("keep_reason"), decision["drop_reason"].alias("drop_reason"),
-        targets.alias("target_buckets"),
-    )
+
+    def tags(family: Column, skills: Column) -> Column:
+        return once(F.struct(sft.dominant_skill(skills, family).alias("skill"), F.array_sort(F.array_distinct(skills)).alias("kinds")), lambda x: judged(family, skills, x["skill"], x["kinds"]))
+
+    def judged(family: Column, skills: Column, skill: Column, kinds: Column) -> Column:
+        counts = F.map_from_entries(F.transform(kinds, lambda s: F.struct(s, F.size(F.filter(skills, lambda x: x == s)))))
+        name = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in T.SOURCE_NAMES.items() for x in pair]), family), F.lit(""))
+        duration = sft.duration_of_file(input_name)
+        whole = lambda d: F.struct(
+            input_name.alias("input_name"), path.alias("source_path"), family.alias("source_family"), name.alias("source_name"), duration.alias("duration_bucket"), F.size(skills).alias("question_count"),
+            counts.alias("question_skill_counts"), skill.alias("skill_bucket"), d["keep"].alias("keep"), d["keep_reason"].alias("keep_reason"), d["drop_reason"].alias("drop_reason"),
+            F.when(d["keep"], sft.target_buckets(duration, skill)).otherwise(F.array().cast("array<string>")).alias("target_buckets"),
+        )
+        return once(sft.keep_decision(family, skill, skills), whole)
+
+    skills = lambda family: F.transform(questions, lambda q: once(normalized(q), lambda text: sft.question_skill(text, family)))
+    return once(sft.family_of_path(path), lambda family: once(skills(family), lambda found: tags(family, found)))
 
 
 def tuning_outputs(tagged: DataFrame, folder: str) -> DataFrame:
