@@ -362,6 +362,11 @@ def caption_prompt(spark, sf):
     return rows.select("item_id", caption.prompt(F.col("video_id"), F.col("seconds"), F.col("events"), caption.structured(F.col("sections"))).alias("prompt"))
 
 
+_LINES = """string_agg((i + 1) || '. ' || CASE WHEN end_sec IS NULL THEN '[point ~' || start_sec || 's] ' ELSE '[range ' || start_sec || '-' || end_sec || 's] ' END || left(description, 250), E'\\n' ORDER BY i)"""
+CAPTION_PROMPT = f"""WITH ev AS ({CAPTION_EVENTS}), se AS ({SECTIONS}), li AS (SELECT item_id, {_LINES} AS lines FROM ev WHERE i < 15 GROUP BY item_id)
+SELECT item_id, '{caption.TEMPLATE.format(video="' || video_id || '", seconds="' || seconds || '", segments="' || coalesce(lines, '') || '", caption="' || left(structured, 3000) || '", questions=5)}' AS prompt FROM se LEFT JOIN li USING (item_id)"""
+
+
 def caption_reply_lists(spark, sf):
     reply = F.concat(F.lit('```json\n{"temporal_grounding": [{"query": "q", "answer": "a", "start_sec": "1.5"}, {"answer": "x"}, 3], "segment_qa": {}, "understanding_qa": [{"question": "u", "answer": "v", "category": "c'), F.col("item_id"), F.lit('"}]}\n```'))
     v = caption.reply_lists(F.when(F.col("item_id") % 4 == 0, F.lit("none")).otherwise(reply))
@@ -393,6 +398,11 @@ def judge_stub_pipeline(spark, sf):
     return answers.select("id", "endpoint", "attempts", "error", verdict.parsed(F.col("response"))["necessity_score"].alias("necessity_score"))
 
 
+STUB_PIPELINE = f"""WITH fu AS ({FIRST_USER}), p AS (SELECT conv_id::VARCHAR AS id, least(length('The question: ' || {_STRIP.format('question')}), {verdict.prompt_budget()} + length('..[truncated for length]')) AS n, ('0x' || right(md5(conv_id::VARCHAR), 1))::INT % 2 = 0 AS first FROM fu)
+SELECT id, CASE WHEN n < 30 THEN '' WHEN first AND (n % 11 = 0 OR n % 3 > 0) THEN 'a' ELSE 'b' END AS endpoint, CASE WHEN n < 30 THEN 0 WHEN first AND n % 11 > 0 AND n % 3 = 0 THEN 2 ELSE 1 END AS attempts,
+ CASE WHEN n >= 30 AND n % 11 = 0 THEN 'status 400' END AS error, CASE WHEN n >= 30 AND n % 11 > 0 THEN n % 5 + 1 END::DOUBLE AS necessity_score FROM p"""
+
+
 def incremental_resume_stream(spark, sf):
     """Two runs over a growing folder: each id is written once."""
     from ..streaming import incremental
@@ -435,9 +445,9 @@ _ALL = {
     "early_stop_running_dirty": (early_stop_running_dirty, EARLY_STOP),
     "round_trip_sections": (round_trip_sections, SECTIONS),
     "caption_events": (caption_events, CAPTION_EVENTS),
-    "caption_prompt": (caption_prompt, None),
+    "caption_prompt": (caption_prompt, CAPTION_PROMPT),
     "caption_reply_lists": (caption_reply_lists, REPLY_LISTS),
-    "judge_stub_pipeline": (judge_stub_pipeline, None),
+    "judge_stub_pipeline": (judge_stub_pipeline, STUB_PIPELINE),
     "incremental_resume_stream": (incremental_resume_stream, "SELECT event_id AS id, event_type FROM events"),
 }
 QUERIES = {k: q for k, (q, _) in _ALL.items()}

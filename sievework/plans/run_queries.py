@@ -62,20 +62,20 @@ def json_documents(spark, sf):
     parts = F.when(n % 3 > 0, F.transform(F.sequence(F.lit(1), n % 3), lambda i: F.struct(F.when(i == 1, F.concat(F.lit("q"), n)).alias("q"))))
     record = F.struct(
         F.when(n % 4 > 0, n.cast("string")).alias("id"), n.alias("number"), F.struct(F.col("text").alias("title")).alias("ask"), F.array("lang", "source").alias("labels"),
-        F.struct(F.col("lang").alias("name")).alias("kind"), parts.alias("parts"),
+        F.struct(F.array(F.struct(F.col("source").alias("of"), (n % 2 == 0).alias("even"))).alias("deep"), F.col("lang").alias("name")).alias("kind"), F.struct(F.lit("x").alias("y"), F.concat(F.lit(" t"), n).alias("text")).alias("told"), parts.alias("parts"),
     )
     # a document holds a bounded number of records
     d.groupBy(F.floor(n / 200).alias("block")).agg(F.collect_list(record).alias("data")).write.partitionBy("block").json(folder)
-    schema = "data array<struct<id string, number long, ask struct<title string>, labels array<string>, kind struct<name string>, parts array<struct<q string>>>>"
-    spec = readers.SourceSpec("docs", [f"{folder}/block=*/*.json"], questions=["q", "ask.title"], answers=["labels"], metadata=["kind", "number"], explode="parts", record_field="data", schema=schema)
-    rows = readers.examples(spark, spec)
+    schema = "data array<struct<id string, number long, ask struct<title string>, labels array<string>, kind struct<deep array<struct<of string, even boolean>>, name string>, told struct<y string, text string>, parts array<struct<q string>>>>"
+    spec = readers.SourceSpec("docs", [f"{folder}/block=*/*.json"], questions=["q", "ask.title"], answers=["labels"], metadata=["kind", "number", "told"], explode="parts", record_field="data", schema=schema)
+    rows = readers.examples(spark, spec, values=True)
     known = F.regexp_replace("source_record_id", "^row_[0-9a-f]{10}", "row_")
-    return rows.select(F.element_at("metadata", "number").cast("long").alias("doc_id"), known.alias("record"), "question", "answer", F.element_at("metadata", "kind").alias("kind"))
+    return rows.select(F.element_at("metadata", "number").cast("long").alias("doc_id"), known.alias("record"), "question", "answer", F.element_at("metadata", "told").alias("told"), F.element_at("metadata_values", "kind").alias("kind"))
 
 
 JSON_DOCUMENTS = """WITH e AS (SELECT *, unnest(CASE WHEN doc_id % 3 > 0 THEN range(0, doc_id % 3) ELSE [-1] END) AS i FROM documents)
 SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN doc_id::VARCHAR ELSE 'row_' END || CASE WHEN i >= 0 THEN '#e' || i ELSE '' END AS record, CASE WHEN i = 0 THEN 'q' || doc_id ELSE text END AS question,
- concat_ws(' | ', lang, source) AS answer, '{"name":"' || lang || '"}' AS kind FROM e"""
+ concat_ws(' | ', lang, source) AS answer, 't' || doc_id AS told, concat_ws(' | ', source, CASE WHEN doc_id % 2 = 0 THEN 'True' ELSE 'False' END, lang) AS kind FROM e"""
 
 
 def sources_limited(spark, sf):
@@ -314,6 +314,26 @@ SELECT n AS doc_id, lang, source, CASE WHEN local THEN 0 WHEN stage IS NULL THEN
  stage, CASE WHEN local OR invalid THEN 0 WHEN n % 5 = 0 AND first AND NOT gone THEN 2 ELSE 1 END AS attempts FROM a"""
 
 
+def rejudged_verdicts(spark, sf):
+    """Verdicts of judged records with a new necessity, the rest as it was; some records have no question, some replies no score."""
+    d, n = table(spark, sf, "documents"), F.col("doc_id")
+    fields = ["relevance_score", "relevance", "necessity_score", "necessity", "reason", "reason_necessity"]
+    old = F.struct(pick(["5", "3", "x"], n), pick(["Relevant", "irrelevant"], n), F.lit(2.0), F.lit("unnecessary"), F.col("lang"), F.when(n % 3 == 0, F.lit("old")))
+    old = F.when(n % 19 > 0, old.cast("struct<relevance_score string, relevance string, necessity_score double, necessity string, reason string, reason_necessity string>"))
+    said = F.to_json(F.struct(F.when(n % 4 > 0, n % 5 + 1.25).alias("necessity_score"), F.when(n % 2 == 0, F.col("source")).alias("reason")))
+    reply = F.to_json(F.struct(F.array(F.struct(F.struct(said.alias("content")).alias("message"))).alias("choices")))
+    rows = d.select("doc_id", old.alias("old"), verdict.single_score(reply, "necessity_score").alias("new"))
+    made = rows.select("doc_id", verdict.rejudged_verdict(F.col("old"), fields, F.col("new"), F.col("doc_id") % 7 > 0).alias("v"))
+    return made.select("doc_id", "v.verdict.*", "v.keep")
+
+
+REJUDGED_VERDICTS = f"""WITH r AS (SELECT doc_id AS n, doc_id % 19 > 0 AS had, doc_id % 7 > 0 AS asked, CASE WHEN doc_id % 4 > 0 THEN least(doc_id % 5 + 1.25, 5) ELSE 1 END::DOUBLE AS s, lang, source FROM documents)
+SELECT n AS doc_id, CASE WHEN had THEN {sql_pick(['5', '3', 'x'], 'n')} END AS relevance_score, CASE WHEN had THEN {sql_pick(['Relevant', 'irrelevant'], 'n')} END AS relevance,
+ CASE WHEN asked THEN CASE WHEN s = floor(s) THEN s ELSE floor(s) + 0.2::DOUBLE END END AS necessity_score, CASE WHEN NOT asked THEN 'unknown' WHEN s >= 4 THEN 'necessary' ELSE 'unnecessary' END AS necessity,
+ CASE WHEN had THEN lang END AS reason, CASE WHEN had AND n % 3 = 0 THEN 'old' WHEN asked AND n % 2 = 0 THEN nullif(source, '') END AS reason_necessity,
+ coalesce(asked AND had AND (n % 3 = 0 OR n % 3 = 2 AND n % 2 = 0) AND s >= 4, FALSE) AS keep FROM r"""
+
+
 def _echo(endpoint: str, payload: str) -> tuple[int, str]:
     return 200, endpoint
 
@@ -355,6 +375,7 @@ _ALL = {
     "stream_reports": (stream_reports, REPORTS),
     "flushed_sink": (flushed_sink, FLUSHED),
     "judged_by_calls": (judged_by_calls, JUDGED),
+    "rejudged_verdicts": (rejudged_verdicts, REJUDGED_VERDICTS),
     "endpoint_requests": (endpoint_requests, REQUESTS),
 }
 QUERIES = {k: q for k, (q, _) in _ALL.items()}

@@ -127,9 +127,9 @@ def sourced(
         raise FileNotFoundError(", ".join(p for s in specs for p in s.paths) or "no sources")
     parts = []
     for spec in held:
-        rows = readers.examples(spark, spec, include_context, most_chars, skip_missing)
-        record = profiles.Record(F.col("question"), F.col("answer"), F.col("source_name"), F.col("context"), {k: F.col("metadata")[k] for k in spec.metadata}, role == "benchmark")
-        parts.append(profiles.with_profile(rows, record, overrides=(overrides or {}).get(spec.name)))
+        rows = readers.examples(spark, spec, include_context, most_chars, skip_missing, values=True)
+        record = profiles.Record(F.col("question"), F.col("answer"), F.col("source_name"), F.col("context"), {k: F.col("metadata_values")[k] for k in spec.metadata}, role == "benchmark")
+        parts.append(profiles.with_profile(rows, record, overrides=(overrides or {}).get(spec.name)).drop("metadata_values"))
     found = sources_in_turn(parts, normalized("similarity_text") if once else None, [s.limit for s in held], most, "id")
     if found.isEmpty():
         raise ValueError(f"no {role} examples in {', '.join(s.name for s in held)}")

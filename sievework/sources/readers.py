@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from ..functions.text import similarity_text, stem
+from ..functions.text import similarity_text, stem, stripped
 
 
 @dataclass
@@ -78,13 +78,36 @@ def field_column(schema: T.StructType, name: str, root: str = "") -> Column | No
     return F.col(f"{root}{name}")
 
 
+def _truth(column: Column) -> Column:
+    return F.when(column, "True").when(~column, "False")
+
+
 def text_of(column: Column, kind: T.DataType, most: int = 20) -> Column:
-    """Any value as text: lists joined by ` | `, structs as JSON."""
+    """Any value as text: a string without white space at its ends, the `text` of a struct that has one and the JSON of others with sorted fields, the
+    first `most` elements of a list, without empty ones, joined by ` | `; null for null."""
+    if isinstance(kind, T.StringType):
+        return stripped(column)
+    if isinstance(kind, T.BooleanType):
+        return _truth(column)
     if isinstance(kind, T.ArrayType):
-        return F.concat_ws(" | ", F.transform(F.slice(column, 1, most), lambda x: text_of(x, kind.elementType)))
-    if isinstance(kind, (T.StructType, T.MapType)):
-        return F.to_json(column)
-    return column.cast("string")
+        held = F.transform(F.slice(column, 1, most), lambda x: text_of(x, kind.elementType))
+        return F.concat_ws(" | ", F.filter(held, lambda x: x != ""))
+    if isinstance(kind, T.StructType):
+        if "text" in kind.fieldNames():
+            return text_of(column["text"], kind["text"].dataType)
+        return F.when(column.isNotNull(), F.to_json(F.struct(*[column[n].alias(n) for n in sorted(kind.fieldNames())])))
+    return F.to_json(column) if isinstance(kind, T.MapType) else column.cast("string")
+
+
+def values_of(column: Column, kind: T.DataType) -> Column:
+    """All that a value holds, however deep, as texts: elements of lists, fields of structs and values of maps, without nulls."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        inner, of = (column, kind.elementType) if isinstance(kind, T.ArrayType) else (F.map_values(column), kind.valueType)
+        return F.coalesce(F.flatten(F.transform(inner, lambda x: values_of(x, of))), none)
+    if isinstance(kind, T.StructType):
+        return F.concat(none, *[values_of(column[f.name], f.dataType) for f in kind.fields])
+    return F.array_compact(F.array(_truth(column) if isinstance(kind, T.BooleanType) else column.cast("string")))
 
 
 def kind_of(schema: T.StructType, name: str) -> T.DataType:
@@ -105,8 +128,19 @@ def first_field(df: DataFrame, names: list[str], child: T.StructType | None = No
     return F.coalesce(*found, F.lit(None).cast("string")) if found else F.lit(None).cast("string")
 
 
-def examples(spark: SparkSession, spec: SourceSpec, include_context: bool = False, most_chars: int = 0, skip_missing: bool = False) -> DataFrame:
-    """Examples of a source: id, source_name, source_path, source_record_id, question, answer, context, similarity_text, metadata.
+def first_values(df: DataFrame, name: str, child: T.StructType | None = None) -> Column:
+    """All values of a field, in the exploded element before the record, joined by ` | `; null if there are none."""
+    found = []
+    if child is not None and (c := field_column(child, name, "element.")) is not None:
+        found.append(F.nullif(F.array_join(values_of(c, kind_of(child, name)), " | "), F.lit("")))
+    if (c := field_column(df.schema, name)) is not None:
+        found.append(F.nullif(F.array_join(values_of(c, kind_of(df.schema, name)), " | "), F.lit("")))
+    return F.coalesce(*found, F.lit(None).cast("string"))
+
+
+def examples(spark: SparkSession, spec: SourceSpec, include_context: bool = False, most_chars: int = 0, skip_missing: bool = False, values: bool = False) -> DataFrame:
+    """Examples of a source: id, source_name, source_path, source_record_id, question, answer, context, similarity_text, metadata and, with `values`,
+    metadata_values: the texts that each field of the metadata holds, however deep.
 
     Elements of an exploded list keep their index in it; a record without elements stays one example. Rows without text go."""
     df = read_records(spark, spec.paths, spec.schema, spec.record_field, skip_missing)
@@ -123,6 +157,8 @@ def examples(spark: SparkSession, spec: SourceSpec, include_context: bool = Fals
     question, answer, context = (first_field(df, names, child) for names in (spec.questions, spec.answers, spec.contexts))
     meta = [x for name in spec.metadata for x in (F.lit(name), first_field(df, [name], child))]
     filled = F.map_filter(F.create_map(*meta), lambda _, v: v.isNotNull()) if meta else F.create_map().cast("map<string,string>")
+    deep = [x for name in spec.metadata for x in (F.lit(name), first_values(df, name, child))] if values else []
+    more = [F.map_filter(F.create_map(*deep), lambda _, v: v.isNotNull()) if deep else F.create_map().cast("map<string,string>")] if values else []
     out = df.select(
         F.concat_ws(":", F.lit(spec.name), stem("__path"), record).alias("id"),
         F.lit(spec.name).alias("source_name"),
@@ -133,6 +169,7 @@ def examples(spark: SparkSession, spec: SourceSpec, include_context: bool = Fals
         context.alias("context"),
         similarity_text(question, answer, context if include_context else None, spec.text_mode, most_chars).alias("similarity_text"),
         filled.alias("metadata"),
+        *[x.alias("metadata_values") for x in more],
     )
     return out.where("similarity_text <> ''")
 

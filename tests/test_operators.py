@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import profiles, tables, verdict
 from sievework.operators import buckets, calls, matching, resume, selection
-from sievework.sources import readers, sinks
+from sievework.sources import loaders, readers, sinks
 from sievework.streaming import incremental
 
 
@@ -305,3 +305,37 @@ def test_verdicts(spark):
     assert (got["labels"].relevance, got["labels"].necessity, got["labels"].necessity_score) == ("relevant", "unnecessary", 1.0)
     assert (got["broken"].relevance, got["broken"].necessity) == ("relevant", "unnecessary")
     assert got["none"].relevance == got["empty"].relevance == "unknown"
+
+
+def test_necessity_judged_again(spark):
+    fields = ["relevance_score", "relevance", "reason"]
+    rows = [("5", None, "r", 4.25, "n", True), ("3", "relevant", "r", 5.0, "", True), (None, "Relevant", None, None, "n", True), ("5", "relevant", "r", 5.0, "n", False), ("x", "relevant", "r", 9.0, "n", None)]
+    df = spark.createDataFrame(rows, "relevance_score string, relevance string, reason string, score double, said string, asked boolean")
+    old = F.when(F.coalesce(F.col("reason"), F.lit("")) != "gone", F.struct(*fields))
+    made = verdict.rejudged_verdict(old, fields, F.struct(F.col("score"), F.col("said").alias("reason")), F.col("asked"))
+    got = [(r.v.verdict.necessity_score, r.v.verdict.necessity, r.v.verdict.reason_necessity, r.v.verdict.reason, r.v.keep) for r in df.select(made.alias("v")).collect()]
+    assert got == [(4.2, "necessary", "n", "r", True), (5.0, "necessary", None, "r", False), (1.0, "unnecessary", "n", None, False), (None, "unknown", None, "r", False), (None, "unknown", None, "r", False)]
+    gone = df.limit(1).select(verdict.rejudged_verdict(F.lit(None).cast("struct<relevance_score string, relevance string, reason string>"), fields, F.struct(F.lit(5.0).alias("score"), F.lit("n").alias("reason")), F.lit(True)).alias("v")).first().v
+    assert (gone.verdict.necessity_score, gone.verdict.relevance, gone.keep) == (5.0, None, False)
+
+
+def test_any_value_as_text_and_all_that_it_holds(spark):
+    schema = "a struct<z string, text string>, b struct<z string, y boolean>, c array<string>, d map<string, array<int>>, e boolean, f string, g array<struct<n int, m array<string>>>"
+    rows = [(("p", " q "), ("p", True), [" u ", "", None, "v"], {"k": [1, 2]}, False, " x\n", [(1, ["a", None]), (None, ["b"])]), (None, None, None, None, None, None, None), (("p", None), (None, None), [], {}, True, "", [])]
+    df = spark.createDataFrame(rows, schema)
+    text = lambda c: readers.text_of(F.col(c), df.schema[c].dataType).alias(c)
+    held = lambda c: readers.values_of(F.col(c), df.schema[c].dataType).alias(c)
+    first, nulls, empty = df.select(*map(text, "abcef")).collect()
+    assert tuple(first) == ("q", '{"y":true,"z":"p"}', "u | v", "False", "x")
+    assert tuple(nulls) == (None, None, "", None, None) and tuple(empty) == (None, "{}", "", "True", "")
+    first, nulls, empty = df.select(*map(held, "abcdefg")).collect()
+    assert tuple(first) == (["p", " q "], ["p", "True"], [" u ", "", "v"], ["1", "2"], ["False"], [" x\n"], ["1", "a", "b"])
+    assert all(x == [] for x in nulls) and tuple(empty) == (["p"], [], [], [], ["True"], [""], [])
+
+
+def test_profiles_read_all_values_of_the_metadata(spark, tmp_path):
+    path = lines(tmp_path / "a.jsonl", [{"id": "1", "question": "q", "more": {"deep": [{"name": "basketball"}], "none": None}, "flag": True}, {"id": "2", "question": "q2", "more": None}])
+    spec = readers.SourceSpec("s", [path], metadata=["more", "flag", "absent"])
+    got = {r.source_record_id: r for r in loaders.sourced(spark, [spec]).collect()}
+    assert got["1"].metadata == {"more": '{"deep":[{"name":"basketball"}]}', "flag": "True"} and got["2"].metadata == {}
+    assert "metadata_values" not in got["1"] and (got["1"].profile.domain_tags, got["2"].profile.domain_tags) == (["basketball"], [])
