@@ -167,11 +167,11 @@ def resumed_output(spark, sf):
     e.where(n % 2 == 0).select(line.alias("value")).union(e.where(n % 10 == 1).select(line.alias("value"))).write.text(output)
     dirty, done = readers.dirty_count(spark, output), written(resume.processed_ids(spark, output), "done")
     counts = readers.line_counts(spark, [output]).agg(F.sum("total_lines").alias("lines"), F.sum("filled_lines").alias("filled"))
-    counts = written(counts, "counts")
+    counts = counts.first().asDict()
     items = e.select(n.cast("string").alias("id"), "event_type")
     sinks.append_results(items.union(items.select("id", F.lit("zz"))), output, done)
     rows = spark.read.schema("id string, event_type string").json(output).where("id is not null")
-    return rows.select(F.col("id").cast("long").alias("event_id"), F.coalesce("event_type", F.lit("old")).alias("event_type"), F.lit(dirty).cast("long").alias("dirty")).crossJoin(F.broadcast(counts))
+    return rows.select(F.col("id").cast("long").alias("event_id"), F.coalesce("event_type", F.lit("old")).alias("event_type"), F.lit(dirty).cast("long").alias("dirty"), *[F.lit(x).cast("long").alias(k) for k, x in counts.items()])
 
 
 RESUMED = """WITH o AS (SELECT event_id, event_id % 2 = 0 AND event_id % 10 NOT IN (0, 2) AS old FROM events)
