@@ -44,6 +44,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return len(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found) or []) > 0
 
 
+def folders(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths that are folders, as Spark names them: tables of several part files."""
+    jvm = spark.sparkContext._jvm
+    found = []
+    for path in map(jvm.org.apache.hadoop.fs.Path, paths):
+        found += [s.getPath().toString() for s in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or [] if s.isDirectory()]
+    return found
+
+
 def read_records(spark: SparkSession, paths: list[str], schema: str | T.StructType | None = None, record_field: str | None = None, skip_missing: bool = False, strict: bool = False) -> DataFrame:
     """Records of JSON lines, JSON documents (a list, a list in a field, or one object), Parquet or CSV with a header.
 
@@ -142,9 +151,12 @@ def examples(spark: SparkSession, spec: SourceSpec, include_context: bool = Fals
     """Examples of a source: id, source_name, source_path, source_record_id, question, answer, context, similarity_text, metadata and, with `values`,
     metadata_values: the texts that each field of the metadata holds, however deep.
 
-    Elements of an exploded list keep their index in it; a record without elements stays one example. Rows without text go."""
+    Elements of an exploded list keep their index in it; a record without elements stays one example. Rows without text go. A folder is one source path,
+    so that ids and their order do not depend on its part files."""
     df = read_records(spark, spec.paths, spec.schema, spec.record_field, skip_missing)
-    df = df.withColumn("__path", F.col("_metadata.file_path")) if "_metadata" not in df.columns and not spec.record_field else df.withColumn("__path", F.lit(spec.paths[0]))
+    file = F.col("_metadata.file_path")
+    place = F.coalesce(*[F.when(file.startswith(f"{x}/"), F.lit(x)) for x in folders(spark, spec.paths)], file)
+    df = df.withColumn("__path", place) if "_metadata" not in df.columns and not spec.record_field else df.withColumn("__path", F.lit(spec.paths[0]))
     child = None
     if spec.explode and (lists := field_column(df.schema, spec.explode)) is not None:
         kind = kind_of(df.schema, spec.explode)
