@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import tables as T
 from ..functions.phrases import Phrases
 from ..functions.text import any_of
+from ..sources.scratch import written
 
 
 #: What every match of a pattern holds, in lower case; of the others only a search can tell.
@@ -84,11 +85,15 @@ def file_scores(ratios: DataFrame, math_weight: float = 0.55) -> DataFrame:
 
 
 def tiers(scores: DataFrame, first: int, second: int, *ties: str) -> DataFrame:
-    """The best files are P0, the next P1, both by a limited sort and with their rank; all others are excluded and have none."""
-    best = scores.orderBy(F.desc("combined_score"), *ties).limit(first + second)
-    rank = F.row_number().over(W.orderBy(F.desc("combined_score"), *ties))
-    keys = list(ties)
-    ranked = scores.join(F.broadcast(best.select(*keys, rank.alias("rank"))), keys, "left")
+    """Every file with its rank: the best are P0, the next P1, all others excluded. ties settle the order.
+
+    Files are dealt to ranges of the order, and the number of files in the ranges before it is added to a file's place in its range, so that no task ranks all."""
+    order = [F.desc("combined_score"), *[F.asc_nulls_last(t) for t in ties]]
+    dealt = written(scores.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__size"))
+    ahead = F.coalesce(F.sum("__size").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranked = dealt.withColumn("__place", F.row_number().over(W.partitionBy("__range").orderBy(*order))).join(F.broadcast(sizes.select("__range", ahead.alias("__ahead"))), "__range")
+    ranked = ranked.withColumn("rank", (F.col("__ahead") + F.col("__place")).cast("int")).drop("__range", "__place", "__ahead")
     return ranked.withColumn("tier", F.when(F.col("rank") <= first, "P0").when(F.col("rank") <= first + second, "P1").otherwise("excluded"))
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sievework.functions import profiles, tables, verdict
-from sievework.operators import buckets, calls, matching, resume, selection
+from sievework.operators import buckets, calls, files, matching, resume, selection
 from sievework.sources import loaders, readers, sinks
 from sievework.streaming import incremental
 
@@ -136,6 +136,14 @@ def test_priorities_and_tiers(spark):
     assert [r.difficulty_tier for r in got] == ["critical"] * 5 + ["hard"] * 7 + ["easy"]
 
 
+def test_every_file_has_a_rank(spark):
+    rows = [(f"f{i:04d}", float(i * 7919 % 300)) for i in range(1000)]
+    scores = spark.createDataFrame(rows, "file string, combined_score double").repartition(5, "file")
+    got = [tuple(r) for r in files.tiers(scores, 5, 4, "file").orderBy("rank").select("file", "rank", "tier").collect()]
+    order = [f for f, s in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    assert got == [(f, i + 1, "P0" if i < 5 else "P1" if i < 9 else "excluded") for i, f in enumerate(order)]
+
+
 def test_shares_of_a_plan(spark):
     b = spark.createDataFrame([("x", 3.0), ("y", 1.0)], "bucket_key string, priority_score double")
     m = spark.createDataFrame([("x", "f", 1), ("x", "g", 3), ("y", "f", 5)], "bucket_key string, family string, count long")
