@@ -124,5 +124,5 @@ def related(domains: Column, wanted: list[str]) -> Column:
 
 
 def inverted(manifest: DataFrame, file: str = "file", domains: str = "domains") -> DataFrame:
-    """(domain, file): the different files of each domain. Order it where it is written; a domain may have any number of files."""
-    return manifest.select(F.explode(domains).alias("domain"), file).distinct()
+    """(domain, files): the sorted different files of each domain, a row for each domain."""
+    return manifest.select(F.explode(domains).alias("domain"), file).groupBy("domain").agg(F.array_sort(F.collect_set(file)).alias("files"))

@@ -144,6 +144,12 @@ def test_every_file_has_a_rank(spark):
     assert got == [(f, i + 1, "P0" if i < 5 else "P1" if i < 9 else "excluded") for i, f in enumerate(order)]
 
 
+def test_each_domain_has_all_its_files(spark):
+    rows = [("b.jsonl", ["art", "music"]), ("a.jsonl", ["art"]), ("c.jsonl", []), ("a.jsonl", ["art"])]
+    got = {tuple(map(str, r)) for r in files.inverted(spark.createDataFrame(rows, "file string, domains array<string>")).collect()}
+    assert got == {("art", "['a.jsonl', 'b.jsonl']"), ("music", "['b.jsonl']")}
+
+
 def test_shares_of_a_plan(spark):
     b = spark.createDataFrame([("x", 3.0), ("y", 1.0)], "bucket_key string, priority_score double")
     m = spark.createDataFrame([("x", "f", 1), ("x", "g", 3), ("y", "f", 5)], "bucket_key string, family string, count long")
