@@ -108,3 +108,20 @@ def test_words_that_polynomials_confuse(spark, tmp_path):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     [r] = rules.op8_quality_rules(spark, saved(spark, tmp_path, documents=docs(spark, [(1, text)]), labels=labels)).collect()
     assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute(text) and r.n_repeat_words == 0
+
+
+def test_models_come_from_all_rows(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, " ".join("x" * k + "#" * (i % 97 == 0) for k in rnd.integers(1, 9, rnd.integers(9, 30)))) for i in range(8000)]
+    labels = spark.createDataFrame([(i, int(i % 97 > 0 or i % 2), 0) for i in range(8000)], "doc_id long, quality int, toxic int")
+    d = docs(spark, rows).repartition(5)
+    model = rules.fitted(d, labels)
+    counts = rules._counts(d, ["doc_id"]).toPandas()
+    c = {k: counts[k].to_numpy() for k in rules.COUNTS}
+    passed = ~rules.base_failed(c)
+    x, good = rules.features(c)[passed], np.array([i % 97 > 0 or i % 2 for i in counts["doc_id"]], bool)[passed]
+    for columns, forest, threshold in model.parts:
+        own = rules.IsolationForest(x[:, columns])
+        scores = own.scores(x[:, columns])
+        assert np.array_equal(forest.scores(x[:, columns]), scores)
+        assert threshold == rules.calibrated(np.round(scores, rules.DIGITS), good)
