@@ -196,6 +196,19 @@ def test_parts_of_matches_are_those_of_the_rules(spark):
             assert {k: round(got[k], 9) for k in matching.PARTS} == {k: round(v, 9) for k, v in parts.items()} and abs(got.profile_only - only) < 1e-8
 
 
+@pytest.mark.parametrize("size", [1 << 20, 300])
+def test_candidates_keep_their_profile(spark, size):
+    lists = ", ".join(f"{k}: array<string>" for k in ("skill_tags", "domain_tags", "reasoning_tags", "modality_tags", "locality_tags"))
+    kind = f"struct<{lists}, duration_bucket: string, answer_type: string, benchmark_name: string, source_family: string, more: string>"
+    p = lambda i: (["a"] * (i % 2), ["b"], [], [], ["local"], "short", "unknown", "", "caption", f"m{i}")
+    c = spark.createDataFrame([(i % 9, f"w{i % 5}", p(i)) for i in range(10)], f"c int, text string, p {kind}")
+    b = spark.createDataFrame([(i, f"w{i}", p(i)) for i in range(6)], f"b int, text string, q {kind}")
+    found = matching.compared(c, b, "c", "b", 2, profile=("p", "q"), slice_bytes=size, keep_profile=True)
+    rows = matching.summarized(found, "c", more=("p", "matches"))
+    assert sorted(map(str, rows.select("c", "p").collect())) == sorted(map(str, c.select("c", "p").collect()))
+    assert all(len(r.matches) == 2 and (r.c, r.p.more) in {(i % 9, f"m{i}") for i in range(10)} for r in rows.collect())
+
+
 def rules_of_a_match(b, c):
     """The parts of a match, one pair at a time."""
     dice = lambda k: 2 * len({*b[k]} & {*c[k]}) / (len(b[k]) + len(c[k])) if b[k] and c[k] else 0.0
