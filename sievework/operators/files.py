@@ -84,16 +84,23 @@ def file_scores(ratios: DataFrame, math_weight: float = 0.55) -> DataFrame:
     return rows.withColumn("combined_score", math_weight * F.col("score_math") + (1 - math_weight) * F.col("score_mmmu"))
 
 
+def _numbered(rows: DataFrame, name: str, order: list[Column], *keys: str) -> DataFrame:
+    """rows with their number from 1 in the order, within the keys.
+
+    Rows are dealt to ranges of keys and order, and the number of rows of the same keys in the ranges before it is added to a row's place in its range, so that no task ranks all."""
+    dealt = written(rows.repartitionByRange(*keys, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    same = [F.struct(*keys).alias("__key")] if keys else []
+    sizes = dealt.groupBy("__range", *same).agg(F.count("*").alias("__size"))
+    ahead = F.coalesce(F.sum("__size").over(W.partitionBy(*["__key"] * bool(keys)).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ahead = F.broadcast(sizes.withColumn("__ahead", ahead).drop("__size"))
+    placed = dealt.select("*", *same).withColumn("__place", F.row_number().over(W.partitionBy("__range", *keys).orderBy(*order)))
+    placed = placed.join(ahead, ["__range", *["__key"] * bool(keys)])
+    return placed.withColumn(name, F.col("__ahead") + F.col("__place")).select(*rows.columns, name)
+
+
 def tiers(scores: DataFrame, first: int, second: int, *ties: str) -> DataFrame:
-    """Every file with its rank: the best are P0, the next P1, all others excluded. ties settle the order.
-
-    Files are dealt to ranges of the order, and the number of files in the ranges before it is added to a file's place in its range, so that no task ranks all."""
-    order = [F.desc("combined_score"), *[F.asc_nulls_last(t) for t in ties]]
-    dealt = written(scores.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "ranges")
-    sizes = dealt.groupBy("__range").agg(F.count("*").alias("__size"))
-    ahead = F.coalesce(F.sum("__size").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranked = dealt.withColumn("__place", F.row_number().over(W.partitionBy("__range").orderBy(*order))).join(F.broadcast(sizes.select("__range", ahead.alias("__ahead"))), "__range")
-    ranked = ranked.withColumn("rank", (F.col("__ahead") + F.col("__place")).cast("int")).drop("__range", "__place", "__ahead")
+    """Every file with its rank: the best are P0, the next P1, all others excluded. ties settle the order."""
+    ranked = _numbered(scores, "rank", [F.desc("combined_score"), *[F.asc_nulls_last(t) for t in ties]]).withColumn("rank", F.col("rank").cast("int"))
     return ranked.withColumn("tier", F.when(F.col("rank") <= first, "P0").when(F.col("rank") <= first + second, "P1").otherwise("excluded"))
 
 
@@ -102,21 +109,36 @@ def head(df: DataFrame, n: int, file: str, *order: str) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(W.partitionBy(file).orderBy(*order))).where(F.col("__n") <= n).drop("__n")
 
 
+def _hinted(held: dict[str, Column], hints: dict[str, list[str]]) -> Column:
+    found = [F.when(held[k], F.array(*map(F.lit, d))).otherwise(F.array().cast("array<string>")) for k, d in hints.items()]
+    return F.array_sort(F.array_distinct(F.flatten(F.array(*found)))) if found else F.array().cast("array<string>")
+
+
 def content_domains(content: Column, hints: dict[str, list[str]]) -> Column:
     """Domains of the keywords that the content holds, sorted."""
     low = F.lower(content)
-    found = [F.when(low.contains(k.lower()), F.array(*map(F.lit, d))).otherwise(F.array().cast("array<string>")) for k, d in hints.items()]
-    return F.array_sort(F.array_distinct(F.flatten(F.array(*found)))) if found else F.array().cast("array<string>")
+    return _hinted({k: low.contains(k.lower()) for k in hints}, hints)
+
+
+def domains_of_all(text: Column, hints: dict[str, list[str]]) -> Column:
+    """An aggregate: domains of the keywords that any text of a group holds, sorted. Texts are not joined, so a group may be of any size; a keyword lies within one text."""
+    low = F.lower(text)
+    return _hinted({k: F.bool_or(low.contains(k.lower())) for k in hints}, hints)
 
 
 def file_domains(file: Column, content: Column, exact: dict[str, list[str]], hints: dict[str, list[str]], prefixes: list[str]) -> Column:
     """Domains by the file's name, else `general`; those of general files with one of the prefixes grow by their content."""
+    return grown_domains(file, content_domains(F.coalesce(content, F.lit("")), hints), exact, prefixes)
+
+
+def grown_domains(file: Column, found: Column, exact: dict[str, list[str]], prefixes: list[str]) -> Column:
+    """The same of domains that were found in the content."""
     named = F.lit(None).cast("array<string>")
     for name, domains in exact.items():
         named = F.when(file == name, F.array(*map(F.lit, domains))).otherwise(named)
     own = F.coalesce(named, F.array(F.lit("general")))
     sampled = any_of(file.startswith(p) for p in prefixes) & F.array_contains(own, "general")
-    return F.when(sampled, F.array_sort(F.array_union(own, content_domains(F.coalesce(content, F.lit("")), hints)))).otherwise(own)
+    return F.when(sampled, F.array_sort(F.array_union(own, found))).otherwise(own)
 
 
 def related(domains: Column, wanted: list[str]) -> Column:
@@ -126,3 +148,9 @@ def related(domains: Column, wanted: list[str]) -> Column:
 def inverted(manifest: DataFrame, file: str = "file", domains: str = "domains") -> DataFrame:
     """(domain, files): the sorted different files of each domain, a row for each domain."""
     return manifest.select(F.explode(domains).alias("domain"), file).groupBy("domain").agg(F.array_sort(F.collect_set(file)).alias("files"))
+
+
+def inverted_rows(manifest: DataFrame, file: str = "file", domains: str = "domains") -> DataFrame:
+    """(domain, file, place): the same lists as rows, so that a domain may have any number of files; a file without a name comes last."""
+    pairs = manifest.select(F.explode(domains).alias("domain"), file).distinct()
+    return _numbered(pairs, "place", [F.asc_nulls_last(file)], "domain")

@@ -257,15 +257,20 @@ def domain_manifest(spark, sf):
 
 
 def domain_to_files(spark, sf):
-    return files.inverted(_manifest(spark, sf)).select("domain", F.nullif(F.array_join("files", ";"), F.lit("")).alias("files"))
+    d = table(spark, sf, "documents").select(F.concat("source", F.lit(".jsonl")).alias("file"), "text")
+    found = d.groupBy("file").agg(files.domains_of_all(F.col("text"), _CONTENT).alias("found"))
+    return files.inverted_rows(found.select("file", files.grown_domains(F.col("file"), F.col("found"), _EXACT, _PREFIXES).alias("domains")))
 
 
-_MANIFEST = f"""WITH s AS (SELECT source || '.jsonl' AS file, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5),
-c AS (SELECT file, lower(string_agg(text, ' ' ORDER BY doc_id)) AS content FROM s GROUP BY file),
+_DOMAINS = f"""c AS (SELECT file, lower(string_agg(text, ' ' ORDER BY doc_id)) AS content FROM s GROUP BY file),
 d AS (SELECT file, CASE WHEN file = 'src0.jsonl' THEN ['math', 'science'] WHEN file = 'src1.jsonl' THEN ['art'] WHEN {' OR '.join(f"starts_with(file, '{p}')" for p in _PREFIXES)}
  THEN list_concat(['general'], {', '.join(f"CASE WHEN contains(content, '{k}') THEN {sql_list(v)} ELSE [] END" for k, v in _CONTENT.items())}) ELSE ['general'] END AS domains FROM c)"""
+_MANIFEST = f"""WITH s AS (SELECT source || '.jsonl' AS file, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5),
+{_DOMAINS}"""
 MANIFEST = f"{_MANIFEST} SELECT file, array_to_string(list_sort(domains), ';') AS domains, list_contains(domains, 'math') AS math_related, list_has_any(domains, ['art', 'science']) AS mmmu_related FROM d"
-INVERTED = f"{_MANIFEST} SELECT domain, string_agg(file, ';' ORDER BY file) AS files FROM (SELECT file, unnest(domains) AS domain FROM d) GROUP BY domain"
+INVERTED = f"""WITH s AS (SELECT source || '.jsonl' AS file, doc_id, text FROM documents),
+{_DOMAINS}, p AS (SELECT DISTINCT domain, file FROM (SELECT file, unnest(domains) AS domain FROM d))
+SELECT domain, file, row_number() OVER (PARTITION BY domain ORDER BY file NULLS LAST) AS place FROM p"""
 
 # -- resuming, routing, early stop ----------------------------------------------------------------------------------------------------
 

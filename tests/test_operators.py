@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import profiles, tables, verdict
 from sievework.operators import buckets, calls, files, matching, resume, selection
+from sievework.plans import chat_queries
 from sievework.sources import loaders, readers, sinks
 from sievework.streaming import incremental
 
@@ -150,6 +151,23 @@ def test_each_domain_has_all_its_files(spark):
     assert got == {("art", "['a.jsonl', 'b.jsonl']"), ("music", "['b.jsonl']")}
 
 
+def test_domains_come_from_all_rows_of_a_file(spark, tmp_path):
+    rows = [(i, "plain", "src2") for i in range(5)] + [(5, "a Question", "src2"), (6, "nation", None), (7, None, "src3"), (8, "Schule", "src3"), (9, "nation", "src1"), (10, None, "src19")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((tuple(r) for r in chat_queries.domain_to_files(spark, str(tmp_path)).collect()), key=lambda r: (r[0], r[2]))
+    general = [("general", f, i + 1) for i, f in enumerate(["src19.jsonl", "src2.jsonl", "src3.jsonl", None])]
+    assert got == [("art", "src1.jsonl", 1), ("french", "src2.jsonl", 1), *general, ("german", "src3.jsonl", 1), ("grammar", "src2.jsonl", 1), ("nouns", "src2.jsonl", 1)]
+
+
+def test_places_of_files_within_domains(spark):
+    names = [*(f"f{i:03d}" for i in range(300)), None]
+    lists = {f: ["a", None] if i % 3 else ["a", "b", "b"] for i, f in enumerate(names)}
+    manifest = spark.createDataFrame(list(lists.items()) * 2, "file string, domains array<string>").repartition(5)
+    got = {tuple(r) for r in files.inverted_rows(manifest).collect()}
+    assert got == {(d, f, i + 1) for d in ("a", "b", None) for i, f in enumerate(f for f in names if d in lists[f])}
+    assert files.inverted_rows(manifest.where("false")).count() == 0
+
+
 def test_shares_of_a_plan(spark):
     b = spark.createDataFrame([("x", 3.0), ("y", 1.0)], "bucket_key string, priority_score double")
     m = spark.createDataFrame([("x", "f", 1), ("x", "g", 3), ("y", "f", 5)], "bucket_key string, family string, count long")
